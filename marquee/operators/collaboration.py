@@ -20,29 +20,33 @@ def shared_title_counts(credits: DataFrame, acting: tuple[str, ...] = ACTING_CAT
     Repeated credits go first. A cast of more than ``block`` people is cut into
     blocks, and each pair of blocks is a join key of its own, so one very large
     title becomes many even tasks. Every pair is made once, smaller id first, and
-    is counted before the shuffle on the pair.
+    is counted before the shuffle on the pair. Both sides of the self-join are the
+    same rows on purpose: Spark shuffles them once.
     """
     cast = acting_credits(credits, acting).dropna().distinct()
     large = (
         cast.groupBy("title_id").agg(F.count("*").alias("_n")).where(F.col("_n") > block)
         .select("title_id", F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
     )
-    placed = cast.join(large, "title_id", "left").select(
-        "title_id", "person_id",
-        F.coalesce("_blocks", F.lit(1)).alias("_blocks"),
-        F.when(F.col("_blocks").isNotNull(), F.pmod(F.xxhash64("person_id"), F.col("_blocks")).cast("int"))
-        .otherwise(F.lit(0)).alias("_block"),
+    blocks = F.coalesce("_blocks", F.lit(1))
+    block = F.when(F.col("_blocks").isNotNull(), F.pmod(F.xxhash64("person_id"), F.col("_blocks"))).otherwise(F.lit(0))
+    placed = (
+        cast.join(large, "title_id", "left")
+        .select("title_id", "person_id", blocks.alias("_blocks"), block.cast("int").alias("_block"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .select("title_id", "person_id", "_block", F.least("_block", "_other").alias("_lo"),
+                F.greatest("_block", "_other").alias("_hi"))
+    )
+    a, b = placed.alias("a"), placed.alias("b")
+    same_key = [F.col(f"a.{key}") == F.col(f"b.{key}") for key in ("title_id", "_lo", "_hi")]
+    across = F.col("a._block") < F.col("b._block")
+    within = (F.col("a._lo") == F.col("b._hi")) & (F.col("a.person_id") < F.col("b.person_id"))
+    first, second = F.col("a.person_id"), F.col("b.person_id")
+    return (
+        a.join(b, [*same_key, across | within])
+        .groupBy(F.least(first, second).alias("first_id"), F.greatest(first, second).alias("second_id"))
+        .agg(F.count("*").alias("shared_titles"))
     )
-    lower = placed.select(
-        "title_id", F.col("person_id").alias("_a"), F.col("_block").alias("_lo"),
-        F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("_hi"))
-    upper = placed.select(
-        "title_id", F.col("person_id").alias("_b"),
-        F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("_lo"), F.col("_block").alias("_hi"))
-    met = lower.join(upper, ["title_id", "_lo", "_hi"]).where(
-        (F.col("_lo") < F.col("_hi")) | (F.col("_a") < F.col("_b")))
-    return met.groupBy(F.least("_a", "_b").alias("first_id"), F.greatest("_a", "_b").alias("second_id")).agg(
-        F.count("*").alias("shared_titles"))
 
 
 def collaborator_strength(shared: DataFrame) -> DataFrame:
@@ -63,7 +67,9 @@ def collaborator_sets(pairs: DataFrame, part_size: int = SET_PART) -> DataFrame:
 
     A person with up to ``part_size`` of them has one row, part 0. A larger set is
     spread by hash over several parts, each a row of its own, so that no row or
-    task has to hold a set of unbounded size; the parts together are the set.
+    task has to hold a set of unbounded size; the parts together are the set. The
+    explicit repartition keeps the parts of one person apart, which the join on
+    the person alone would not.
     """
     large = (
         pairs.groupBy("person_id").agg(F.count("*").alias("_n")).where(F.col("_n") > part_size)
@@ -73,6 +79,7 @@ def collaborator_sets(pairs: DataFrame, part_size: int = SET_PART) -> DataFrame:
     return (
         pairs.join(large, "person_id", "left")
         .withColumn("part", part.cast("bigint"))
+        .repartition("person_id", "part")
         .groupBy("person_id", "part")
         .agg(F.array_sort(F.collect_list("other_id")).alias("others"))
     )

@@ -38,12 +38,11 @@ def person_title_best(credits: DataFrame, titles: DataFrame, ratings: DataFrame,
                       acting: tuple[str, ...] = ACTING_CATEGORIES) -> DataFrame:
     """The best rating per person and title name.
 
-    A maximum does not change with repeated credits, so they are removed before
-    the join, with partial removal before the shuffle.
+    Repeated credits fold into the partial maximum on the side of the join, so
+    they need no shuffle of their own.
     """
-    once = acting_credits(credits, acting).distinct()
     return (
-        once.join(rated_titles(titles, ratings), "title_id")
+        credited_rated_titles(credits, titles, ratings, acting)
         .groupBy("person_id", "original_title")
         .agg(F.max("rating").alias("rating"))
     )
@@ -56,8 +55,12 @@ def top_titles(best: DataFrame, k: int = TOP_TITLES) -> DataFrame:
 
 
 def title_totals(best: DataFrame) -> DataFrame:
-    """Number of rated title names per person."""
-    return best.groupBy("person_id").agg(F.count("*").alias("total"))
+    """Number of rated title names per person.
+
+    Counting ``rating``, which is never null here, keeps the columns of ``best``
+    as they are, so a plan that also ranks ``best`` shuffles it once for both.
+    """
+    return best.groupBy("person_id").agg(F.count("rating").alias("total"))
 
 
 def top_columns(ranked: DataFrame, k: int = TOP_TITLES) -> DataFrame:

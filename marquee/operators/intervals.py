@@ -16,32 +16,36 @@ def _cell_width(width: Column, level: Column) -> Column:
     return width * F.element_at(F.array(*[F.lit(SPAN ** n) for n in range(_LEVELS)]), level + 1)
 
 
-def locate(points: DataFrame, intervals: DataFrame, width: Column, point: str = "point",
+def grid_level(length: Column, width: Column) -> Column:
+    """The grid on which an interval of this length covers few cells of ``width * SPAN ** level``."""
+    level = F.lit(_LEVELS - 1)
+    for n in reversed(range(_LEVELS - 1)):
+        level = F.when(length <= width * F.lit(SPAN ** (n + 1)), F.lit(n)).otherwise(level)
+    return level
+
+
+def locate(points: DataFrame, intervals: DataFrame, width: Column, levels: Column, point: str = "point",
            lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Join each point to the half-open interval ``[lo, hi)`` that holds it.
 
     Both sides meet on grid cells, so this is an equality join. ``width`` is the
     cell width, best the mean interval length. An interval longer than ``SPAN``
-    cells goes to a grid ``SPAN`` times coarser, until it covers few cells, so a
-    single huge interval does not explode; points look at every grid in use.
+    cells goes to a grid ``SPAN`` times coarser, until it covers at most ``SPAN +
+    1`` cells, so a single huge interval does not explode. Points look at each
+    grid in use: ``levels`` is the array of the values of ``grid_level``.
     """
-    spanned = intervals.where(F.col(lo) < F.col(hi)).withColumn("_w", width)
-    cells = F.expr(f"{hi} div _w - {lo} div _w")
-    level = F.lit(_LEVELS - 1)
-    for n in reversed(range(_LEVELS - 1)):
-        level = F.when(cells <= F.lit(SPAN ** (n + 1)), F.lit(n)).otherwise(level)
-    graded = spanned.withColumn("_level", level)
     gridded = (
-        graded.withColumn("_cell_width", _cell_width(F.col("_w"), F.col("_level")))
-        .withColumn("_cell", F.explode(F.expr(f"sequence({lo} div _cell_width, ({hi} - 1) div _cell_width)")))
-        .drop("_w", "_cell_width")
+        intervals.where(F.col(lo) < F.col(hi))
+        .withColumn("_level", grid_level(F.col(hi) - F.col(lo), width))
+        .withColumn("_width", _cell_width(width, F.col("_level")))
+        .withColumn("_cell", F.explode(F.expr(f"sequence({lo} div _width, ({hi} - 1) div _width)")))
+        .drop("_width")
     )
-    levels_in_use = graded.agg(F.collect_set("_level")).scalar()
     placed = (
-        points.withColumn("_level", F.explode(levels_in_use))
-        .withColumn("_cell_width", _cell_width(width, F.col("_level")))
-        .withColumn("_cell", F.expr(f"{point} div _cell_width"))
-        .drop("_cell_width")
+        points.withColumn("_level", F.explode(levels))
+        .withColumn("_width", _cell_width(width, F.col("_level")))
+        .withColumn("_cell", F.expr(f"{point} div _width"))
+        .drop("_width")
     )
     held = (F.col(point) >= F.col(lo)) & (F.col(point) < F.col(hi))
     return placed.join(gridded, ["_level", "_cell"]).where(held).drop("_level", "_cell")
@@ -56,10 +60,11 @@ def weighted_draws(draws: DataFrame, ratings: DataFrame, draw: str = "draw_id",
     weighted = ratings.where(F.col("votes") > 0)
     total = weighted.agg(F.sum("votes")).scalar()
     width = weighted.agg(F.greatest(F.lit(1), F.expr("sum(votes) div count(1)"))).scalar()
+    levels = weighted.agg(F.collect_set(grid_level(F.col("votes"), width))).scalar()
     intervals = running_total(weighted, ["title_id"], "votes", "hi", ranges).withColumn(
         "lo", F.col("hi") - F.col("votes"))
     points = draws.select(
         F.col(draw), (hashed_long(F.lit("title"), F.col(draw)) % total).alias("point"),
         unit_fraction(F.lit("vote"), F.col(draw)).alias("_fraction"))
-    return locate(points, intervals, width).select(
+    return locate(points, intervals, width, levels).select(
         draw, "point", "title_id", synthetic_rating(F.col("_fraction"), F.col("mean")).alias("rating"))

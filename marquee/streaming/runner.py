@@ -10,19 +10,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marquee.session import is_local
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Window state lives in RocksDB, outside the heap. Each batch stores only its
+# changes, and the rows of the whole store are not counted.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session for streams beside the given one, on the same cluster.
 
-    Window state is kept in RocksDB, outside the heap. The number of state
-    partitions is fixed when a stream first starts: it is the session's number of
-    shuffle partitions, or one per core on a local master.
+    The number of state partitions is fixed when a stream first starts: it is the
+    session's number of shuffle partitions, or one per core on a local master.
     """
     child = spark.newSession()
     child.conf.set("spark.sql.session.timeZone", "UTC")
-    child.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE_STORE.items():
+        child.conf.set(key, value)
     partitions = spark.sparkContext.defaultParallelism if is_local(spark) else (
         spark.conf.get("spark.sql.shuffle.partitions"))
     child.conf.set("spark.sql.shuffle.partitions", str(partitions))
