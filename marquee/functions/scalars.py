@@ -26,12 +26,13 @@ def text_or_dashes(value: Column) -> Column:
 
 
 def one_decimal_text(value: Column) -> Column:
-    """One decimal, half up, always with a point.
+    """One decimal, half up, always with a point; null stays null.
 
     The inner rounding removes the last-bit noise of a mean multiplied by its
     count, so that a true tie such as 7.25 is not read as 7.2499999999999991.
     """
-    return F.format_string("%.1f", F.round(F.round(value, 9), 1))
+    rounded = F.round(F.round(value, 9), 1)
+    return F.when(value.isNotNull(), F.format_string("%.1f", rounded))
 
 
 def number_text(value: Column) -> Column:

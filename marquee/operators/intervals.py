@@ -13,14 +13,15 @@ _LEVELS = 6  # SPAN ** 6 cells exceed the BIGINT range
 
 
 def _cell_width(width: Column, level: Column) -> Column:
-    return width * F.element_at(F.array(*[F.lit(SPAN ** n) for n in range(_LEVELS)]), level + 1)
+    return width.cast("bigint") * F.element_at(F.array(*[F.lit(SPAN ** n) for n in range(_LEVELS)]), level + 1)
 
 
 def grid_level(length: Column, width: Column) -> Column:
     """The grid on which an interval of this length covers few cells of ``width * SPAN ** level``."""
+    cells = F.call_function("div", length - 1, width)
     level = F.lit(_LEVELS - 1)
     for n in reversed(range(_LEVELS - 1)):
-        level = F.when(length <= width * F.lit(SPAN ** (n + 1)), F.lit(n)).otherwise(level)
+        level = F.when(cells < F.lit(SPAN ** (n + 1)), F.lit(n)).otherwise(level)
     return level
 
 

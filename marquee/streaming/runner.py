@@ -24,14 +24,15 @@ def stream_session(spark: SparkSession) -> SparkSession:
     """A session for streams beside the given one, on the same cluster.
 
     The number of state partitions is fixed when a stream first starts: it is the
-    session's number of shuffle partitions, or one per core on a local master.
+    session's number of shuffle partitions, on a local master at most one per core.
     """
     child = spark.newSession()
     child.conf.set("spark.sql.session.timeZone", "UTC")
     for key, value in STATE_STORE.items():
         child.conf.set(key, value)
-    partitions = spark.sparkContext.defaultParallelism if is_local(spark) else (
-        spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if is_local(spark):
+        partitions = min(partitions, spark.sparkContext.defaultParallelism)
     child.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return child
 

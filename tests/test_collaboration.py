@@ -1,0 +1,62 @@
+from collections import Counter
+from itertools import permutations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from marquee.operators import collaboration
+
+CREDIT = "title_id string, person_id string, category string"
+
+
+def brute_force(pairs):
+    casts = {}
+    for title, person in pairs:
+        casts.setdefault(title, set()).add(person)
+    return Counter(pair for cast in casts.values() for pair in permutations(cast, 2))
+
+
+def strength(spark, pairs, block):
+    df = spark.createDataFrame([(t, p, "actor") for t, p in pairs], CREDIT)
+    shared = collaboration.shared_title_counts(df, block=block)
+    found = collaboration.collaborator_strength(shared).collect()
+    assert len({(r.person_id, r.other_id) for r in found}) == len(found)
+    return {(r.person_id, r.other_id): r.shared_titles for r in found}
+
+
+def test_repeats_and_shared_titles(spark, rows):
+    pairs = [("t1", "a"), ("t1", "a"), ("t1", "b"), ("t2", "a"), ("t2", "b"), ("t2", "c"), ("t3", "d")]
+    df = spark.createDataFrame([(t, p, "actress") for t, p in pairs] + [("t3", "a", "writer")], CREDIT)
+    shared = collaboration.shared_title_counts(df)
+    assert rows(shared) == [("a", "b", 2), ("a", "c", 1), ("b", "c", 1)]
+    sets = collaboration.collaborator_sets(collaboration.collaborator_pairs(shared))
+    assert rows(sets) == [("a", 0, ["b", "c"]), ("b", 0, ["a", "c"]), ("c", 0, ["a", "b"])]
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 1000])
+def test_large_casts_in_blocks_give_every_pair_once(spark, block):
+    """One title holds a third of the credits, and shares people with small titles."""
+    pairs = [("big", f"p{n}") for n in range(40)]
+    pairs += [(f"t{n // 4}", f"p{(n * 7) % 60}") for n in range(80)]
+    assert strength(spark, pairs, block) == brute_force(pairs)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("xyz"), st.sampled_from("abcdefgh")), min_size=1, max_size=30),
+       st.integers(1, 4))
+def test_pairs_are_symmetric_and_never_self(spark, pairs, block):
+    found = strength(spark, pairs, block)
+    assert found == brute_force(pairs)
+    assert all(a != b and found[(b, a)] == n for (a, b), n in found.items())
+
+
+def test_a_large_set_is_whole_over_its_parts(spark):
+    pairs = spark.createDataFrame(
+        [("hub", f"p{n:03}") for n in range(200)] + [("p000", "hub")], "person_id string, other_id string")
+    sets = collaboration.collaborator_sets(pairs, part_size=30).collect()
+    hub = [r for r in sets if r.person_id == "hub"]
+    assert {r.part for r in hub} == set(range(7))
+    assert sorted(p for r in hub for p in r.others) == [f"p{n:03}" for n in range(200)]
+    assert all(list(r.others) == sorted(r.others) for r in sets)
+    assert [(r.part, r.others) for r in sets if r.person_id == "p000"] == [(0, ["hub"])]
