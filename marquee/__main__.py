@@ -56,7 +56,7 @@ def _stream(spark, args):
     titles = roles.titles(tsv.read_titles(child, args.titles))
     if args.job == "top3":
         return jobs.top3(votes, titles, args.out, args.checkpoint, every=every, show=True)
-    return jobs.trending(votes, titles, args.out, args.checkpoint, every=every)
+    return jobs.trending(votes, titles, args.out, args.checkpoint, every=every, show=True)
 
 
 def main(argv: list[str] | None = None) -> None:

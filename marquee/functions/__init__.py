@@ -1,6 +1,7 @@
 from marquee.functions.scalars import (
     hashed_long,
     is_acting,
+    millis_time,
     minute_text,
     number_text,
     one_decimal_text,
@@ -13,6 +14,7 @@ from marquee.functions.scalars import (
 __all__ = [
     "hashed_long",
     "is_acting",
+    "millis_time",
     "minute_text",
     "number_text",
     "one_decimal_text",

@@ -47,6 +47,11 @@ def minute_text(ts: Column) -> Column:
     return F.date_format(F.date_trunc("minute", ts), MINUTE_FORMAT)
 
 
+def millis_time(millis: Column) -> Column:
+    """The time of a number of milliseconds since the epoch."""
+    return F.timestamp_millis(millis)
+
+
 def hashed_long(*columns: Column) -> Column:
     """A repeatable number in [0, 2**60) from the text of the given columns.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marquee.functions import hashed_long
 from marquee.functions.scalars import ACTING_CATEGORIES
 from marquee.operators.credits import acting_credits
+from marquee.operators.joins import lookup_join
 
 CAST_BLOCK = 1_000
 SET_PART = 100_000
@@ -31,7 +32,7 @@ def shared_title_counts(credits: DataFrame, acting: tuple[str, ...] = ACTING_CAT
     blocks = F.coalesce("_blocks", F.lit(1))
     block = F.when(F.col("_blocks").isNotNull(), F.pmod(F.xxhash64("person_id"), F.col("_blocks"))).otherwise(F.lit(0))
     placed = (
-        cast.join(large, "title_id", "left")
+        lookup_join(cast, large, "title_id", "left")
         .select("title_id", "person_id", blocks.alias("_blocks"), block.cast("int").alias("_block"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .select("title_id", "person_id", "_block", F.least("_block", "_other").alias("_lo"),
@@ -77,7 +78,7 @@ def collaborator_sets(pairs: DataFrame, part_size: int = SET_PART) -> DataFrame:
     )
     part = F.when(F.col("_parts").isNotNull(), hashed_long(F.col("other_id")) % F.col("_parts")).otherwise(F.lit(0))
     return (
-        pairs.join(large, "person_id", "left")
+        lookup_join(pairs, large, "person_id", "left")
         .withColumn("part", part.cast("bigint"))
         .repartition("person_id", "part")
         .groupBy("person_id", "part")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import is_acting
 from marquee.functions.scalars import ACTING_CATEGORIES
+from marquee.operators.joins import lookup_join
 
 TOP_TITLES = 3
 
@@ -27,11 +28,10 @@ def credited_rated_titles(credits: DataFrame, titles: DataFrame, ratings: DataFr
     """One row per acting credit of a rated title.
 
     Titles and ratings are joined first: both have one row per title, so only the
-    last join can be skewed, and there Spark can split a title with very many
-    credits because nothing after the join relies on its partitioning.
+    last join can be skewed, and that one Spark can split.
     """
-    return acting_credits(credits, acting).join(rated_titles(titles, ratings), "title_id").select(
-        "title_id", "person_id", "original_title", "rating")
+    joined = lookup_join(acting_credits(credits, acting), rated_titles(titles, ratings), "title_id")
+    return joined.select("title_id", "person_id", "original_title", "rating")
 
 
 def person_title_best(credits: DataFrame, titles: DataFrame, ratings: DataFrame,

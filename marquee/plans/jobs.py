@@ -108,6 +108,10 @@ def top3(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay:
 
 
 def trending(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay: str = "1 minute",
-             period: str = trends.TREND_PERIOD, every: str | None = "1 minute") -> StreamingQuery:
+             period: str = trends.TREND_PERIOD, every: str | None = "1 minute",
+             show: bool = False) -> StreamingQuery:
     rising = trends.rising_titles(votes.withWatermark("ts", delay), period)
+    if show:
+        return runner.to_batches(rising, lambda batch: trends.named_titles(batch, titles), out, checkpoint,
+                                 every, show)
     return runner.to_files(trends.named_titles(rising, titles), out, checkpoint, every=every)

@@ -27,6 +27,20 @@ pages AS (
   FROM supplier FULL JOIN summary ON s_suppkey = person_id)
 """
 
+_LINES = """
+placed AS (
+  SELECT person_id, 1 AS place, 'Name: ' || coalesce(name, '') AS line FROM pages
+  UNION ALL SELECT person_id, 2, 'Birth: ' || coalesce(CAST(birth AS VARCHAR), '----') FROM pages
+  UNION ALL SELECT person_id, 3, 'Death: ' || coalesce(CAST(death AS VARCHAR), '----') FROM pages
+  UNION ALL SELECT person_id, 4, 'Number of movies: ' || total FROM pages
+  UNION ALL SELECT person_id, 5, '#1 => ' || top1 FROM pages WHERE top1 IS NOT NULL
+  UNION ALL SELECT person_id, 6, '#2 => ' || top2 FROM pages WHERE top2 IS NOT NULL
+  UNION ALL SELECT person_id, 7, '#3 => ' || top3 FROM pages WHERE top3 IS NOT NULL),
+lines AS (
+  SELECT person_id, CAST(row_number() OVER (PARTITION BY person_id ORDER BY place) - 1 AS INTEGER) AS line_no, line
+  FROM placed)
+"""
+
 _TOP10 = """
 WITH counts AS (
   SELECT l_suppkey AS person_id, {count} AS n FROM lineitem WHERE {acting} GROUP BY 1),
@@ -125,18 +139,8 @@ WHERE {_ACTING} AND p_name <> '' AND p_size <> 0""",
     "person_top3_titles": f"WITH {_BEST} SELECT * FROM ranked WHERE rank <= 3",
     "person_title_total": f"WITH {_BEST} SELECT person_id, total FROM summary",
     "person_pages": f"WITH {_BEST} SELECT * FROM pages",
-    "person_page_lookup": f"""
-WITH {_BEST},
-page AS (SELECT * FROM pages WHERE person_id = 7),
-lines AS (
-  SELECT person_id, 1 AS place, 'Name: ' || name AS line FROM page
-  UNION ALL SELECT person_id, 2, 'Birth: ' || coalesce(CAST(birth AS VARCHAR), '----') FROM page
-  UNION ALL SELECT person_id, 3, 'Death: ' || coalesce(CAST(death AS VARCHAR), '----') FROM page
-  UNION ALL SELECT person_id, 4, 'Number of movies: ' || total FROM page
-  UNION ALL SELECT person_id, 5, '#1 => ' || top1 FROM page WHERE top1 IS NOT NULL
-  UNION ALL SELECT person_id, 6, '#2 => ' || top2 FROM page WHERE top2 IS NOT NULL
-  UNION ALL SELECT person_id, 7, '#3 => ' || top3 FROM page WHERE top3 IS NOT NULL)
-SELECT person_id, CAST(row_number() OVER (ORDER BY place) - 1 AS INTEGER) AS line_no, line FROM lines""",
+    "person_page_lines": f"WITH {_BEST}, {_LINES} SELECT * FROM lines",
+    "person_page_lookup": f"WITH {_BEST}, {_LINES} SELECT * FROM lines WHERE person_id = 7",
     "top10_people_by_titles": _TOP10.format(count="count(DISTINCT l_orderkey)", acting=_ACTING),
     "top10_people_by_credits": _TOP10.format(count="count(*)", acting=_ACTING),
     "collaborator_pairs": f"WITH {_PAIRS} SELECT person_id, other_id FROM strength",
@@ -170,6 +174,9 @@ shown AS (
   FROM tenths)
 SELECT *, tconst || chr(9) || averageRating || chr(9) || numVotes AS line FROM shown""",
     "vote_minutes": f"WITH {_VOTES} SELECT title_id, rating, {_MINUTE} AS minute FROM votes",
+    "vote_log_lines": f"""
+WITH {_VOTES}
+SELECT epoch_us(ts) // 1000 AS millis, title_id || chr(9) || rating || chr(9) || {_MINUTE} AS line FROM votes""",
     "vote_lots": f"""
 WITH {_VOTES}
 SELECT {_LOT} AS lot, count(*) AS n_votes, CAST(sum(rating) AS BIGINT) AS vote_sum FROM votes GROUP BY 1""",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marquee.functions import minute_text, tab_line
+from marquee.functions import millis_time, minute_text, tab_line
 from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, running, trends
 from marquee.plans import bindings as b
 from marquee.schema import RATINGS
@@ -95,9 +95,15 @@ def person_pages(spark, folder):
     return _pages(spark, folder)
 
 
+@_query
+def person_page_lines(spark, folder):
+    """Every page as the lines that are shown."""
+    return details.page_lines(_pages(spark, folder))
+
+
 @_query
 def person_page_lookup(spark, folder):
-    """All pages are stored sorted by person; one is then read back by key."""
+    """All pages are stored sorted by person; one is then read back by its key, which is the feature."""
     path = new_folder(spark, "pages")
     write_sorted(_pages(spark, folder), path, "person_id")
     page = tables.lookup(spark.read.parquet(path), "person_id", 7)
@@ -174,6 +180,14 @@ def vote_minutes(spark, folder):
     return b.event_votes(spark, folder).select("title_id", "rating", minute_text(F.col("ts")).alias("minute"))
 
 
+@_query
+def vote_log_lines(spark, folder):
+    """Votes as the lines of the log, from arrival times in milliseconds."""
+    votes = b.event_votes(spark, folder).withColumn("millis", F.unix_millis("ts"))
+    line = tab_line(F.col("title_id"), F.col("rating"), minute_text(millis_time(F.col("millis"))))
+    return votes.select("millis", line.alias("line"))
+
+
 _LOGGED = "title_id BIGINT, rating BIGINT, minute STRING"
 
 

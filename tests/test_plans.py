@@ -67,7 +67,7 @@ def test_pages_join_credits_and_titles_once(big):
 def test_both_sides_of_the_pair_join_are_one_shuffle(big):
     plan = ran(shared_title_counts(b.order_credits(big, FOLDER), b.ACTING))
     assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning(title_id") >= 2
-    assert plan.count("ReusedExchange") == 2
+    assert "ReusedExchange" in plan
 
 
 def test_merge_shuffles_each_side_once(big):

@@ -1,0 +1,110 @@
+"""One title or person with a third of all rows: same results, and no task that holds it all."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.operators import collaboration, credits, ranking
+from marquee.operators.ratings import merge_ratings, vote_totals
+
+SMALL_LIMITS = {
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+}
+
+
+@pytest.fixture
+def tight(spark):
+    old = {key: spark.conf.get(key, None) for key in SMALL_LIMITS}
+    for key, value in SMALL_LIMITS.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def hot_credits(tight):
+    hot = F.col("id") % 3 == 0
+    return tight.range(0, 90_000, 1, 8).select(
+        F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id") % 4001)).alias("title_id"),
+        F.concat(F.lit("p"), F.xxhash64("id") % 50_000).alias("person_id"),
+        F.lit("actor").alias("category"))
+
+
+@pytest.fixture
+def catalog(tight):
+    ids = tight.range(4001).select(F.concat(F.lit("t"), "id").alias("title_id"), F.col("id"))
+    ids = ids.unionByName(tight.createDataFrame([("hot", 7)], "title_id string, id long"))
+    return (ids.select("title_id", F.concat(F.lit("name "), F.col("id") % 97).alias("original_title")),
+            ids.select("title_id", (F.col("id") % 10 + 1).cast("double").alias("mean"), F.lit(1).alias("votes")))
+
+
+def ran(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_the_join_of_a_hot_title_is_split(hot_credits, catalog):
+    titles, ratings = catalog
+    rows, plan = ran(credits.credited_rated_titles(hot_credits, titles, ratings))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == 90_000 and sum(r.title_id == "hot" for r in rows) == 30_000
+    best, plan = ran(credits.person_title_best(hot_credits, titles, ratings))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(best) == len({(r.person_id, r.original_title) for r in rows})
+
+
+def test_the_size_lookup_of_a_hot_title_is_split(tight, hot_credits):
+    """With every cast in one block the join is only planned; with blocks the hot title becomes many keys."""
+    pairs = collaboration.shared_title_counts(
+        hot_credits.where("title_id <> 'hot' OR pmod(xxhash64(person_id), 10) = 0"), block=100)
+    rows, plan = ran(pairs.agg(F.sum("shared_titles").alias("n")))
+    casts = hot_credits.where("title_id <> 'hot' OR pmod(xxhash64(person_id), 10) = 0").distinct()
+    sizes = casts.groupBy("title_id").count()
+    assert rows[0].n == sizes.agg(F.expr("sum(count * (count - 1) div 2)")).first()[0]
+    assert "_block" in plan
+
+
+def test_a_cast_in_blocks_gives_the_pairs_of_a_plain_join(tight, hot_credits):
+    few = hot_credits.where("title_id = 'hot'").limit(600).union(hot_credits.where("title_id <> 'hot'").limit(1200))
+    cast = few.select("title_id", "person_id").distinct()
+    a, b = cast.toDF("t", "a"), cast.toDF("t", "b")
+    want = a.join(b, "t").where("a < b").groupBy("a", "b").count()
+    found = collaboration.shared_title_counts(few, block=50)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_the_parts_of_a_hot_set_are_apart(tight):
+    """A hub with a third of all pairs: the lookup of its size is split, and so is its set."""
+    pairs = tight.range(0, 90_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hub")).otherwise(F.concat(F.lit("p"), F.col("id") % 4001)).alias("person_id"),
+        F.concat(F.lit("q"), F.xxhash64("id")).alias("other_id"))
+    rows, plan = ran(collaboration.collaborator_sets(pairs, part_size=1000))
+    assert "SortMergeJoin(skew=true)" in plan and "Exchange hashpartitioning(person_id#" in plan
+    hub = [r for r in rows if r.person_id == "hub"]
+    assert len(hub) == 30 and max(len(r.others) for r in hub) < 1300
+    assert len({q for r in hub for q in r.others}) == 30_000 and sum(len(r.others) for r in rows) == 90_000
+
+
+def test_a_hot_person_is_counted_in_parts(tight):
+    df = tight.range(0, 60_000, 1, 8).select(
+        F.concat(F.lit("t"), F.col("id") % 20_000).alias("title_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id") % 900)).alias("person_id"),
+        F.lit("actor").alias("category"))
+    rows, plan = ran(ranking.titles_per_person(df))
+    assert max(rows, key=lambda r: r.n) == ("hot", 20_000)
+    assert "Exchange hashpartitioning(person_id#" in plan and "partial_count(distinct title_id#" in plan
+
+
+def test_hot_votes_are_summed_before_the_shuffle(tight):
+    votes = tight.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id") % 50)).alias("title_id"),
+        (F.col("id") % 1 + 4).alias("rating"))
+    stored = tight.createDataFrame([("hot", 8.0, 20_000)], "title_id string, mean double, votes long")
+    merged = merge_ratings(stored, vote_totals(votes))
+    assert "partial_sum(rating" in merged._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in merged.collect()] == [("hot", 6.0, 40_000)]
