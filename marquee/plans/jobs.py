@@ -103,6 +103,7 @@ def top3(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay:
          length: str = trends.MEAN_WINDOW, slide: str = trends.MEAN_SLIDE, every: str | None = "1 minute",
          show: bool = False) -> StreamingQuery:
     means = trends.window_means(votes.withWatermark("ts", delay), length, slide)
+    titles = runner.kept(titles, "title_id")
     return runner.to_batches(means, lambda batch: trends.top_window_titles(batch, titles), out, checkpoint,
                              every, show)
 
@@ -111,6 +112,7 @@ def trending(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, del
              period: str = trends.TREND_PERIOD, every: str | None = "1 minute",
              show: bool = False) -> StreamingQuery:
     rising = trends.rising_titles(votes.withWatermark("ts", delay), period)
+    titles = runner.kept(titles, "title_id")
     if show:
         return runner.to_batches(rising, lambda batch: trends.named_titles(batch, titles), out, checkpoint,
                                  every, show)

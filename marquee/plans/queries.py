@@ -6,6 +6,7 @@ rows they wrote are returned.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,7 +19,7 @@ from marquee.operators import collaboration, credits, details, intervals, rankin
 from marquee.plans import bindings as b
 from marquee.schema import RATINGS
 from marquee.session import new_folder
-from marquee.sinks.tables import upsert_table, write_sorted
+from marquee.sinks.tables import upsert_table
 from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import tables
 from marquee.sources.tsv import read_ratings, read_tsv
@@ -38,6 +39,10 @@ def _query(run: Query) -> Query:
     return in_utc
 
 
+def _fresh_table(label: str) -> str:
+    return f"{label}_{uuid.uuid4().hex}"
+
+
 def _ntz(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
 
@@ -103,11 +108,12 @@ def person_page_lines(spark, folder):
 
 @_query
 def person_page_lookup(spark, folder):
-    """All pages are stored sorted by person; one is then read back by its key, which is the feature."""
-    path = new_folder(spark, "pages")
-    write_sorted(_pages(spark, folder), path, "person_id")
-    page = tables.lookup(spark.read.parquet(path), "person_id", 7)
-    return details.page_lines(page)
+    """All pages are stored in a table; one is then read back by its key, which is the feature."""
+    pages = _pages(spark, folder)
+    name = _fresh_table("page_table")
+    tables.create_table(spark, name, pages.schema)
+    upsert_table(spark, name, pages, "person_id")
+    return details.page_lines(tables.lookup(spark.table(name), "person_id", 7))
 
 
 # Ranking and collaboration
@@ -288,7 +294,7 @@ def weighted_pick(spark, folder):
 @_query
 def table_upsert(spark, folder):
     """People loaded into the person table, then their title summaries on the same keys."""
-    name = f"person_table_{new_folder(spark, 'x')[-32:]}"
+    name = _fresh_table("person_table")
     schema = tables.PERSON_TABLE
     tables.create_table(spark, name, schema)
     people = details.person_family(b.people(spark, folder).withColumn(
@@ -303,7 +309,7 @@ def table_upsert(spark, folder):
 @_query
 def catalog_ddl(spark, folder):
     """Create the title table twice, load it, read its details family, drop it twice."""
-    name = f"title_table_{new_folder(spark, 'x')[-32:]}"
+    name = _fresh_table("title_table")
     created = [tables.create_table(spark, name, tables.TITLE_TABLE) for _ in range(2)]
     titles = b.titles(spark, folder).select(
         F.col("title_id").cast("string").alias("title_id"),

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators.upsert import upsert
 from marquee.session import new_folder
 
 
-def write_sorted(df: DataFrame, path: str, key: str) -> None:
-    """Write range-partitioned and sorted by key, so that a key lookup skips files and row groups."""
-    df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+def _buckets(spark: SparkSession, name: str) -> int:
+    """The number of buckets the table was created with."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+    return int(described.data_type)
 
 
 def upsert_table(spark: SparkSession, name: str, updates: DataFrame, key: str) -> str:
@@ -18,12 +21,19 @@ def upsert_table(spark: SparkSession, name: str, updates: DataFrame, key: str) -
 
     The new state is written to a new folder and the table is switched to it once
     the write is complete, so readers never see half of it and a lost job leaves
-    the old state in place. Returns the new folder.
+    the old state in place. Stored and new rows meet bucket by bucket: only the
+    updates are shuffled, and each task writes the bucket it has merged. Returns
+    the new folder.
     """
     target = spark.table(name)
     folder = new_folder(spark, name.replace(".", "-"))
+    writing = f"{name}_{uuid.uuid4().hex}"
     merged = upsert(target, updates, key).select(*target.columns)
-    write_sorted(merged, folder, key)
+    (
+        merged.write.format("parquet").option("path", folder)
+        .bucketBy(_buckets(spark, name), key).sortBy(key).saveAsTable(writing)
+    )
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.sql(f"DROP TABLE {writing}")
     spark.catalog.refreshTable(name)
     return folder

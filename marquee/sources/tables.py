@@ -46,11 +46,25 @@ PERSON_TABLE = StructType([
 ])
 
 
-def create_table(spark: SparkSession, name: str, schema: StructType, location: str | None = None) -> bool:
-    """Create an empty Parquet table unless it exists. True where it was created."""
+def create_table(spark: SparkSession, name: str, schema: StructType, key: str | None = None,
+                 buckets: int | None = None, location: str | None = None) -> bool:
+    """Create an empty Parquet table unless it exists. True where it was created.
+
+    Rows are bucketed and sorted by ``key``, by default the first column. A merge
+    then leaves the stored rows where they are and moves only the updates, and a
+    lookup opens one bucket. ``buckets`` is fixed for the life of the table, by
+    default the session's number of shuffle partitions.
+    """
     if spark.catalog.tableExists(name):
         return False
-    spark.catalog.createTable(name, path=location or new_folder(spark, name), source="parquet", schema=schema)
+    key = key or schema.fields[0].name
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS "
+        f"LOCATION '{location or new_folder(spark, name.replace('.', '-'))}'"
+    )
     return True
 
 
@@ -67,5 +81,5 @@ def scan_family(table: DataFrame, key: str, family: str) -> DataFrame:
 
 
 def lookup(table: DataFrame, key: str, value: Any) -> DataFrame:
-    """The row of one key, or no row. The comparison reaches the file scan."""
+    """The row of one key, or no row. Of a bucketed table one bucket is read."""
     return table.where(F.col(key) == F.lit(value))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,6 +38,22 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return child
 
 
+def kept(static: DataFrame, key: str) -> DataFrame:
+    """A static table kept on the executors in the partitioning of its join.
+
+    Every micro-batch joins it again; this way it is read and shuffled once. A
+    partition lost with its executor is made again.
+    """
+    conf = static.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive cached plan hides its partitioning
+    try:
+        return static.repartition(int(conf.get("spark.sql.shuffle.partitions")), key).persist(
+            StorageLevel.MEMORY_AND_DISK)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def _trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 

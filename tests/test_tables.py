@@ -3,7 +3,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from marquee.operators.upsert import upsert
-from marquee.sinks.tables import upsert_table, write_sorted
+from marquee.sinks.tables import upsert_table
 from marquee.sources import tables
 
 
@@ -43,13 +43,42 @@ def test_table_is_created_once_merged_and_dropped_once(spark, rows):
     assert not tables.drop_table(spark, name)
 
 
-def test_lookup_reads_by_key_and_one_family_alone(spark, tmp_path):
-    df = spark.range(1000).select(F.col("id").cast("string").alias("person_id"), F.struct(F.col("id").alias("a")).alias("x"),
-                                  F.struct(F.col("id").alias("b")).alias("y"))
-    write_sorted(df, str(tmp_path / "t"), "person_id")
-    table = spark.read.parquet(str(tmp_path / "t"))
-    found = tables.scan_family(tables.lookup(table, "person_id", "77"), "person_id", "x")
+def numbers(spark, tmp_path):
+    df = spark.range(1000).select(
+        F.col("id").cast("string").alias("person_id"), F.struct(F.col("id").alias("a")).alias("x"),
+        F.struct(F.col("id").alias("b")).alias("y"))
+    name = f"numbers_{uuid.uuid4().hex}"
+    tables.create_table(spark, name, df.schema)
+    folder = upsert_table(spark, name, df, "person_id")
+    return name, folder
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_reads_one_bucket_and_one_family(spark, tmp_path):
+    name, _ = numbers(spark, tmp_path)
+    found = tables.scan_family(tables.lookup(spark.table(name), "person_id", "77"), "person_id", "x")
     assert [tuple(r) for r in found.collect()] == [("77", 77)]
-    plan = found._jdf.queryExecution().toString()
-    assert "EqualTo(person_id,77)" in plan and "ReadSchema: struct<person_id:string,x:struct<a:bigint>>" in plan
-    assert tables.lookup(table, "person_id", "none").count() == 0
+    assert "EqualTo(person_id,77)" in plan(found)
+    assert "ReadSchema: struct<person_id:string,x:struct<a:bigint>>" in plan(found)
+    assert tables.lookup(spark.table(name), "person_id", "none").count() == 0
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        assert "SelectedBucketsCount: 1 out of 4" in plan(tables.lookup(spark.table(name), "person_id", "77"))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+
+
+def test_merge_moves_only_the_updates_and_writes_a_file_per_bucket(spark, tmp_path):
+    name, folder = numbers(spark, tmp_path)
+    updates = spark.range(990, 1100).select(F.col("id").cast("string").alias("person_id"), F.struct(F.lit(-1).cast("long").alias("a")).alias("x"))
+    merged = plan(upsert(spark.table(name), updates, "person_id"))
+    assert merged.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in merged
+    folder = upsert_table(spark, name, updates, "person_id")
+    files = [p for p in spark.read.parquet(folder).inputFiles()]
+    assert len(files) == 4
+    table = spark.table(name)
+    assert table.count() == 1100 and table.where("x.a = -1").count() == 110 and table.where("y.b >= 990").count() == 10
+    assert spark.sql(f"SHOW TABLES LIKE '{name}_*'").count() == 0

@@ -134,6 +134,30 @@ def test_lots_hold_every_vote_and_rerun_adds_nothing(spark, vote_files, tmp_path
     assert "PartitionFilters: [isnotnull(lot" in found.where("lot = '2024-03-01 12-10'")._jdf.queryExecution().toString()
 
 
+@pytest.mark.parametrize("show", [False, True])
+def test_trending_job_names_titles_from_the_kept_table(spark, vote_files, tmp_path, rows, show):
+    folder, known = vote_files
+    child = runner.stream_session(spark)
+    stream = parquet_stream(child, folder, spark.createDataFrame([], VOTE).schema, max_files=1)
+    titles = child.createDataFrame([("a", "A"), ("c", "C")], TITLES)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    runner.finish(jobs.trending(stream, titles, out, checkpoint, every=None, show=show))
+    found = spark.read.parquet(out)
+    table = trends.rising_titles(votes(spark, *known)).where(F.col("period_end") <= at(119))
+    want = trends.named_titles(table, titles)
+    assert rows(found, *want.columns) == rows(want) and want.count() > 0
+
+
+def test_a_kept_table_is_not_shuffled_by_its_join(spark):
+    child = runner.stream_session(spark)
+    child.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    titles = runner.kept(child.createDataFrame([("a", "A"), ("c", "C")], TITLES), "title_id")
+    rising = child.createDataFrame([("a", 1)], "title_id string, n_votes long")
+    plan = trends.named_titles(rising, titles)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("InMemoryRelation")[0].count("Exchange") == 1
+    titles.unpersist()
+
+
 def test_vote_lines(spark, rows):
     lines = spark.createDataFrame(
         [("a\t7", START), ("b\tx", START), ("c", START), ("d\t0\textra", START)], "value string, timestamp timestamp")
