@@ -1,3 +1,6 @@
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from marquee.operators import credits, details, ranking
 
 CREDIT = "title_id string, person_id string, category string"
@@ -78,3 +81,24 @@ def test_top_people_counts_titles_or_credits_and_breaks_ties_by_id(spark, rows):
         [(r, f"p{r:02}", f"N{r}" if r < 9 else None, 2) for r in range(1, 11)], key=repr)
     by_credits = ranking.top_people(ranking.credits_per_person(df), people, k=1)
     assert rows(by_credits) == [(1, "p00", "N0", 3)]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("pq"), st.integers(0, 5)), min_size=1, max_size=20),
+       st.lists(st.tuples(st.sampled_from(["A", "B", "C", "D", ""]), st.integers(0, 3)), min_size=6, max_size=6))
+def test_summaries_equal_brute_force(spark, listed, catalog):
+    best = {}
+    for person, title in listed:
+        name, rating = catalog[title]
+        if name and rating:
+            names = best.setdefault(person, {})
+            names[name] = max(rating, names.get(name, 0))
+    want = {}
+    for person, names in best.items():
+        top = sorted(names, key=lambda n: (-names[n], n))[:3]
+        want[person] = (len(names), *top, *[None] * (3 - len(top)))
+    parts = make(
+        spark, [(f"t{t}", p, "actor") for p, t in listed], [(f"t{n}", name) for n, (name, _) in enumerate(catalog)],
+        [(f"t{n}", float(r), 1) for n, (_, r) in enumerate(catalog)])
+    found = credits.title_summary(credits.person_title_best(*parts)).collect()
+    assert {r.person_id: tuple(r)[1:] for r in found} == want
