@@ -35,6 +35,17 @@ def test_sliding_means_cover_ten_windows_and_end_is_open(spark):
     assert found[at(1)] == (7.0, 1) and at(6) not in found
 
 
+@pytest.mark.parametrize(
+    "length,slide", [("10 minutes", "1 minute"), ("10 minutes", "4 minutes"), ("1 hour", "90 seconds")])
+def test_windows_from_panes_equal_windows_from_votes(spark, rows, length, slide):
+    df = votes(spark, *[(t, (7 * n) % 11, at(0, 37 * n)) for n in range(60) for t in ("a", "b")[: 1 + n % 2]])
+    want = df.groupBy(F.window("ts", length, slide).alias("w"), "title_id").agg(
+        F.avg("rating").alias("mean_vote"), F.count("*").alias("n_votes"))
+    want = want.select("w.start", "w.end", "title_id", "mean_vote", "n_votes")
+    for panes in (True, False):
+        assert rows(trends.window_means(df, length, slide, panes)) == rows(want)
+
+
 def test_best_means_rank_before_ids_and_unknown_titles_take_no_place(spark, rows):
     df = votes(spark, *[(t, r, at(0)) for t, r in [("z", 9), ("y", 10), ("b", 8), ("a", 8), ("c", 8)]])
     titles = spark.createDataFrame([(t, t.upper()) for t in "abcz"], TITLES)
@@ -96,8 +107,13 @@ def run(spark, vote_files, tmp_path):
     return go, votes(spark, *known), at(119)
 
 
+def window_means_from_panes(votes):
+    return trends.window_means(votes, panes=True)
+
+
 @pytest.mark.parametrize("transform,end", [
-    (trends.window_means, "window_end"), (trends.period_counts, "period_end"), (trends.rising_titles, "period_end")])
+    (trends.window_means, "window_end"), (window_means_from_panes, "window_end"),
+    (trends.period_counts, "period_end"), (trends.rising_titles, "period_end")])
 def test_stream_equals_table_for_finished_windows(run, rows, transform, end):
     go, table, up_to = run
     want = transform(table).where(F.col(end) <= up_to)
