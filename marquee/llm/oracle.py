@@ -1,3 +1,44 @@
 """SQL for the queries of this package that SQL can express."""
 
 ORACLE_SQL: dict[str, str] = {}
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+#: Targets in closed form: the sources by how soon they are full; the first so many are, and the rest share what is left.
+ORACLE_SQL["op6_mixing"] = rf"""
+WITH docs AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN 'b' ELSE 'a' || source END AS k, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         CAST(coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0) AS BIGINT) AS size
+  FROM documents
+), totals AS (
+  SELECT k, CAST(sum(size) AS BIGINT) AS s, row_number() OVER (ORDER BY encode(k)) AS r FROM docs GROUP BY k
+), weighted AS (
+  SELECT k, s, r, CASE (r - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, sum(s) OVER () * 1.5 AS wanted FROM totals
+), filled AS (
+  SELECT *, 2.0 * s / w AS level, row_number() OVER (ORDER BY 2.0 * s / w, r) AS n,
+         CAST(wanted AS DOUBLE) - CAST(coalesce(sum(2 * s) OVER (ORDER BY 2.0 * s / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS left_over,
+         sum(w) OVER (ORDER BY 2.0 * s / w DESC, r DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS weight_left
+  FROM weighted
+), share AS (
+  SELECT arg_min(left_over / weight_left, n) AS share FROM filled WHERE left_over / weight_left <= level
+), goals AS (
+  SELECT k, s, r, least(share * w, 2.0 * s) AS target, CAST(floor(least(share * w, 2.0 * s) + 0.5) AS BIGINT) AS aim
+  FROM filled, share
+), summed AS (
+  SELECT *, CAST(sum(aim) OVER (ORDER BY r) AS BIGINT) AS until, CAST(sum(aim) OVER () AS BIGINT) AS aimed FROM goals
+), counted AS (
+  SELECT *, CASE WHEN aimed = 0 THEN 0 ELSE CAST(2 ** least(20, floor(log2(aimed))) AS BIGINT) END AS n_slots FROM summed
+), reached AS (
+  SELECT k, s, target, CASE WHEN aimed = 0 THEN 0 ELSE CAST(ceil(
+           (CAST(ceil(until * (CAST(n_slots AS DOUBLE) / aimed)) AS BIGINT) - CAST(ceil((until - aim) * (CAST(n_slots AS DOUBLE) / aimed)) AS BIGINT))
+           * (CAST(aimed AS DOUBLE) / n_slots)) AS BIGINT) END AS reach
+  FROM counted
+), placed AS (
+  SELECT doc_id, size, s, target, reach,
+         coalesce(sum(size) OVER (PARTITION BY k ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM docs JOIN reached USING (k)
+)
+SELECT doc_id, size, s AS source_size, target,
+       CAST(greatest(0, least(size, reach - start)) + greatest(0, least(size, reach - start - s)) AS BIGINT) AS taken
+FROM placed
+"""
