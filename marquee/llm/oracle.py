@@ -42,3 +42,17 @@ SELECT doc_id, size, s AS source_size, target,
        CAST(greatest(0, least(size, reach - start)) + greatest(0, least(size, reach - start - s)) AS BIGINT) AS taken
 FROM placed
 """
+
+ORACLE_SQL["op5_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), sized AS (
+  SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM sized GROUP BY payload_digest
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM sized JOIN firsts USING (payload_digest)
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, mixing, quality, secrets, simhash
+from marquee.llm import bpe, html_text, mixing, quality, secrets, simhash, toxicity, warc
 from marquee.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,11 +57,21 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 @_query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+@_query
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, folder, "pages"))
+
+
 @_query
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"), *byte_ranks())
@@ -71,3 +81,8 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *[number[kind].alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
         F.sha2(base, 256).alias("base_sha256"), secrets.label("kinds", "starts", "ends").alias("spans"))
+
+
+@_query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
