@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, html_text, mixing, quality, secrets, simhash, toxicity, warc
+from marquee.llm import bpe, html_text, mixing, quality, secrets, simhash, spotsigs, toxicity, warc
 from marquee.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query
+def op4_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    found = spotsigs.with_edits(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                        "edited_fingerprint", "near_edited", "near_next")
+
+
 @_query
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
