@@ -15,20 +15,20 @@ import json
 import sys
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.text import OUT_BYTES, id_and_text, in_batches, slices
+from marquee.llm.text import id_and_text, in_batches, slices, spark_type
 
 END = "</w>"
 
 #: Entries that a worker keeps of words it has encoded and of token pairs it has tried.
-KEPT_WORDS = 800_000
-KEPT_PAIRS = 1_000_000
+KEPT_WORDS = 300_000
+KEPT_PAIRS = 300_000
 KEPT_LENGTH = 48
 
 
@@ -354,8 +354,9 @@ class Decoder:
         return left
 
 
-#: Ids decoded at a time.
+#: Ids decoded at a time, and bytes of rows that are held as Python objects at a time.
 CHUNK = 1 << 16
+IN_BYTES = 1 << 20
 
 _LOADED: dict[str, tuple[Vocabulary, Encoder]] = {}
 
@@ -375,39 +376,57 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     empty one and has no ids. Rows that repeat are encoded each. Rows stay in their partition.
     """
     rows = id_and_text(df, id_col, text_col)
-    out = pa.schema([pa.field("id", pa.from_numpy_dtype("int64")), pa.field("ids", pa.binary())])
-    kind = rows.schema["id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, encoder = _loaded(path)
-        for batch in batches:
-            schema = pa.schema([batch.schema.field("id"), out.field("ids")])
-            for part in slices(batch, OUT_BYTES // 4):
-                made = ((i, encoder.encode(t)) for i, t in zip(part["id"].to_pylist(), part["text"].to_pylist()))
-                yield from in_batches(made, schema, lambda row: len(row[1]))
+    def each(part: pa.RecordBatch) -> Iterator[tuple]:
+        encoder = _loaded(path)[1]
+        return ((i, encoder.encode(t)) for i, t in zip(part["id"].to_pylist(), part["text"].to_pylist()))
 
-    return rows.mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
+    return _mapped(rows, each, {"ids": pa.binary()}).withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids",
            join: str | None = " ") -> DataFrame:
-    """``df``'s id and ids with ``decoded``, the text of the ids; see ``Decoder`` for ``join``."""
+    """``df``'s id and ids with ``decoded``, the text of the ids; see ``Decoder`` for ``join``. Null ids are none."""
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
-    kind = rows.schema["id"].dataType.simpleString()
 
-    def text(decoder: Decoder, ids: bytes) -> str:
-        size = 4 * CHUNK
-        parts = [decoder.feed(unpacked(ids[at : at + size])) for at in range(0, len(ids), size)]
-        return "".join([*parts, decoder.finish()])
+    def each(part: pa.RecordBatch) -> Iterator[tuple]:
+        decoder = Decoder(_loaded(path)[0], join)
+        return ((i, x, decoded(decoder, x)) for i, x in zip(part["id"].to_pylist(), part["ids"].to_pylist()))
+
+    return _mapped(rows, each, {"ids": pa.binary(), "decoded": pa.string()}).withColumnsRenamed(
+        {"id": id_col, "ids": ids_col})
+
+
+def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+               join: str | None = " ") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``id_col``, ``ids`` and ``decoded``."""
+    rows = id_and_text(df, id_col, text_col)
+
+    def each(part: pa.RecordBatch) -> Iterator[tuple]:
+        vocabulary, encoder = _loaded(path)
+        decoder = Decoder(vocabulary, join)
+        for i, text in zip(part["id"].to_pylist(), part["text"].to_pylist()):
+            ids = encoder.encode(text)
+            yield i, ids, decoded(decoder, ids)
+
+    return _mapped(rows, each, {"ids": pa.binary(), "decoded": pa.string()}).withColumnRenamed("id", id_col)
+
+
+def decoded(decoder: Decoder, ids: bytes) -> str:
+    """The text of packed ids, decoded a chunk at a time."""
+    size = 4 * CHUNK
+    parts = [decoder.feed(unpacked(ids[at : at + size])) for at in range(0, len(ids), size)]
+    return "".join([*parts, decoder.finish()])
 
+
+def _mapped(rows: DataFrame, each: Callable[[pa.RecordBatch], Iterator[tuple]],
+            fields: dict[str, pa.DataType]) -> DataFrame:
+    """Rows of id and ``fields`` from each piece of a batch, handed back a few megabytes at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(_loaded(path)[0], join)
         for batch in batches:
-            schema = pa.schema([batch.schema.field("id"), pa.field("ids", pa.binary()),
-                                pa.field("decoded", pa.string())])
-            for part in slices(batch, OUT_BYTES // 4):
-                made = ((i, x, text(decoder, x)) for i, x in zip(part["id"].to_pylist(), part["ids"].to_pylist()))
-                yield from in_batches(made, schema, lambda row: len(row[1]) + len(row[2]))
-
-    return (rows.mapInArrow(run, f"id {kind}, ids binary, decoded string")
-            .withColumnsRenamed({"id": id_col, "ids": ids_col}))
+            schema = pa.schema([batch.schema.field("id"), *(pa.field(n, k) for n, k in fields.items())])
+            for part in slices(batch, IN_BYTES):
+                yield from in_batches(each(part), schema, lambda row: sum(map(len, row[1:])))
+
+    kinds = ", ".join(f"{name} {spark_type(kind)}" for name, kind in fields.items())
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {kinds}")

@@ -45,8 +45,7 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = word_vocabulary()
-    coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
+    coded = bpe.round_trip(table(spark, folder, "documents"), word_vocabulary())
     return coded.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

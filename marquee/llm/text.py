@@ -14,7 +14,7 @@ SPACES = " \t\n\v\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows are handed back in batches of about this many bytes, whatever the size of the batch read.
-OUT_BYTES = 16 << 20
+OUT_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
