@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, html_text, mixing, quality, secrets, simhash, spotsigs, toxicity, warc
+from marquee.llm import bpe, html_text, licenses, mixing, quality, secrets, simhash, spotsigs, toxicity, warc
 from marquee.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op7_html(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_pages(table(spark, folder, "pages"))
 
 
+@_query
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @_query
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"), *byte_ranks())
