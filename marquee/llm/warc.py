@@ -116,7 +116,7 @@ def revisits(records: DataFrame) -> DataFrame:
     Only digests and identifiers are shuffled for it. A payload that very many records share
     is counted before the shuffle and joined in split partitions.
     """
-    narrow = records.where(F.octet_length("payload") >= MIN_REVISIT).select(
+    narrow = records.where((F.octet_length("payload") >= MIN_REVISIT) & F.col("key").isNotNull()).select(
         "digest", F.struct("key", "record_id", "url", "date").alias("own"))
     firsts = narrow.groupBy("digest").agg(F.min("own").alias("first"))
     return lookup_join(narrow, firsts, "digest").where("first.key < own.key").select(
@@ -252,7 +252,7 @@ def round_trip(df: DataFrame, key_col: str = "page_id", url_col: str = "url", ht
     One row per row: ``key_col``, ``payload_bytes``, ``payload_digest``, ``record_type`` and
     ``refers_to``. A null page is an empty payload. Of equal payloads of ``MIN_REVISIT`` bytes
     and more the smallest key's is the response; rows that share key and payload are responses
-    alike. A null key is read back as null and is no revisit.
+    alike. A row with a null key is a response to which nothing refers.
     """
     spark = df.sparkSession
     path = path or new_folder(spark, "warc")
