@@ -56,3 +56,49 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
 FROM sized JOIN firsts USING (payload_digest)
 """
+
+_LENGTHS = {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20}
+
+
+def _grams() -> str:
+    """Characters of the words in n-grams that come twice in a text, and for n = 8 the words."""
+    gram = {n: " || ' ' || ".join(["word", *(f"lead(word, {k}) OVER d" for k in range(1, n))]) for n in _LENGTHS}
+    starts = ", ".join(f"{text} AS g{n}" for n, text in gram.items())
+    twice = ", ".join(f"CASE WHEN g{n} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g{n}) > 1 THEN 1 ELSE 0 END AS t{n}"
+                      for n in _LENGTHS)
+    inside = ", ".join(f"max(t{n}) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS i{n}"
+                       for n in _LENGTHS)
+    sums = ", ".join(f"sum(i{n} * len(word)) AS c{n}" for n in _LENGTHS)
+    return f"""
+grams AS (SELECT doc_id, pos, word, {starts} FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+twice AS (SELECT doc_id, pos, word, {twice} FROM grams),
+inside AS (SELECT doc_id, word, {inside} FROM twice),
+counted AS (SELECT doc_id, count(*) AS n_words, sum(len(word)) AS word_chars, sum(i8) AS n_repeat_words, {sums}
+            FROM inside GROUP BY doc_id)"""
+
+
+ORACLE_SQL["op3_quality"] = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+listed AS (SELECT doc_id, regexp_extract_all(text, '{_WORDS}') AS all_words FROM docs),
+words AS (SELECT doc_id, unnest(all_words) AS word, generate_subscripts(all_words, 1) AS pos FROM listed),{_grams()},
+lines AS (
+  SELECT doc_id, line, count(*) AS n, len(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '{_WORDS}') GROUP BY doc_id, line
+), by_line AS (
+  SELECT doc_id, sum(n) AS n_lines, sum(n - 1) AS n_dup_lines, sum((n - 1) * chars) AS dup_chars FROM lines GROUP BY doc_id
+), joined AS (
+  SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, coalesce(dup_chars, 0) AS dup_chars,
+         {", ".join(f"coalesce(c{n}, 0) > {limit} * word_chars AS over{n}" for n, limit in _LENGTHS.items())}
+  FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN by_line USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT (
+         n_dup_lines > 0.30 * n_lines OR dup_chars > 0.20 * word_chars OR n_symbols > 0.2 * n_words
+         OR {" OR ".join(f"over{n}" for n in _LENGTHS)}) AS kept
+FROM joined
+"""
