@@ -1,0 +1,81 @@
+import random
+from array import array
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from marquee.llm import bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = ["", " ", "Hello  World's it''s 123 ñ é ΑΣ İx ﬁ don'T !!!'s", "a<|endoftext|>b <|startoftext|>", "a\u001cb　c",
+       "a" * 9_000, "inin" * 3_000 + "thean" * 900, "!'s" * 3_000, "🙂🙂 x", "x\ny\r\nz\t q", "  K Å ſ"]
+
+
+@pytest.fixture(scope="module")
+def reference():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.Encoder(bpe.Vocabulary(PATH))
+
+
+def test_ids_and_text_are_those_of_the_library(spark, documents, reference):
+    rows = [(n, t) for n, t in enumerate(ODD + [r.text for r in documents.select("text").collect()])]
+    found = bpe.round_trip(spark.createDataFrame(rows, "doc_id bigint, text string"), PATH).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        ids = reference.encode(rows[r.doc_id][1], add_special_tokens=False).ids
+        assert bpe.unpacked(r.ids).tolist() == ids
+        assert r.decoded == reference.decode(ids, skip_special_tokens=False)
+
+
+def test_long_pieces_pass_through_the_window(encoder, reference):
+    chosen = random.Random(2)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "aeinst", "!?*"):
+        text = "".join(chosen.choices(alphabet, k=5 * encoder.window))
+        assert list(encoder.piece(text)) == reference.encode(text, add_special_tokens=False).ids
+        assert list(encoder.piece(text)) == list(encoder._tokens(text, True))
+
+
+def test_tokens_are_those_of_the_definition(encoder):
+    vocabulary = encoder.vocabulary
+    chosen = random.Random(4)
+    for _ in range(3_000):
+        text = "".join(chosen.choices("aehinst!'", k=chosen.randint(1, 9)))
+        symbols = [*text[:-1], text[-1] + bpe.END]
+        assert list(encoder.piece(text)) == [vocabulary.ids[t] for t in bpe.merged(symbols, vocabulary.rank)]
+
+
+def test_lookahead_follows_chains_of_merges():
+    assert bpe.lookahead([("a", "b")]) == 1
+    assert bpe.lookahead([("b", "c"), ("a", "b")]) == 2
+    assert bpe.lookahead([("a", "b"), ("b", "c")]) == 1
+    assert bpe.lookahead([("c", "d"), ("b", "c"), ("a", "b"), ("ab", "cd")]) == 3
+
+
+def test_plain_decoding_is_incremental(encoder):
+    ids = bpe.unpacked(encoder.encode("Ñandú 的🙂 don't stop"))
+    decoder = bpe.Decoder(encoder.vocabulary, join=None)
+    assert "".join(decoder.feed([i]) for i in ids) + decoder.finish() == "ñandú 的 🙂 don 't stop"
+    assert decoder.feed(array("I", [encoder.vocabulary.ids["Ã"]])) + decoder.finish() == "�"
+
+
+def test_awkward_rows(awkward, nothing, reference):
+    found = bpe.round_trip(awkward, PATH)
+    assert found.columns == ["doc_id", "ids", "decoded"]
+    rows = found.collect()
+    assert len(rows) == awkward.count()
+    assert [bytes(r.ids) for r in rows if r.doc_id in (3, 4, 5)] == [b""] * 3
+    assert bpe.round_trip(nothing, PATH).count() == bpe.encode(nothing, PATH).count() == 0
+
+
+def test_encode_then_decode_equals_one_pass(documents):
+    two = bpe.decode(bpe.encode(documents, PATH), PATH)
+    one = bpe.round_trip(documents, PATH)
+    assert sorted(map(tuple, two.collect())) == sorted(map(tuple, one.collect()))

@@ -1,0 +1,57 @@
+import pytest
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from marquee.llm import bpe, quality, queries, simhash
+from tests.oracle_check import database, differences
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query_agrees_with_its_sql_or_has_rows(spark, name):
+    assert differences(spark, database(FOLDER), FOLDER, name) is None
+
+
+def test_ten_operators_and_the_pipeline_are_registered():
+    names = set(driver.queries())
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names
+
+
+def test_stages_against_brute_force(spark, documents):
+    docs, seen = documents, {}
+    for name, stage in corpus_pipeline.STAGES:
+        path = queries_path(spark, name)
+        stage(spark, docs, FOLDER).write.parquet(path)
+        docs = spark.read.parquet(path)
+        seen[name] = docs
+        if name != "tokens":
+            assert docs.columns == documents.columns
+    ids = {n: sorted(r.doc_id for r in d.collect()) for n, d in seen.items()}
+    judged = quality.quality(documents).where("kept").collect()
+    assert ids["quality_rules"] == sorted(r.doc_id for r in judged)
+    groups = simhash.groups(seen["quality_rules"], sketch=simhash.NEAR).collect()
+    assert ids["near_dedup"] == sorted({r.component_id for r in groups})
+    assert ids["secret_scan"] == ids["near_dedup"]
+    assert not any("AKIA" in r.text for r in seen["secret_scan"].collect())
+    assert set(ids["source_mix"]) <= set(ids["secret_scan"]) and ids["tokens"] == ids["source_mix"]
+    encoder = bpe.Encoder(bpe.Vocabulary(queries.word_vocabulary()))
+    want = sorted((r.doc_id, encoder.encode(r.text)) for r in seen["source_mix"].collect())
+    assert sorted((r.doc_id, bytes(r.ids)) for r in seen["tokens"].collect()) == want
+
+
+def test_stages_take_awkward_and_no_rows(spark, awkward, nothing):
+    for docs in (awkward, nothing, documents_of(awkward, "doc_id IN (3, 4)")):
+        for name, stage in corpus_pipeline.STAGES:
+            path = queries_path(spark, name)
+            stage(spark, docs, FOLDER).write.parquet(path)
+            docs = spark.read.parquet(path)
+
+
+def documents_of(df, condition):
+    return df.where(condition)
+
+
+def queries_path(spark, name):
+    return corpus_pipeline.new_folder(spark, f"test-{name}")
