@@ -5,10 +5,11 @@ from marquee.functions.scalars import (
     minute_text,
     number_text,
     one_decimal_text,
-    synthetic_rating,
     tab_line,
     text_or_dashes,
-    unit_fraction,
+    utc_instant,
+    utc_text,
+    utc_time,
 )
 
 __all__ = [
@@ -18,8 +19,9 @@ __all__ = [
     "minute_text",
     "number_text",
     "one_decimal_text",
-    "synthetic_rating",
     "tab_line",
     "text_or_dashes",
-    "unit_fraction",
+    "utc_instant",
+    "utc_text",
+    "utc_time",
 ]

@@ -6,14 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The credit categories that count as acting, the text shown for a
-# missing death year, the minute format of the vote log, the top of the vote scale.
+# missing death year, the minute format of the vote log.
 ACTING_CATEGORIES = ("actor", "actress")
 MISSING_TEXT = "----"
 MINUTE_FORMAT = "dd-MM-yyyy HH-mm"
-MAX_VOTE = 10.0
 
 _HASH_HEX_DIGITS = 15  # 60 bits, so the value is a non-negative BIGINT
-_FRACTION_STEPS = 1_000_000
 
 
 def is_acting(category: Column, acting: tuple[str, ...] = ACTING_CATEGORIES) -> Column:
@@ -43,8 +41,25 @@ def tab_line(*columns: Column | str) -> Column:
     return F.concat_ws("\t", *columns)
 
 
+def utc_time(ts: Column) -> Column:
+    """A time without zone, as UTC shows it. It goes by the count of microseconds, as local times come twice a year."""
+    seconds = (F.unix_micros(ts.cast("timestamp")).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
+    none = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds)
+
+
+def utc_instant(ts: Column) -> Column:
+    """The instant of a time without zone that is meant in UTC."""
+    return F.concat(ts.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
+
+
+def utc_text(ts: Column, pattern: str) -> Column:
+    """A time as UTC shows it, whatever the time zone of the session."""
+    return F.date_format(utc_time(ts), pattern)
+
+
 def minute_text(ts: Column) -> Column:
-    return F.date_format(F.date_trunc("minute", ts), MINUTE_FORMAT)
+    return utc_text(ts, MINUTE_FORMAT)
 
 
 def millis_time(millis: Column) -> Column:
@@ -59,13 +74,3 @@ def hashed_long(*columns: Column) -> Column:
     """
     text = F.concat_ws("|", *[c.cast("string") for c in columns])
     return F.conv(F.substring(F.md5(text), 1, _HASH_HEX_DIGITS), 16, 10).cast("bigint")
-
-
-def unit_fraction(*columns: Column) -> Column:
-    """A repeatable fraction in [0, 1) in steps of one millionth."""
-    return (hashed_long(*columns) % F.lit(_FRACTION_STEPS)) / F.lit(float(_FRACTION_STEPS))
-
-
-def synthetic_rating(fraction: Column, rating: Column) -> Column:
-    """A vote around a title's rating: up to twice the rating, at most ten, whole."""
-    return F.floor(F.least(F.lit(MAX_VOTE), fraction * rating * F.lit(2.0))).cast("bigint")

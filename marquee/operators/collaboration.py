@@ -10,8 +10,10 @@ from marquee.functions.scalars import ACTING_CATEGORIES
 from marquee.operators.credits import acting_credits
 from marquee.operators.joins import lookup_join
 
+#: People of a cast that meet in one task at most. It changes the plan, not the pairs.
 CAST_BLOCK = 1_000
-SET_PART = 100_000
+#: Rows that a set of collaborators is spread over.
+SET_PARTS = 16
 
 
 def shared_title_counts(credits: DataFrame, acting: tuple[str, ...] = ACTING_CATEGORIES,
@@ -63,24 +65,18 @@ def collaborator_pairs(shared: DataFrame) -> DataFrame:
     return collaborator_strength(shared).select("person_id", "other_id")
 
 
-def collaborator_sets(pairs: DataFrame, part_size: int = SET_PART) -> DataFrame:
-    """The sorted collaborators of each person.
+def collaborator_sets(pairs: DataFrame, parts: int = SET_PARTS) -> DataFrame:
+    """The sorted collaborators of each person, in parts.
 
-    A person with up to ``part_size`` of them has one row, part 0. A larger set is
-    spread by hash over several parts, each a row of its own, so that no row or
-    task has to hold a set of unbounded size; the parts together are the set. The
-    explicit repartition keeps the parts of one person apart, which the join on
-    the person alone would not.
+    Every set is spread by a hash of the other person over the same number of parts, so a row
+    is one of ``parts`` of its person, and which part somebody is in never depends on who else
+    is there. A part without anybody has no row; the parts together are the set. ``parts`` is
+    chosen once, for the largest set that is to be held, and bounds a row to that over
+    ``parts``.
     """
-    large = (
-        pairs.groupBy("person_id").agg(F.count("*").alias("_n")).where(F.col("_n") > part_size)
-        .select("person_id", F.ceil(F.col("_n") / part_size).cast("bigint").alias("_parts"))
-    )
-    part = F.when(F.col("_parts").isNotNull(), hashed_long(F.col("other_id")) % F.col("_parts")).otherwise(F.lit(0))
+    part = (hashed_long(F.col("other_id")) % parts).cast("bigint")
     return (
-        lookup_join(pairs, large, "person_id", "left")
-        .withColumn("part", part.cast("bigint"))
-        .repartition("person_id", "part")
+        pairs.withColumn("part", part)
         .groupBy("person_id", "part")
         .agg(F.array_sort(F.collect_list("other_id")).alias("others"))
     )

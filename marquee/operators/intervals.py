@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions import hashed_long, synthetic_rating, unit_fraction
 from marquee.operators.running import running_total
 
 SPAN = 1_024
@@ -52,20 +51,14 @@ def locate(points: DataFrame, intervals: DataFrame, width: Column, levels: Colum
     return placed.join(gridded, ["_level", "_cell"]).where(held).drop("_level", "_cell")
 
 
-def weighted_draws(draws: DataFrame, ratings: DataFrame, draw: str = "draw_id",
-                   ranges: int | None = None) -> DataFrame:
-    """A vote per draw: a title chosen in proportion to its votes, then a rating around its mean.
+def holders(points: DataFrame, weights: DataFrame, key: str, weight: str, ranges: int | None = None) -> DataFrame:
+    """Join each point to the row that holds it when all rows are laid end to end by key.
 
-    Chance comes from a hash of the draw's id, so a lost task repeats the same vote.
+    A row of weight w covers w whole numbers; the first starts at 0. Points past the end, or
+    below 0, are in no row.
     """
-    weighted = ratings.where(F.col("votes") > 0)
-    total = weighted.agg(F.sum("votes")).scalar()
-    width = weighted.agg(F.greatest(F.lit(1), F.expr("sum(votes) div count(1)"))).scalar()
-    levels = weighted.agg(F.collect_set(grid_level(F.col("votes"), width))).scalar()
-    intervals = running_total(weighted, ["title_id"], "votes", "hi", ranges).withColumn(
-        "lo", F.col("hi") - F.col("votes"))
-    points = draws.select(
-        F.col(draw), (hashed_long(F.lit("title"), F.col(draw)) % total).alias("point"),
-        unit_fraction(F.lit("vote"), F.col(draw)).alias("_fraction"))
-    return locate(points, intervals, width, levels).select(
-        draw, "point", "title_id", synthetic_rating(F.col("_fraction"), F.col("mean")).alias("rating"))
+    lengths = weights.where(F.col(weight) > 0)
+    width = lengths.agg(F.greatest(F.lit(1), F.expr(f"sum({weight}) div count(1)"))).scalar()
+    levels = lengths.agg(F.collect_set(grid_level(F.col(weight), width))).scalar()
+    laid = running_total(lengths, [key], weight, "hi", ranges).withColumn("lo", F.col("hi") - F.col(weight))
+    return locate(points, laid, width, levels)

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions import minute_text
+from marquee.functions import minute_text, utc_text
 
 LOT = "10 minutes"
 MEAN_WINDOW = "10 minutes"
@@ -25,22 +25,20 @@ def logged_votes(votes: DataFrame, lot: str = LOT) -> DataFrame:
     """Votes with their minute and the name of their lot, which is the start of its period."""
     return votes.select(
         "title_id", "rating", minute_text(F.col("ts")).alias("minute"),
-        F.date_format(F.window("ts", lot).start, LOT_NAME_FORMAT).alias("lot"),
+        utc_text(F.window("ts", lot).start, LOT_NAME_FORMAT).alias("lot"),
     )
 
 
 def window_means(votes: DataFrame, length: str = MEAN_WINDOW, slide: str = MEAN_SLIDE,
-                 panes: bool | None = None) -> DataFrame:
+                 panes: bool = True) -> DataFrame:
     """Mean vote per title in each sliding window.
 
-    With ``panes``, votes are first summed in pieces that no window edge cuts, and
-    the windows are put together from these, so a vote is not copied into every
-    window it is in. That is the default for tables. A stream would keep a second
-    state for it, which pays only with many votes per title and piece; a vote that
-    comes late then counts in all of its windows or in none.
+    Votes are first summed in pieces that no window edge cuts, and the windows are
+    put together from these, so a vote is not copied into every window it is in; on
+    a stream a vote that comes late counts in all of its windows or in none. Without
+    ``panes`` every vote is copied, which spares a stream the second state where
+    hardly any title has two votes in a piece.
     """
-    if panes is None:
-        panes = not votes.isStreaming
     if panes:
         votes = votes.groupBy(F.window("ts", _common_part(length, slide)).alias("_time"), "title_id").agg(
             F.sum("rating").alias("_rating"), F.count("*").alias("_votes"))

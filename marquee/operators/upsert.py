@@ -22,33 +22,29 @@ def _merged(new: Column, old: Column, new_type: DataType, old_type: DataType) ->
     return F.when(new.isNotNull() | old.isNotNull(), F.struct(*fields))
 
 
-def _one_row_per_key(updates: DataFrame, key: str) -> DataFrame:
-    """Fold repeated keys column by column, taking the greatest value that is present.
+def _one_row_per_key(updates: DataFrame, key: str, order: str | None) -> DataFrame:
+    """Keep one whole row per key: that of the greatest ``order``, among equals the greatest row.
 
     Grouping is on the join key, so it adds no shuffle to the merge after it.
     """
-    folded = []
-    for field in updates.schema.fields:
-        if field.name == key:
-            continue
-        if isinstance(field.dataType, StructType):
-            parts = [F.max(F.col(f"{field.name}.{sub.name}")).alias(sub.name) for sub in field.dataType.fields]
-            folded.append(F.struct(*parts).alias(field.name))
-        else:
-            folded.append(F.max(field.name).alias(field.name))
-    return updates.groupBy(key).agg(*folded)
-
-
-def upsert(base: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    row = F.struct(*[F.col(n) for n in updates.columns if n not in (key, order)])
+    chosen = F.max(F.struct(F.col(order).alias("_order"), row.alias("_row")) if order else F.struct(row.alias("_row")))
+    return updates.groupBy(key).agg(chosen.alias("_chosen")).select(key, "_chosen._row.*")
+
+
+def upsert(base: DataFrame, updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """Insert new keys and overwrite the given columns of known ones.
 
     A column that the update leaves null, or does not have, keeps its old value.
-    An array is replaced whole. ``base`` has one row per key.
+    An array is replaced whole. ``base`` has one row per key. Of updates that share a key
+    one whole row counts, that of the greatest ``order``, a column that is not stored; without
+    one the greatest row.
     """
-    if updates.columns == [key]:
-        folded = updates.distinct()
+    if set(updates.columns) <= {key, order}:
+        folded = updates.select(key).distinct()
     else:
-        folded = _one_row_per_key(updates, key)
+        folded = _one_row_per_key(updates, key, order)
+    updates = updates.drop(order) if order else updates
     old, new = base.alias("old"), folded.alias("new")
     joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
     base_types = {f.name: f.dataType for f in base.schema.fields}

@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from marquee.functions import utc_instant
 from marquee.sources import roles
 from marquee.sources.votes import parquet_stream
 
@@ -74,7 +75,8 @@ def new_votes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _as_votes(events: DataFrame) -> DataFrame:
-    return roles.votes(events, "user_id", F.round(F.col("value") * 100), "ts")
+    """Events as votes; their times have no zone and are UTC."""
+    return roles.votes(events, "user_id", F.round(F.col("value") * 100), utc_instant(F.col("ts")))
 
 
 def event_votes(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,5 +91,7 @@ def stream_titles(spark: SparkSession, folder: str) -> DataFrame:
     return roles.titles(table(spark, folder, "customer"), "c_custkey", "c_name")
 
 
-def draws(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(F.col("event_id").alias("draw_id"))
+def vote_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """The value of each event, in cents, as the number of a vote."""
+    return table(spark, folder, "events").select(
+        "event_id", F.round(F.col("value") * 100).cast("bigint").alias("point"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, trends
-from marquee.schema import LOGGED_VOTES
+from marquee.operators import collaboration, credits, details, ranking, ratings, trends
+from marquee.schema import LOGGED_VOTES, TOP_TITLES, TRENDING_TITLES
 from marquee.sinks.tables import upsert_table
 from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import roles, tables, tsv
@@ -21,33 +22,44 @@ PERSON_TABLE = "actors"
 # Tables
 
 
-def create_tables(spark: SparkSession, titles: str = TITLE_TABLE, people: str = PERSON_TABLE) -> None:
-    tables.create_table(spark, titles, tables.TITLE_TABLE)
-    tables.create_table(spark, people, tables.PERSON_TABLE)
+SCHEMAS = {TITLE_TABLE: tables.TITLE_TABLE, PERSON_TABLE: tables.PERSON_TABLE}
 
 
-def drop_tables(spark: SparkSession, titles: str = TITLE_TABLE, people: str = PERSON_TABLE) -> None:
-    tables.drop_table(spark, titles)
-    tables.drop_table(spark, people)
+def open_tables(spark: SparkSession, folder: str) -> None:
+    """Make the tables that lie in a folder known to this session."""
+    for name, schema in SCHEMAS.items():
+        tables.open_table(spark, name, schema, f"{folder.rstrip('/')}/{name}")
 
 
-def load_titles(spark: SparkSession, path: str, table: str = TITLE_TABLE) -> None:
-    upsert_table(spark, table, details.title_family(tsv.read_titles(spark, path)), "title_id")
+def create_tables(spark: SparkSession, titles: str = TITLE_TABLE, people: str = PERSON_TABLE,
+                  folder: str | None = None) -> None:
+    for name, schema in ((titles, tables.TITLE_TABLE), (people, tables.PERSON_TABLE)):
+        tables.create_table(spark, name, schema, location=folder and f"{folder.rstrip('/')}/{name}")
 
 
-def load_people(spark: SparkSession, path: str, table: str = PERSON_TABLE) -> None:
-    people = details.person_family(roles.people(tsv.read_people(spark, path)))
+def drop_tables(spark: SparkSession, titles: str = TITLE_TABLE, people: str = PERSON_TABLE,
+                delete: bool = False) -> None:
+    for name in (titles, people):
+        tables.drop_table(spark, name, delete)
+
+
+def load_titles(spark: SparkSession, path: str, table: str = TITLE_TABLE, splits: int | None = None) -> None:
+    upsert_table(spark, table, details.title_family(tsv.read_titles(spark, path, splits=splits)), "title_id")
+
+
+def load_people(spark: SparkSession, path: str, table: str = PERSON_TABLE, splits: int | None = None) -> None:
+    people = details.person_family(roles.people(tsv.read_people(spark, path, splits=splits)))
     upsert_table(spark, table, people, "person_id")
 
 
 def load_summaries(spark: SparkSession, credits_path: str, ratings_path: str, titles: str = TITLE_TABLE,
-                   people: str = PERSON_TABLE) -> None:
+                   people: str = PERSON_TABLE, splits: int | None = None) -> None:
     """Number of rated titles and the three best titles of each person, into the person table."""
     names = tables.scan_family(spark.table(titles), "title_id", "details")
     best = credits.person_title_best(
-        roles.credits(tsv.read_credits(spark, credits_path)),
+        roles.credits(tsv.read_credits(spark, credits_path, splits=splits)),
         names,
-        roles.ratings(tsv.read_ratings(spark, ratings_path)),
+        roles.ratings(tsv.read_ratings(spark, ratings_path, splits=splits)),
     )
     upsert_table(spark, people, details.summary_family(credits.title_summary(best)), "person_id")
 
@@ -61,33 +73,26 @@ def page(spark: SparkSession, person_id: str, table: str = PERSON_TABLE) -> Data
 
 
 def top_people(spark: SparkSession, credits_path: str, people_path: str, distinct: bool = True,
-               k: int = ranking.TOP_PEOPLE) -> DataFrame:
+               k: int = ranking.TOP_PEOPLE, splits: int | None = None) -> DataFrame:
     count = ranking.titles_per_person if distinct else ranking.credits_per_person
-    counts = count(roles.credits(tsv.read_credits(spark, credits_path)))
-    return ranking.top_people(counts, roles.people(tsv.read_people(spark, people_path)), k)
+    counts = count(roles.credits(tsv.read_credits(spark, credits_path, splits=splits)))
+    return ranking.top_people(counts, roles.people(tsv.read_people(spark, people_path, splits=splits)), k)
 
 
-def collaborators(spark: SparkSession, credits_path: str) -> DataFrame:
-    shared = collaboration.shared_title_counts(roles.credits(tsv.read_credits(spark, credits_path)))
+def collaborators(spark: SparkSession, credits_path: str, splits: int | None = None) -> DataFrame:
+    shared = collaboration.shared_title_counts(roles.credits(tsv.read_credits(spark, credits_path, splits=splits)))
     return collaboration.collaborator_sets(collaboration.collaborator_pairs(shared))
 
 
 def update_ratings(spark: SparkSession, ratings_path: str, lots_path: str, out: str, fmt: str = "parquet",
-                   codec: str | None = None) -> None:
+                   codec: str | None = None, splits: int | None = None) -> None:
     """Write the ratings file with all logged votes added. ``out`` is not the file it reads."""
-    stored = roles.ratings(tsv.read_ratings(spark, ratings_path))
+    stored = roles.ratings(tsv.read_ratings(spark, ratings_path, splits=splits))
     votes = roles.votes(read_lots(spark, lots_path, fmt), ts=None)
     merged = ratings.merge_ratings(stored, ratings.vote_totals(votes))
     write_tsv(ratings_rows(merged), out, codec)
 
 
-def draw_votes(spark: SparkSession, ratings_path: str, count: int, out: str) -> None:
-    """Write that many votes, drawn in proportion to the stored votes, as vote lines."""
-    draws = spark.range(count).withColumnRenamed("id", "draw_id")
-    votes = intervals.weighted_draws(draws, roles.ratings(tsv.read_ratings(spark, ratings_path)))
-    votes.select(F.concat_ws("\t", "title_id", "rating")).write.mode("overwrite").text(out)
-
-
 # Streams. Each takes the votes of any source in ``marquee.sources.votes``.
 
 
@@ -99,21 +104,32 @@ def log_votes(votes: DataFrame, out: str, checkpoint: str, lot: str = trends.LOT
     return runner.lots_to_files(typed, out, checkpoint, files_per_lot, fmt, every)
 
 
+def _typed(rows: DataFrame, schema: StructType) -> DataFrame:
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def top3(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay: str = "1 minute",
          length: str = trends.MEAN_WINDOW, slide: str = trends.MEAN_SLIDE, every: str | None = "1 minute",
          show: bool = False) -> StreamingQuery:
+    """The three titles with the best mean of each window, in order of window and rank."""
     means = trends.window_means(votes.withWatermark("ts", delay), length, slide)
     titles = runner.kept(titles, "title_id")
-    return runner.to_batches(means, lambda batch: trends.top_window_titles(batch, titles), out, checkpoint,
-                             every, show)
+
+    def report(batch: DataFrame) -> DataFrame:
+        return _typed(trends.top_window_titles(batch, titles), TOP_TITLES)
+
+    return runner.to_batches(means, report, out, checkpoint, every, show, ["window_end", "rank"], [titles])
 
 
 def trending(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay: str = "1 minute",
              period: str = trends.TREND_PERIOD, every: str | None = "1 minute",
              show: bool = False) -> StreamingQuery:
+    """Every title with more votes than in the period before, in order of period and name."""
     rising = trends.rising_titles(votes.withWatermark("ts", delay), period)
     titles = runner.kept(titles, "title_id")
-    if show:
-        return runner.to_batches(rising, lambda batch: trends.named_titles(batch, titles), out, checkpoint,
-                                 every, show)
-    return runner.to_files(trends.named_titles(rising, titles), out, checkpoint, every=every)
+
+    def report(batch: DataFrame) -> DataFrame:
+        return _typed(trends.named_titles(batch, titles), TRENDING_TITLES)
+
+    return runner.to_batches(rising, report, out, checkpoint, every, show, ["period_end", "original_title", "title_id"],
+                             [titles])

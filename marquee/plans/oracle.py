@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from marquee.operators.collaboration import SET_PART
-
 _ACTING = "l_returnflag IN ('A', 'R')"
 
 _BEST = f"""
@@ -80,9 +78,16 @@ means AS (
          CAST(sum(rating) AS BIGINT) / count(*) AS mean_vote, count(*) AS n_votes
   FROM (SELECT title_id, rating, date_trunc('hour', ts) - to_hours(CAST(i AS INTEGER)) AS w
         FROM votes CROSS JOIN range(10) AS r(i))
-  WHERE w + INTERVAL 10 HOUR <= (SELECT up_to FROM finished)
   GROUP BY 1, 2, 3)
 """
+_TOP3 = f"""
+{_MEANS},
+ranked AS (
+  SELECT window_start, window_end, title_id, c_name AS original_title, mean_vote,
+         CAST(row_number() OVER (PARTITION BY window_end ORDER BY mean_vote DESC, title_id) AS INTEGER) AS rank
+  FROM means JOIN customer ON c_custkey = title_id)
+"""
+_FINISHED = "window_end <= (SELECT up_to FROM finished)"
 
 _PERIODS = f"""
 {_VOTES},
@@ -104,22 +109,6 @@ def _hashed(text: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
-_WEIGHTED = f"""
-WITH bounds AS (
-  SELECT p_partkey AS title_id, p_size AS mean,
-         CAST(sum(p_size) OVER (ORDER BY p_partkey) AS BIGINT) AS hi,
-         CAST(sum(p_size) OVER (ORDER BY p_partkey) AS BIGINT) - p_size AS lo
-  FROM part),
-points AS (
-  SELECT event_id AS draw_id,
-         {_hashed("'title|' || event_id")} % (SELECT CAST(sum(p_size) AS BIGINT) FROM part) AS point,
-         ({_hashed("'vote|' || event_id")} % 1000000) / 1000000.0::DOUBLE AS fraction
-  FROM events)
-SELECT draw_id, point, title_id,
-       CAST(floor(least(10.0::DOUBLE, fraction * CAST(mean AS DOUBLE) * 2.0::DOUBLE)) AS BIGINT) AS rating
-FROM points JOIN bounds ON point >= lo AND point < hi
-"""
-
 ORACLE_SQL = {
     "acting_credits": f"SELECT l_orderkey AS title_id, l_suppkey AS person_id FROM lineitem WHERE {_ACTING}",
     "title_details": """
@@ -146,12 +135,8 @@ WHERE {_ACTING} AND p_name <> '' AND p_size <> 0""",
     "collaborator_pairs": f"WITH {_PAIRS} SELECT person_id, other_id FROM strength",
     "collaborator_sets": f"""
 WITH {_PAIRS},
-sized AS (SELECT *, count(*) OVER (PARTITION BY person_id) AS n FROM strength),
 parts AS (
-  SELECT person_id, other_id,
-         CASE WHEN n <= {SET_PART} THEN 0
-              ELSE {_hashed("CAST(other_id AS VARCHAR)")} % CAST(ceil(n / {SET_PART}) AS BIGINT) END AS part
-  FROM sized)
+  SELECT person_id, other_id, {_hashed("CAST(other_id AS VARCHAR)")} % 16 AS part FROM strength)
 SELECT person_id, part, string_agg(CAST(other_id AS VARCHAR), ',' ORDER BY other_id) AS others
 FROM parts GROUP BY 1, 2""",
     "collaborator_strength": f"WITH {_PAIRS} SELECT * FROM strength",
@@ -181,14 +166,10 @@ SELECT epoch_us(ts) // 1000 AS millis, title_id || chr(9) || rating || chr(9) ||
 WITH {_VOTES}
 SELECT {_LOT} AS lot, count(*) AS n_votes, CAST(sum(rating) AS BIGINT) AS vote_sum FROM votes GROUP BY 1""",
     "lots_union": f"WITH {_VOTES} SELECT title_id, rating, {_MINUTE} AS minute, {_LOT} AS lot FROM votes",
-    "window_vote_means": f"WITH {_MEANS} SELECT * FROM means",
-    "top3_window_titles": f"""
-WITH {_MEANS},
-ranked AS (
-  SELECT window_start, window_end, title_id, c_name AS original_title, mean_vote,
-         CAST(row_number() OVER (PARTITION BY window_end ORDER BY mean_vote DESC, title_id) AS INTEGER) AS rank
-  FROM means JOIN customer ON c_custkey = title_id)
-SELECT * FROM ranked WHERE rank <= 3""",
+    "window_vote_means": f"WITH {_MEANS} SELECT * FROM means WHERE {_FINISHED}",
+    "window_vote_means_batch": f"WITH {_MEANS} SELECT * FROM means",
+    "top3_window_titles": f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3 AND {_FINISHED}",
+    "top3_window_titles_batch": f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3",
     "period_vote_counts": f"WITH {_PERIODS} SELECT * FROM counts WHERE period_end <= (SELECT up_to FROM finished)",
     "trending_titles": f"""
 WITH {_PERIODS}
@@ -201,7 +182,13 @@ SELECT rising.*, c_name AS original_title FROM rising JOIN customer ON c_custkey
 SELECT p_partkey AS title_id, CAST(p_size AS BIGINT) AS votes,
        CAST(sum(p_size) OVER (ORDER BY p_partkey) AS BIGINT) AS running_votes
 FROM part""",
-    "weighted_pick": _WEIGHTED,
+    "vote_holders": """
+WITH bounds AS (
+  SELECT p_partkey AS title_id, CAST(sum(p_size) OVER (ORDER BY p_partkey) AS BIGINT) AS hi,
+         CAST(sum(p_size) OVER (ORDER BY p_partkey) AS BIGINT) - p_size AS lo
+  FROM part),
+points AS (SELECT event_id, CAST(round(value * 100) AS BIGINT) AS point FROM events)
+SELECT event_id, point, title_id FROM points JOIN bounds ON point >= lo AND point < hi""",
     "table_upsert": f"""
 WITH {_BEST}
 SELECT CAST(person_id AS VARCHAR) AS person_id, name, birth, death, total, top1, top2, top3 FROM pages""",
@@ -213,4 +200,20 @@ FROM part""",
     "tsv_roundtrip": """
 SELECT CAST(p_partkey AS VARCHAR) AS tconst, CAST(p_size AS DOUBLE) AS "averageRating", p_size AS "numVotes", codec
 FROM part CROSS JOIN (VALUES ('plain'), ('gzip'), ('bzip2')) AS c(codec)""",
+    "titles_tsv": """
+SELECT CAST(p_partkey AS VARCHAR) AS tconst, 'movie' AS "titleType", p_name AS "primaryTitle", p_name AS "originalTitle",
+       0 AS "isAdult", CAST(1900 + p_size AS INTEGER) AS "startYear", CAST(nullif(p_size, 1) AS INTEGER) AS "endYear",
+       CAST(p_size AS INTEGER) AS "runtimeMinutes", replace(p_name, ' ', ',') AS genres
+FROM part""",
+    "title_names_tsv": "SELECT CAST(p_partkey AS VARCHAR) AS title_id, upper(p_name) AS original_title FROM part",
+    "people_tsv": """
+SELECT CAST(s_suppkey AS VARCHAR) AS nconst, s_name AS "primaryName", CAST(s_nationkey AS INTEGER) AS "birthYear",
+       CAST(nullif(s_nationkey, 0) AS INTEGER) AS "deathYear", 'actor' AS "primaryProfession",
+       CAST(NULL AS VARCHAR) AS "knownForTitles"
+FROM supplier""",
+    "credits_tsv": """
+SELECT CAST(l_orderkey AS VARCHAR) AS tconst, CAST(l_linenumber AS INTEGER) AS ordering,
+       CAST(l_suppkey AS VARCHAR) AS nconst, l_returnflag AS category, CAST(NULL AS VARCHAR) AS job,
+       l_linestatus AS characters
+FROM lineitem""",
 }

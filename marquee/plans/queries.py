@@ -14,15 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marquee.functions import millis_time, minute_text, tab_line
+from marquee.functions import millis_time, minute_text, tab_line, utc_time
 from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, running, trends
 from marquee.plans import bindings as b
-from marquee.schema import RATINGS
+from marquee.plans import jobs
+from marquee.schema import RATINGS, TOP_TITLES
 from marquee.session import new_folder
 from marquee.sinks.tables import upsert_table
 from marquee.sinks.tsv import ratings_rows, write_tsv
-from marquee.sources import tables
-from marquee.sources.tsv import read_ratings, read_tsv
+from marquee.sources import roles, tables
+from marquee.sources.tsv import read_credits, read_people, read_ratings, read_titles, read_tsv
 from marquee.sources.votes import read_lots
 from marquee.streaming import runner
 
@@ -31,12 +32,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def _query(run: Query) -> Query:
-    def in_utc(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return run(spark, folder)
-
-    QUERIES[run.__name__] = in_utc
-    return in_utc
+    QUERIES[run.__name__] = run
+    return run
 
 
 def _fresh_table(label: str) -> str:
@@ -44,7 +41,8 @@ def _fresh_table(label: str) -> str:
 
 
 def _ntz(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
+    """Times as UTC shows them."""
+    return df.withColumns({n: utc_time(F.col(n)) for n in names})
 
 
 # Catalog and pages
@@ -113,7 +111,9 @@ def person_page_lookup(spark, folder):
     name = _fresh_table("page_table")
     tables.create_table(spark, name, pages.schema)
     upsert_table(spark, name, pages, "person_id")
-    return details.page_lines(tables.lookup(spark.table(name), "person_id", 7))
+    found = details.page_lines(tables.lookup(spark.table(name), "person_id", 7))
+    tables.drop_table(spark, name)
+    return found
 
 
 # Ranking and collaboration
@@ -238,19 +238,29 @@ def window_vote_means(spark, folder):
     return _ntz(rows, "window_start", "window_end")
 
 
+@_query
+def window_vote_means_batch(spark, folder):
+    """Every window of every vote, from the table."""
+    means = trends.window_means(b.event_votes(spark, folder), b.MEAN_WINDOW, b.MEAN_SLIDE)
+    return _ntz(means, "window_start", "window_end")
+
+
 @_query
 def top3_window_titles(spark, folder):
+    """The three best titles of each finished window, by the job's own path."""
     path = new_folder(spark, "top3")
     child = runner.stream_session(spark)
-    votes = b.event_vote_stream(child, folder).withWatermark("ts", b.DELAY)
-    means = trends.window_means(votes, b.MEAN_WINDOW, b.MEAN_SLIDE)
-    catalog = b.stream_titles(child, folder)
+    query = jobs.top3(b.event_vote_stream(child, folder), b.stream_titles(child, folder), path,
+                      new_folder(spark, "checkpoint"), b.DELAY, b.MEAN_WINDOW, b.MEAN_SLIDE, every=None)
+    runner.finish(query)
+    rows = spark.read.schema(TOP_TITLES).parquet(path).select(*TOP_TITLES.names)
+    return _ntz(rows.withColumn("title_id", F.col("title_id").cast("bigint")), "window_start", "window_end")
 
-    def rank(batch: DataFrame) -> DataFrame:
-        return trends.top_window_titles(batch, catalog)
 
-    runner.finish(runner.to_batches(means, rank, path, new_folder(spark, "checkpoint")))
-    return _ntz(spark.read.parquet(path).drop("batch"), "window_start", "window_end")
+@_query
+def top3_window_titles_batch(spark, folder):
+    means = trends.window_means(b.event_votes(spark, folder), b.MEAN_WINDOW, b.MEAN_SLIDE)
+    return _ntz(trends.top_window_titles(means, b.stream_titles(spark, folder)), "window_start", "window_end")
 
 
 @_query
@@ -274,7 +284,7 @@ def trending_batch(spark, folder):
     return _ntz(rising, "period_start", "period_end")
 
 
-# Weighted choice
+# Running votes
 
 
 @_query
@@ -284,8 +294,10 @@ def running_votes(spark, folder):
 
 
 @_query
-def weighted_pick(spark, folder):
-    return intervals.weighted_draws(b.draws(spark, folder), b.part_ratings(spark, folder))
+def vote_holders(spark, folder):
+    """The title that holds each numbered vote, titles laid end to end by id."""
+    found = intervals.holders(b.vote_numbers(spark, folder), b.part_ratings(spark, folder), "title_id", "votes")
+    return found.select("event_id", "point", "title_id")
 
 
 # Tables and files
@@ -303,7 +315,9 @@ def table_upsert(spark, folder):
     summary = credits.title_summary(_best(spark, folder)).withColumn(
         "person_id", F.col("person_id").cast("string"))
     upsert_table(spark, name, details.summary_family(summary), "person_id")
-    return details.pages_from_table(spark.table(name))
+    pages = details.pages_from_table(spark.table(name))
+    tables.drop_table(spark, name)
+    return pages
 
 
 @_query
@@ -336,3 +350,51 @@ def tsv_roundtrip(spark, folder):
         write_tsv(rows, path, codec)
         parts.append(read_tsv(spark, path, RATINGS).withColumn("codec", F.lit(name)))
     return reduce(DataFrame.unionByName, parts)
+
+
+def _written(spark, name, df):
+    path = new_folder(spark, f"tsv-{name}")
+    write_tsv(df, path)
+    return path
+
+
+@_query
+def titles_tsv(spark, folder):
+    """Titles written as a catalog file and read back; a missing year is null."""
+    part = b.table(spark, folder, "part")
+    rows = part.select(
+        F.col("p_partkey").cast("string").alias("tconst"), F.lit("movie").alias("titleType"),
+        F.col("p_name").alias("primaryTitle"), F.col("p_name").alias("originalTitle"), F.lit(0).alias("isAdult"),
+        (F.lit(1900) + F.col("p_size")).alias("startYear"), F.nullif(F.col("p_size"), F.lit(1)).alias("endYear"),
+        F.col("p_size").alias("runtimeMinutes"), F.replace("p_name", F.lit(" "), F.lit(",")).alias("genres"))
+    return read_titles(spark, _written(spark, "titles", rows))
+
+
+@_query
+def title_names_tsv(spark, folder):
+    """The two columns of a title file that joins need."""
+    part = b.table(spark, folder, "part")
+    rows = part.select(
+        F.col("p_partkey").cast("string").alias("tconst"), F.lit("movie").alias("titleType"),
+        F.col("p_name").alias("primaryTitle"), F.upper("p_name").alias("originalTitle"), F.lit(0).alias("isAdult"),
+        *[F.lit(None).cast("int").alias(c) for c in ("startYear", "endYear", "runtimeMinutes")],
+        F.lit(None).cast("string").alias("genres"))
+    return roles.titles(read_titles(spark, _written(spark, "names", rows)))
+
+
+@_query
+def people_tsv(spark, folder):
+    rows = b.people(spark, folder).select(
+        F.col("person_id").cast("string").alias("nconst"), F.col("name").alias("primaryName"),
+        F.col("birth").alias("birthYear"), F.col("death").alias("deathYear"),
+        F.lit("actor").alias("primaryProfession"), F.lit(None).cast("string").alias("knownForTitles"))
+    return read_people(spark, _written(spark, "people", rows))
+
+
+@_query
+def credits_tsv(spark, folder):
+    rows = b.table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("tconst"), F.col("l_linenumber").cast("int").alias("ordering"),
+        F.col("l_suppkey").cast("string").alias("nconst"), F.col("l_returnflag").alias("category"),
+        F.lit(None).cast("string").alias("job"), F.col("l_linestatus").alias("characters"))
+    return read_credits(spark, _written(spark, "credits", rows))

@@ -3,6 +3,7 @@
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -52,6 +53,24 @@ RATINGS = _struct(
 
 VOTES = _struct(title_id=StringType(), rating=IntegerType(), ts=TimestampType())
 
+TOP_TITLES = _struct(
+    window_start=TimestampType(),
+    window_end=TimestampType(),
+    rank=IntegerType(),
+    title_id=StringType(),
+    original_title=StringType(),
+    mean_vote=DoubleType(),
+)
+
+TRENDING_TITLES = _struct(
+    period_start=TimestampType(),
+    period_end=TimestampType(),
+    title_id=StringType(),
+    n_votes=LongType(),
+    previous_votes=LongType(),
+    original_title=StringType(),
+)
+
 LOGGED_VOTES = _struct(title_id=StringType(), rating=IntegerType(), minute=StringType())
 
 

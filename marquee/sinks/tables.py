@@ -7,33 +7,41 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators.upsert import upsert
-from marquee.session import new_folder
+from marquee.sources import tables
 
 
-def _buckets(spark: SparkSession, name: str) -> int:
-    """The number of buckets the table was created with."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
-    return int(described.data_type)
+def _at_latest(spark: SparkSession, name: str, folder: str) -> tuple[int, int, DataFrame]:
+    """Number, buckets and rows of the latest version; the table is switched to it where another writer left one."""
+    number, buckets, path = tables.versions(spark, folder)[-1]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    if described.data_type.rpartition("/")[2] != path.rpartition("/")[2]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    return number, buckets, spark.table(name)
 
 
-def upsert_table(spark: SparkSession, name: str, updates: DataFrame, key: str) -> str:
-    """Merge rows into a table by key.
+def upsert_table(spark: SparkSession, name: str, updates: DataFrame, key: str, order: str | None = None) -> str:
+    """Merge rows into a table by key; see ``upsert`` for ``order``.
 
-    The new state is written to a new folder and the table is switched to it once
-    the write is complete, so readers never see half of it and a lost job leaves
-    the old state in place. Stored and new rows meet bucket by bucket: only the
-    updates are shuffled, and each task writes the bucket it has merged. Returns
-    the new folder.
+    The new state is written beside the table's versions and becomes the next one once the
+    write is complete, so readers never see half of it and a lost job leaves the old state in
+    place. If another writer has finished a version since this one read, the rows are merged
+    again into that. Stored and new rows meet bucket by bucket: only the updates are
+    shuffled, and each task writes the bucket it has merged. Returns the new folder.
     """
-    target = spark.table(name)
-    folder = new_folder(spark, name.replace(".", "-"))
-    writing = f"{name}_{uuid.uuid4().hex}"
-    merged = upsert(target, updates, key).select(*target.columns)
-    (
-        merged.write.format("parquet").option("path", folder)
-        .bucketBy(_buckets(spark, name), key).sortBy(key).saveAsTable(writing)
-    )
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-    spark.sql(f"DROP TABLE {writing}")
-    spark.catalog.refreshTable(name)
-    return folder
+    folder = tables.table_folder(spark, name)
+    while True:
+        number, buckets, target = _at_latest(spark, name, folder)
+        writing = f"{name}_{uuid.uuid4().hex}"
+        written = f"{folder}/_{uuid.uuid4().hex}"
+        merged = upsert(target, updates, key, order).select(*target.columns)
+        (
+            merged.write.format("parquet").option("path", written)
+            .bucketBy(buckets, key).sortBy(key).saveAsTable(writing)
+        )
+        spark.sql(f"DROP TABLE {writing}")
+        if tables.add_version(spark, folder, written, number + 1, buckets):
+            break
+        tables.delete_folder(spark, written)
+    _at_latest(spark, name, folder)
+    return f"{folder}/{tables.version_name(number + 1, buckets)}"

@@ -11,9 +11,9 @@ from marquee.functions import number_text, one_decimal_text
 def write_tsv(df: DataFrame, path: str, codec: str | None = None, files: int | None = None) -> None:
     """Write with a header line, replacing what is there.
 
-    Every task writes its own file; ``files`` merges them where a reader needs few.
+    Every task writes its own file; with ``files`` the rows are dealt to that many.
     """
-    out = df.coalesce(files) if files else df
+    out = df.repartition(files) if files else df
     writer = out.write.mode("overwrite").options(
         sep="\t", header="true", quote="", escape="", nullValue="\\N", emptyValue="", encoding="UTF-8",
     )

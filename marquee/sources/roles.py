@@ -44,5 +44,5 @@ def votes(df: DataFrame, title: ColumnLike = "title_id", rating: ColumnLike = "r
           ts: ColumnLike | None = "ts") -> DataFrame:
     columns = [_col(title).alias("title_id"), _col(rating).cast("bigint").alias("rating")]
     if ts is not None:
-        columns.append(_col(ts).cast("timestamp").alias("ts"))
+        columns.append(_col(ts).alias("ts"))
     return df.select(*columns)

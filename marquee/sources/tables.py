@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from marquee.session import new_folder
+_VERSION = re.compile(r"v(\d{8})-b(\d+)")
 
 _TITLE_DETAILS = StructType([
     StructField("title_type", StringType()),
@@ -46,6 +48,59 @@ PERSON_TABLE = StructType([
 ])
 
 
+def table_root(spark: SparkSession) -> str:
+    """The folder that tables lie in unless they are given one: the session's warehouse."""
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
+def _files(spark: SparkSession, path: str):
+    """The store that holds a path, and the path in its terms."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def versions(spark: SparkSession, folder: str) -> list[tuple[int, int, str]]:
+    """Number, buckets and folder of each version of a table, oldest first."""
+    store, path = _files(spark, folder)
+    if not store.exists(path):
+        return []
+    names = [s.getPath().getName() for s in store.listStatus(path)]
+    found = [(_VERSION.fullmatch(n), n) for n in names]
+    return sorted((int(m[1]), int(m[2]), f"{folder}/{n}") for m, n in found if m)
+
+
+def version_name(number: int, buckets: int) -> str:
+    return f"v{number:08d}-b{buckets}"
+
+
+def add_version(spark: SparkSession, folder: str, written: str, number: int, buckets: int) -> bool:
+    """Make a folder of finished files the given version. False where that number is there already."""
+    store, target = _files(spark, f"{folder}/{version_name(number, buckets)}")
+    latest = versions(spark, folder)
+    if latest and latest[-1][0] >= number:
+        return False
+    return bool(store.rename(_files(spark, written)[1], target))
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    store, path = _files(spark, folder)
+    store.delete(path, True)
+
+
+def table_folder(spark: SparkSession, name: str) -> str:
+    """The folder that holds all versions of a table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return described.data_type.rpartition("/")[0]
+
+
+def _register(spark: SparkSession, name: str, schema: StructType, key: str, buckets: int, location: str) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+
+
 def create_table(spark: SparkSession, name: str, schema: StructType, key: str | None = None,
                  buckets: int | None = None, location: str | None = None) -> bool:
     """Create an empty Parquet table unless it exists. True where it was created.
@@ -53,26 +108,48 @@ def create_table(spark: SparkSession, name: str, schema: StructType, key: str |
     Rows are bucketed and sorted by ``key``, by default the first column. A merge
     then leaves the stored rows where they are and moves only the updates, and a
     lookup opens one bucket. ``buckets`` is fixed for the life of the table, by
-    default the session's number of shuffle partitions.
+    default the session's number of shuffle partitions. The table's folder is
+    ``location``, by default a new one in the warehouse; each version is a folder
+    in it.
     """
-    if spark.catalog.tableExists(name):
-        return False
     key = key or schema.fields[0].name
+    if spark.catalog.tableExists(name) or location and open_table(spark, name, schema, location, key):
+        return False
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS "
-        f"LOCATION '{location or new_folder(spark, name.replace('.', '-'))}'"
-    )
+    folder = location or f"{table_root(spark)}/{name.replace('.', '-')}-{uuid.uuid4().hex}"
+    first = f"{folder}/{version_name(0, buckets)}"
+    store, path = _files(spark, first)
+    store.mkdirs(path)
+    _register(spark, name, schema, key, buckets, first)
     return True
 
 
-def drop_table(spark: SparkSession, name: str) -> bool:
-    """Drop a table if it is there. Its files stay for readers that still hold them."""
-    existed = spark.catalog.tableExists(name)
+def open_table(spark: SparkSession, name: str, schema: StructType, location: str, key: str | None = None) -> bool:
+    """Make a table that lies in a folder known to the session. False where there is none."""
+    found = versions(spark, location)
+    if not found:
+        return False
+    _register(spark, name, schema, key or schema.fields[0].name, found[-1][1], found[-1][2])
+    return True
+
+
+def drop_table(spark: SparkSession, name: str, delete: bool = False) -> bool:
+    """Drop a table if it is there. Its files stay for readers that still hold them, unless ``delete`` is set."""
+    if not spark.catalog.tableExists(name):
+        return False
+    folder = table_folder(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return existed
+    if delete:
+        delete_folder(spark, folder)
+    return True
+
+
+def clean_versions(spark: SparkSession, name: str, keep: int = 2) -> int:
+    """Delete all versions of a table but the last ``keep``, one at least; the number deleted."""
+    old = versions(spark, table_folder(spark, name))[: -max(1, keep)]
+    for _, _, folder in old:
+        delete_folder(spark, folder)
+    return len(old)
 
 
 def scan_family(table: DataFrame, key: str, family: str) -> DataFrame:

@@ -28,7 +28,6 @@ def stream_session(spark: SparkSession) -> SparkSession:
     session's number of shuffle partitions, on a local master at most one per core.
     """
     child = spark.newSession()
-    child.conf.set("spark.sql.session.timeZone", "UTC")
     for key, value in STATE_STORE.items():
         child.conf.set(key, value)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -42,16 +41,13 @@ def kept(static: DataFrame, key: str) -> DataFrame:
     """A static table kept on the executors in the partitioning of its join.
 
     Every micro-batch joins it again; this way it is read and shuffled once. A
-    partition lost with its executor is made again.
+    partition lost with its executor is made again. Its session plans without adaptive
+    execution, which would hide the partitioning of a cached table; give it a session
+    of its own, as ``stream_session`` makes.
     """
     conf = static.sparkSession.conf
-    adaptive = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive cached plan hides its partitioning
-    try:
-        return static.repartition(int(conf.get("spark.sql.shuffle.partitions")), key).persist(
-            StorageLevel.MEMORY_AND_DISK)
-    finally:
-        conf.set("spark.sql.adaptive.enabled", adaptive)
+    conf.set("spark.sql.adaptive.enabled", "false")
+    return static.repartition(int(conf.get("spark.sql.shuffle.partitions")), key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _trigger(every: str | None) -> dict:
@@ -79,37 +75,64 @@ def lots_to_files(logged: DataFrame, path: str, checkpoint: str, files_per_lot:
                   fmt: str = "parquet", every: str | None = None) -> StreamingQuery:
     """Write each lot to its own folder, named for its period.
 
-    ``files_per_lot`` gathers the rows of a lot into that many files per batch,
-    spread by title; without it every task writes its own rows and nothing moves.
+    ``files_per_lot`` gathers the rows of a lot into that many files per batch. Rows are spread
+    by chance, equal ones too, so a hot title's votes are in all of them; without it every task
+    writes its own rows and nothing moves.
     """
     if files_per_lot:
-        spread = F.pmod(F.xxhash64("title_id", "minute", "rating"), F.lit(files_per_lot))
+        spread = F.floor(F.rand(files_per_lot) * files_per_lot)
         logged = logged.repartition("lot", spread)
     return to_files(logged, path, checkpoint, partition_by="lot", fmt=fmt, every=every)
 
 
+#: Rows of a batch that are printed; of more, the folder and their number are.
+SHOWN = 10_000
+
+
 def to_batches(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
-               every: str | None = None, show: bool = False) -> StreamingQuery:
+               every: str | None = None, show: bool = False, order: list[str] | None = None,
+               keeping: list[DataFrame] | None = None) -> StreamingQuery:
     """Apply a table transform to the windows that each micro-batch finishes.
 
     In append mode a window is finished in one batch, so ranking inside the batch
-    sees all of it. A batch that is run again replaces its own folder.
+    sees all of it. A batch that is run again replaces its own folder. Rows are written
+    in ``order``; with ``show`` all of them are printed too. ``keeping`` are tables whose
+    copies on the executors go once the query has ended.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch)
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        folder = f"{path}/batch={batch_id}"
+        (rows.orderBy(*order) if order else rows).write.mode("overwrite").parquet(folder)
         if show:
-            batch.sparkSession.read.parquet(f"{path}/batch={batch_id}").show(truncate=False)
-
-    return (
+            written = batch.sparkSession.read.schema(rows.schema).parquet(folder)
+            count = written.count()
+            if count <= SHOWN:
+                (written.orderBy(*order) if order else written).show(count, truncate=False)
+            else:
+                print(f"{count} rows in {folder}")
+
+    query = (
         stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
         .foreachBatch(write).trigger(**_trigger(every)).start()
     )
+    if keeping:
+        _KEPT[str(query.id)] = keeping
+    return query
+
+
+_KEPT: dict[str, list[DataFrame]] = {}
+
+
+def release(query: StreamingQuery) -> None:
+    """Drop what was kept on the executors for a query that has ended."""
+    for table in _KEPT.pop(str(query.id), []):
+        table.unpersist()
 
 
 def finish(query: StreamingQuery) -> None:
     """Wait for a query that stops by itself and raise what it failed on."""
     query.awaitTermination()
+    release(query)
     failure = query.exception()
     if failure is not None:
         raise failure

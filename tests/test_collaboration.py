@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 from itertools import permutations
 
@@ -10,6 +11,10 @@ from marquee.operators import collaboration
 CREDIT = "title_id string, person_id string, category string"
 
 
+def part_of(person, parts=16):
+    return int(hashlib.md5(person.encode()).hexdigest()[:15], 16) % parts
+
+
 def brute_force(pairs):
     casts = {}
     for title, person in pairs:
@@ -31,7 +36,9 @@ def test_repeats_and_shared_titles(spark, rows):
     shared = collaboration.shared_title_counts(df)
     assert rows(shared) == [("a", "b", 2), ("a", "c", 1), ("b", "c", 1)]
     sets = collaboration.collaborator_sets(collaboration.collaborator_pairs(shared))
-    assert rows(sets) == [("a", 0, ["b", "c"]), ("b", 0, ["a", "c"]), ("c", 0, ["a", "b"])]
+    want = [(p, part, [o for o in "abc" if o != p and part_of(o) == part])
+            for p in "abc" for part in {part_of(o) for o in "abc" if o != p}]
+    assert rows(sets) == sorted(want, key=repr)
 
 
 @pytest.mark.parametrize("block", [1, 2, 7, 1000])
@@ -51,12 +58,18 @@ def test_pairs_are_symmetric_and_never_self(spark, pairs, block):
     assert all(a != b and found[(b, a)] == n for (a, b), n in found.items())
 
 
-def test_a_large_set_is_whole_over_its_parts(spark):
-    pairs = spark.createDataFrame(
-        [("hub", f"p{n:03}") for n in range(200)] + [("p000", "hub")], "person_id string, other_id string")
-    sets = collaboration.collaborator_sets(pairs, part_size=30).collect()
+def test_a_set_is_whole_over_its_parts(spark):
+    pairs = [("hub", f"p{n:03}") for n in range(200)] + [("p000", "hub")]
+    sets = collaboration.collaborator_sets(spark.createDataFrame(pairs, "person_id string, other_id string")).collect()
     hub = [r for r in sets if r.person_id == "hub"]
-    assert {r.part for r in hub} == set(range(7))
+    assert {r.part for r in hub} == set(range(16))
     assert sorted(p for r in hub for p in r.others) == [f"p{n:03}" for n in range(200)]
     assert all(list(r.others) == sorted(r.others) for r in sets)
-    assert [(r.part, r.others) for r in sets if r.person_id == "p000"] == [(0, ["hub"])]
+
+
+def test_rows_of_a_person_do_not_depend_on_others(spark):
+    few = [("a", f"p{n}") for n in range(20)]
+    many = few + [("b", f"q{n}") for n in range(500)]
+    kept = [sorted(r for r in collaboration.collaborator_sets(
+        spark.createDataFrame(p, "person_id string, other_id string")).collect() if r.person_id == "a") for p in (few, many)]
+    assert kept[0] == kept[1]

@@ -11,7 +11,7 @@ BATCH = [
     "acting_credits", "title_details", "person_details", "credited_rated_titles", "person_title_best",
     "person_top3_titles", "person_title_total", "person_pages", "top10_people_by_titles",
     "top10_people_by_credits", "collaborator_pairs", "collaborator_sets", "collaborator_strength",
-    "new_vote_totals", "ratings_merge", "vote_minutes", "trending_batch", "running_votes", "weighted_pick",
+    "new_vote_totals", "ratings_merge", "vote_minutes", "trending_batch", "running_votes", "vote_holders",
 ]
 
 
@@ -38,7 +38,7 @@ def test_no_python_no_nested_loops_and_no_unbounded_broadcast(big, name):
     plan = planned(queries.QUERIES[name](big, FOLDER))
     for node in ("Python", "Pandas", "NestedLoop", "CartesianProduct"):
         assert node not in plan
-    bounded = {"top10_people_by_titles": 1, "top10_people_by_credits": 1, "running_votes": 1, "weighted_pick": 1}
+    bounded = {"top10_people_by_titles": 1, "top10_people_by_credits": 1, "running_votes": 1, "vote_holders": 1}
     assert plan.count("BroadcastExchange") == bounded.get(name, 0)
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.operators.intervals import grid_level, locate, weighted_draws
+from marquee.operators.intervals import grid_level, holders, locate
 from marquee.operators.running import running_total
 
 
@@ -41,14 +41,8 @@ def test_points_on_bounds_belong_to_the_next_interval(spark):
     assert {r.point: r.name for r in found.collect()} == want
 
 
-def test_draws_follow_the_weights_and_repeat(spark):
-    ratings = spark.createDataFrame(
-        [("a", 8.0, 1), ("hot", 6.0, 700), ("none", 9.0, 0), ("c", 1.0, 299)], "title_id string, mean double, votes long")
-    draws = spark.range(3000).withColumnRenamed("id", "draw_id")
-    first = weighted_draws(draws, ratings, ranges=2).collect()
-    assert len(first) == 3000
-    assert sorted(first) == sorted(weighted_draws(draws.repartition(7), ratings, ranges=3).collect())
-    share = sum(r.title_id == "hot" for r in first) / 3000
-    assert 0.65 < share < 0.75
-    assert all(0 <= r.rating <= 10 for r in first) and not any(r.title_id == "none" for r in first)
-    assert max(r.rating for r in first if r.title_id == "c") <= 1
+def test_every_number_below_the_sum_has_one_holder(spark):
+    weights = spark.createDataFrame([("a", 1), ("hot", 700), ("none", 0), ("z", 299)], "title_id string, votes long")
+    points = spark.range(-2, 1003).withColumnRenamed("id", "point")
+    found = {r.point: r.title_id for r in holders(points, weights, "title_id", "votes", ranges=2).collect()}
+    assert found == {p: "a" if p < 1 else "hot" if p < 701 else "z" for p in range(1000)}

@@ -1,6 +1,7 @@
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee.operators.upsert import upsert
 from marquee.sinks.tables import upsert_table
@@ -13,13 +14,13 @@ def test_upsert_inserts_and_keeps_what_is_not_given(spark, rows):
     assert rows(upsert(base, updates, "k")) == [("a", 1, "x"), ("b", 2, "z"), ("c", 3, None)]
 
 
-def test_upsert_merges_families_and_folds_repeated_keys(spark, rows):
+def test_upsert_merges_families_and_takes_whole_rows(spark, rows):
     base = spark.createDataFrame([("a", ("n", 1)), ("b", None)], "k string, f struct<name:string,year:int>")
     updates = spark.createDataFrame(
         [("a", (None, 5), 1), ("a", (None, 4), 2), ("b", ("m", None), None)],
         "k string, f struct<name:string,year:int>, extra int")
     out = upsert(base, updates, "k").select("k", "f.*", "extra")
-    assert rows(out) == [("a", "n", 5, 2), ("b", "m", None, None)]
+    assert rows(out) == [("a", "n", 5, 1), ("b", "m", None, None)]
 
 
 def test_shorter_array_replaces_the_whole_array(spark, rows):
@@ -82,3 +83,38 @@ def test_merge_moves_only_the_updates_and_writes_a_file_per_bucket(spark, tmp_pa
     table = spark.table(name)
     assert table.count() == 1100 and table.where("x.a = -1").count() == 110 and table.where("y.b >= 990").count() == 10
     assert spark.sql(f"SHOW TABLES LIKE '{name}_*'").count() == 0
+
+
+def test_no_row_is_put_together_from_two(spark, rows):
+    base = spark.createDataFrame([], "k string, name string, year int")
+    updates = spark.createDataFrame([("a", "Ada", 1990, 2), ("a", "Zoe", 1950, 1)], "k string, name string, year int, at int")
+    assert rows(upsert(base, updates.drop("at"), "k")) == [("a", "Zoe", 1950)]
+    assert rows(upsert(base, updates, "k", "at")) == [("a", "Ada", 1990)]
+
+
+def test_two_writers_on_one_row_both_survive(spark, rows, monkeypatch):
+    """A second merge finishes between the first one's read and its switch."""
+    from marquee.sinks import tables as sink
+    from marquee.sources import tables
+
+    schema = StructType.fromDDL("k string, a int, b int")
+    tables.create_table(spark, "two_writers", schema, buckets=2)
+    first = spark.createDataFrame([("x", 1)], "k string, a int")
+    second = spark.createDataFrame([("x", 2)], "k string, b int")
+    add, calls = tables.add_version, []
+
+    def late(*args):
+        if not calls:
+            calls.append(1)
+            sink.upsert_table(spark, "two_writers", second, "k")
+        return add(*args)
+
+    monkeypatch.setattr(tables, "add_version", late)
+    sink.upsert_table(spark, "two_writers", first, "k")
+    assert rows(spark.table("two_writers")) == [("x", 1, 2)]
+    folder = tables.table_folder(spark, "two_writers")
+    assert [n for n, _, _ in tables.versions(spark, folder)] == [0, 1, 2]
+    assert tables.clean_versions(spark, "two_writers", keep=1) == 2
+    assert rows(spark.table("two_writers")) == [("x", 1, 2)]
+    assert tables.drop_table(spark, "two_writers", delete=True) and tables.versions(spark, folder) == []
+    assert not tables.drop_table(spark, "two_writers")

@@ -180,10 +180,11 @@ def test_vote_lines(spark, rows):
     assert rows(parse_votes(lines)) == [("a", 7, START), ("d", 0, START)]
 
 
-def test_drawn_votes_flow_through_text_stream_into_the_ratings_file(spark, tmp_path):
+def test_votes_flow_through_text_stream_into_the_ratings_file(spark, tmp_path):
     ratings = tmp_path / "ratings.tsv"
     ratings.write_text("tconst\taverageRating\tnumVotes\nt1\t8.0\t90\nt2\t2.0\t10\n")
-    jobs.draw_votes(spark, str(ratings), 200, str(tmp_path / "lines"))
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "one.txt").write_text("".join(f"t{n % 2 + 1}\t{n % 11}\n" for n in range(200)))
     child = runner.stream_session(spark)
     lots = str(tmp_path / "lots")
     runner.finish(jobs.log_votes(text_votes(child, str(tmp_path / "lines")), lots, str(tmp_path / "c"), every=None))
@@ -196,3 +197,48 @@ def test_drawn_votes_flow_through_text_stream_into_the_ratings_file(spark, tmp_p
     sums = {r.title_id: r.s for r in logged.groupBy("title_id").agg(F.sum("rating").alias("s")).collect()}
     for title, mean, n in (("t1", 8.0, 90), ("t2", 2.0, 10)):
         assert abs(new[title].averageRating - (mean * n + sums.get(title, 0)) / new[title].numVotes) <= 0.0501
+
+
+def test_lots_and_minutes_are_utc_in_any_session(spark):
+    """At the end of summer time two lots would get one name in local time."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        votes = spark.sql("SELECT 't' AS title_id, 1L AS rating, timestamp_seconds(s) AS ts "
+                          "FROM VALUES (1730612100L), (1730615700L) AS v(s)")
+        found = {(r.lot, r.minute) for r in trends.logged_votes(votes).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == {("2024-11-03 05-30", "03-11-2024 05-35"), ("2024-11-03 06-30", "03-11-2024 06-35")}
+
+
+def _trend_stream(spark, tmp_path, **options):
+    """25 rising titles in one period, and a late vote that ends it."""
+    child = runner.stream_session(spark)
+    source = str(tmp_path / "votes")
+    child.sql("SELECT concat('t', id) AS title_id, 5L AS rating, timestamp'2024-01-01 00:05:00' AS ts FROM range(25) "
+              "UNION ALL SELECT 'late', 1L, timestamp'2024-01-01 09:00:00'").write.parquet(source)
+    votes = child.readStream.schema("title_id string, rating long, ts timestamp").parquet(source)
+    titles = child.sql("SELECT concat('t', id) AS title_id, concat('Title ', id) AS original_title FROM range(25)")
+    return jobs.trending(votes, titles, str(tmp_path / "out"), str(tmp_path / "c"), show=True, **options)
+
+
+def test_a_report_shows_every_title(spark, tmp_path, capsys):
+    runner.finish(_trend_stream(spark, tmp_path, every=None))
+    shown = capsys.readouterr().out
+    assert all(f"|Title {n} " in shown or f"|Title {n}|" in shown for n in range(25))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 25
+    assert not runner._KEPT
+
+
+def test_a_stream_with_a_trigger_can_be_stopped(spark, tmp_path):
+    import time
+
+    query = _trend_stream(spark, tmp_path, every="1 second")
+    for _ in range(60):
+        if list((tmp_path / "out").glob("batch=*/_SUCCESS")) and len(query.recentProgress) > 2:
+            break
+        time.sleep(1)
+    query.stop()
+    runner.finish(query)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 25
