@@ -282,8 +282,8 @@ def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       sketch: Sketch = NEAR) -> DataFrame:
     """``df``'s row of the smallest id of each group, whole and unchanged.
 
-    Of rows that share an id any one stays. A row without an id goes if its fingerprint is
-    that of a row with one, else it stays.
+    Of rows that share an id any one stays. Rows without an id all stay, as none can stand
+    for another.
     """
     found = groups(df, id_col, text_col, sketch)
     stay = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_stays")).distinct()
