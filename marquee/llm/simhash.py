@@ -143,13 +143,13 @@ def _bucket(table: Column, masked: Column) -> Column:
 
 
 def _meetings(points: DataFrame, radius: int) -> DataFrame:
-    """Every point once per probe and table: point, code, the probe it is there for, and the bucket."""
+    """Every point once per probe and table: the point, which probe it is there for, and the bucket."""
     family = F.array(*[F.lit(_signed(m)) for m in masks(radius)])
     return (
-        points.select("point", "code", F.posexplode("probes").alias("nth", "probe"))
-        .select("point", "code", "nth", "probe", F.posexplode(family).alias("table", "mask"))
-        .select("point", "code", "probe", _bucket(F.col("nth") * 1000 + F.col("table"),
-                                                  F.col("probe").bitwiseAND(F.col("mask"))).alias("bucket"))
+        points.select("point", F.posexplode("probes").alias("nth", "probe"))
+        .select("point", "nth", "probe", F.posexplode(family).alias("table", "mask"))
+        .select("point", F.col("nth").cast("tinyint").alias("nth"), _bucket(
+            F.col("nth") * 1000 + F.col("table"), F.col("probe").bitwiseAND(F.col("mask"))).alias("bucket"))
     )
 
 
@@ -157,11 +157,13 @@ def links(points: DataFrame, sketch: Sketch = PLAIN, large: int = LARGE_BUCKET)
     """Links (a, b), a < b, that connect all points which some table brings together and the code links.
 
     ``points`` has ``point``, ``probes`` and ``code``. Of points linked in a ring some links
-    are left out; which points hang together is the same.
+    are left out; which points hang together is the same. Buckets are counted first, and
+    only what shares one is joined with its code.
     """
     met = _meetings(points, sketch.radius)
     sizes = met.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = met.join(sizes, "bucket")
+    shared = met.join(sizes, "bucket").join(points.select("point", "code", "probes"), "point").withColumn(
+        "probe", F.col("probes")[F.col("nth").cast("int")])
     second = F.array(*[F.lit(_signed(m)) for m in masks(sketch.radius, 1)])
     some = F.array(F.lit(None).cast("bigint"))
     dealt = (
