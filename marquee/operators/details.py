@@ -63,15 +63,20 @@ def shown_person(people: DataFrame) -> DataFrame:
     return people.withColumn("death", text_or_dashes(F.col("death")))
 
 
+# The labels of a page.
+LABELS = ("Name: ", "Birth: ", "Death: ", "Number of movies: ")
+
+
 def page_lines(pages: DataFrame) -> DataFrame:
     """Pages as the lines that are shown; a ranked title that is missing has no line."""
     def ranked(n):
         return F.when(F.col(f"top{n}").isNotNull(), F.concat(F.lit(f"#{n} => "), F.col(f"top{n}")))
+    name, birth, death, total = map(F.lit, LABELS)
     lines = F.array(
-        F.concat(F.lit("Name: "), F.coalesce("name", F.lit(""))),
-        F.concat(F.lit("Birth: "), text_or_dashes(F.col("birth"))),
-        F.concat(F.lit("Death: "), text_or_dashes(F.col("death"))),
-        F.concat(F.lit("Number of movies: "), F.col("total").cast("string")),
+        F.concat(name, F.coalesce("name", F.lit(""))),
+        F.concat(birth, text_or_dashes(F.col("birth"))),
+        F.concat(death, text_or_dashes(F.col("death"))),
+        F.concat(total, F.col("total").cast("string")),
         ranked(1), ranked(2), ranked(3),
     )
     shown = F.filter(lines, lambda line: line.isNotNull())

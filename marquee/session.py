@@ -12,9 +12,9 @@ def build_session(app: str = "marquee", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators expect.
 
-    Times are read and grouped in UTC. Adaptive execution sizes the partitions,
-    splits hot join partitions and turns a join into a broadcast join only once
-    the small side has been measured.
+    Times are shown in UTC. Adaptive execution sizes the partitions and splits hot
+    join partitions. Which joins are broadcast follows Spark's thresholds: from file
+    sizes when a query is planned, from measured sizes while it runs.
     """
     builder = (
         SparkSession.builder.appName(app)
