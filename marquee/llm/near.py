@@ -1,0 +1,193 @@
+"""Near duplicates by the exact Jaccard likeness of distinct five-word shingles.
+
+Two texts meet if a band of their MinHash values is equal. A band of ``ROWS`` values is equal
+with probability J ** ROWS whatever the edits look like, so of the pairs at J = 0.8 one in
+40,000 meets in none of the ``BANDS`` bands, and fewer above. What meets is compared by its
+whole sets of shingles, and only pairs at ``LEAST`` or more are linked.
+
+Equal sets are one point from the start, and buckets of the same points are one bucket. The
+points of a large bucket are compared with its smallest point first, each by itself. Only
+those that are not like it are then compared with the whole bucket, in blocks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marquee.llm.quality import mixed
+from marquee.llm.simhash import components, shingle_hashes
+from marquee.llm.text import map_texts
+from marquee.session import shared_dir
+
+WORDS = 5
+BANDS, ROWS = 20, 4
+#: Linked if shared * LEAST[1] >= all * LEAST[0].
+LEAST = (4, 5)
+
+#: Points in a bucket above which it is compared in blocks. It changes the plan, not the links.
+LARGE_BUCKET = 1_000
+
+_STEP = 0x9E3779B97F4A7C15
+
+
+def shingles(text: str) -> np.ndarray:
+    """The hashes of a text's distinct shingles, sorted."""
+    return shingle_hashes(text.encode("utf-8", "surrogatepass").lower().split(), WORDS, True)
+
+
+def signatures(texts: list[str]) -> list[list]:
+    """A digest of each text's set of shingles, and its bands."""
+    sets = [shingles(t) for t in texts]
+    keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    held = np.flatnonzero(sizes)
+    bands = np.zeros((len(sets), BANDS), np.uint64)
+    if len(held):
+        whole = np.concatenate(sets)
+        first = np.concatenate(([0], np.cumsum(sizes[held])[:-1]))
+        for k in range(BANDS * ROWS):
+            least = np.minimum.reduceat(mixed(whole + np.uint64((k + 1) * _STEP & (1 << 64) - 1)), first)
+            bands[held, k // ROWS] = mixed(bands[held, k // ROWS] * np.uint64(31) + least)
+    return [keys, bands.view(np.int64).tolist()]
+
+
+def alike(shared, a, b):
+    """Whether sets of a and b shingles that share so many are to be linked; in whole numbers."""
+    return LEAST[1] * shared >= LEAST[0] * (a + b - shared)
+
+
+def links(points: DataFrame, texts: DataFrame, large: int = LARGE_BUCKET) -> DataFrame:
+    """Links (a, b), a < b, that connect all points that meet in some band and are alike.
+
+    ``points`` has ``point`` and ``bands``, ``texts`` has ``point`` and ``text``. Of points
+    linked in a ring some links are left out; which points hang together is the same.
+    """
+    met = points.select("point", F.posexplode("bands").alias("band", "value")).select(
+        "point", F.xxhash64("band", "value").alias("bucket"))
+    held = met.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("point").alias("pivot"), F.max("point").alias("last"),
+        F.expr("bit_xor(xxhash64(point))").alias("x"), F.expr("bit_xor(xxhash64(point, 1))").alias("y")).where("pivot < last")
+    single = held.groupBy("size", "pivot", "last", "x", "y").agg(F.min("bucket").alias("bucket"))
+    shared = met.join(single.select("bucket", "size", "pivot"), "bucket").checkpoint()
+    wanted = shared.select("point").distinct()
+    texts = texts.join(wanted, "point", "left_semi").checkpoint()
+    kind = points.schema["point"].dataType.simpleString()
+    schema = f"a {kind}, b {kind}"
+
+    small = shared.where(F.col("size") <= large).select("bucket", "point").withColumn("block", F.lit(0).cast("bigint"))
+    hot = shared.where(F.col("size") > large)
+    of_pivot = hot.select("pivot", "point").where("pivot < point").distinct()
+    both = of_pivot.join(texts, "point").join(
+        texts.select(F.col("point").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
+    stars = both.mapInArrow(_checked, schema).distinct().checkpoint()
+
+    # in a large bucket, blocks of those not like its smallest point meet blocks of all
+    apart = hot.join(stars, [hot["pivot"] == stars["a"], hot["point"] == stars["b"]], "left_anti").where("pivot < point")
+    rest = apart.groupBy("bucket").agg(F.count("*").alias("rest"))
+    parts = F.ceil(F.col("size") / large)
+    rows = F.ceil(F.col("rest") / large)
+    own = F.xxhash64("point", F.lit(2))
+    across = hot.join(rest, "bucket").select("bucket", "point", F.explode(F.sequence(F.lit(0), rows - 1)).alias("row"),
+                                             F.pmod(own, parts).alias("column"), parts.alias("parts"))
+    down = apart.join(rest, "bucket").select("bucket", "point", F.pmod(own, rows).alias("row"), F.explode(
+        F.sequence(F.lit(0), parts - 1)).alias("column"), parts.alias("parts"))
+    blocks = across.union(down).select("bucket", "point", (F.col("row") * F.col("parts") + F.col("column") + 1).alias("block"))
+    met = small.union(blocks.distinct()).join(texts, "point").select(F.xxhash64("bucket", "block").alias("bucket"), "point", "text")
+    gathered = met.repartition("bucket").sortWithinPartitions("bucket")
+    return gathered.mapInArrow(_forests, schema).union(stars).distinct()
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Those points that are like their pivot."""
+    for batch in batches:
+        keep, known = [], {}
+        for pivot, point, text, other in zip(*(batch.column(c).to_pylist() for c in ("pivot", "point", "text", "pivot_text"))):
+            if other not in known:
+                known = {other: shingles(other)}
+            one, two = shingles(text), known[other]
+            keep.append(bool(alike(len(np.intersect1d(one, two, True)), len(one), len(two))))
+        chosen = batch.filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([chosen.column("pivot"), chosen.column("point")], names=["a", "b"])
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The forest of each bucket, from rows sorted by bucket."""
+    def made(pairs: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        pairs = [(min(p), max(p)) for p in pairs if p[0] != p[1]]
+        return pa.RecordBatch.from_arrays([pa.array([p[n] for p in pairs], kind) for n in (0, 1)], names=["a", "b"])
+
+    at, points, sets, kind = None, [], [], None
+    for batch in batches:
+        found, kind = [], batch.schema.field("point").type
+        for bucket, point, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "point", "text"))):
+            if bucket != at:
+                found += forest(points, sets)
+                at, points, sets = bucket, [], []
+            points.append(point)
+            sets.append(shingles(text))
+        yield made(found, kind)
+    if points:
+        yield made(forest(points, sets), kind)
+
+
+def forest(points: list, sets: list[np.ndarray]) -> list[tuple]:
+    """Links that connect what is alike within one bucket: each point is compared with those not reached yet."""
+    if len(points) < 2:
+        return []
+    if len(points) == 2:
+        one, two = sets
+        return [tuple(points)] if alike(len(np.intersect1d(one, two, True)), len(one), len(two)) else []
+    sizes = np.array([len(s) for s in sets])
+    values, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    numbered = np.split(numbers, ends[:-1])
+    marked = np.zeros(len(values), np.int32)
+    left, found = np.arange(len(points)), []
+    whole, starts = None, None
+    while len(left):
+        reached, left = [int(left[0])], left[1:]
+        whole = None
+        while reached and len(left):
+            at = reached.pop()
+            if whole is None:
+                whole = np.concatenate([numbered[n] for n in left])
+                starts = np.concatenate(([0], np.cumsum(sizes[left])[:-1]))
+            marked[numbered[at]] = 1
+            shared = np.add.reduceat(marked[whole], starts)
+            marked[numbered[at]] = 0
+            near = alike(shared, sizes[left], sizes[at])
+            if near.any():
+                hit = left[near].tolist()
+                found += [(points[at], points[n]) for n in hit]
+                reached += hit
+                left, whole = left[~near], None
+    return found
+
+
+def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", large: int = LARGE_BUCKET) -> DataFrame:
+    """``id_col`` and ``component_id``, the smallest id that a row is linked with over any way.
+
+    Rows that share an id count as one document; rows without an id are left out. Texts
+    without words are alike. Ids are whole numbers.
+    """
+    shared_dir(df.sparkSession)
+    rows = df.where(F.col(f"`{id_col}`").isNotNull())
+    made = map_texts(rows, id_col, text_col, signatures, {"key": pa.binary(), "bands": pa.list_(pa.int64())})
+    made = made.withColumnRenamed(id_col, "id").checkpoint()
+    points = made.groupBy("key").agg(F.min("id").alias("point"), F.min("bands").alias("bands"))
+    points = points.checkpoint()
+    texts = rows.select(F.col(f"`{id_col}`").alias("point"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    # rows that share an id hang together too
+    copies = made.select("id", "key").join(points.select("key", "point"), "key").where("id != point").select(
+        F.col("point").alias("a"), F.col("id").alias("b"))
+    edges = links(points.where("bands[0] != 0"), texts, large).union(copies)
+    roots = components(edges.distinct())
+    ids = made.select("id").distinct()
+    return ids.join(roots, F.col("id") == F.col("node"), "left").select(
+        F.col("id").alias(id_col), F.coalesce("root", "id").alias("component_id"))

@@ -44,7 +44,8 @@ class Sketch:
     ``probes`` are the fingerprints to be masked: so many, over word shingles of
     ``probe_words``. ``code`` fingerprints over shingles of ``code_words`` decide: two texts
     are linked if those differ in ``max_bits`` bits or fewer, all together. Without a code
-    the probes decide. ``distinct`` counts a repeated shingle once.
+    the probes decide. ``distinct`` counts a repeated shingle once. With ``exact`` no
+    fingerprint is made and ``near`` finds and decides.
     """
 
     probe_words: int
@@ -54,15 +55,14 @@ class Sketch:
     code: int = 0
     max_bits: int = 4
     distinct: bool = False
+    exact: bool = False
 
 
 #: 64 bits over shingles of four words, linked at four bits.
 PLAIN = Sketch(probe_words=4)
 
-#: For five-word shingles with a similarity of 0.8: two sets of that likeness have an angle
-#: of 0.476, so of 512 bits 78 differ in the mean, with a deviation of 8. Three
-#: fingerprints over single words find the pairs, since of those far fewer bits differ.
-NEAR = Sketch(probe_words=1, probes=3, code_words=5, code=8, max_bits=84, distinct=True)
+#: Distinct five-word shingles, linked at an exact likeness of 0.8. Fingerprints don't decide: see ``near``.
+NEAR = Sketch(probe_words=5, distinct=True, exact=True)
 
 
 def masks(radius: int, turn: int = 0) -> list[int]:
@@ -265,8 +265,13 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch
     """``id_col``, ``probes`` and ``component_id``, the smallest id that a row is linked with over any way.
 
     Rows that share an id count as one document. Rows without an id take part only as copies:
-    their component is that of equal fingerprints, or null. Ids are whole numbers.
+    their component is that of equal fingerprints, or null. Ids are whole numbers. An exact
+    sketch gives no ``probes`` and leaves out rows without an id.
     """
+    if sketch.exact:
+        from marquee.llm import near
+
+        return near.groups(df, id_col, text_col, large)
     shared_dir(df.sparkSession)
     made = fingerprints(df, id_col, text_col, sketch).withColumnRenamed(id_col, "id")
     made = (made if sketch.code else made.withColumn("code", F.col("probes"))).checkpoint()

@@ -1,0 +1,63 @@
+import itertools
+import random
+
+from marquee.llm import near
+from tests.llm.test_simhash import brute_roots
+
+
+def brute_sets(texts):
+    out = {}
+    for n, text in texts.items():
+        words = text.lower().split()
+        out[n] = {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+    return out
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b)
+
+
+def edited(kind, n=12):
+    """Texts with copies about the limit, by block or by word edits."""
+    chosen = random.Random(11)
+    vocabulary = ["".join(chosen.choices("abcdefghij", k=6)) for _ in range(4_000)]
+    texts = {}
+    for at in range(n):
+        words = chosen.choices(vocabulary, k=300)
+        texts[at] = " ".join(words)
+        for step, part in enumerate((0.04, 0.1, 0.15, 0.19, 0.21, 0.24, 0.3)):
+            other = list(words)
+            if kind == "added":
+                other += chosen.choices(vocabulary, k=int(300 * part / (1 - part)))
+            elif kind == "cut":
+                other = other[int(300 * part):]
+            else:
+                for place in chosen.sample(range(300), int(part * 300 / 8)):
+                    other[place] = chosen.choice(vocabulary)
+            texts[1_000 * (step + 1) + at] = " ".join(other)
+    return texts
+
+
+def test_pairs_of_block_and_word_edits_equal_brute_force(spark):
+    for kind in ("added", "cut", "words"):
+        texts = edited(kind)
+        sets = brute_sets(texts)
+        linked = [p for p in itertools.combinations(texts, 2) if likeness(sets[p[0]], sets[p[1]]) >= 0.8]
+        table = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+        found = {r.doc_id: r.component_id for r in near.groups(table).collect()}
+        assert found == brute_roots(texts, linked)
+
+
+def test_large_buckets_and_given_documents_equal_brute_force(spark, documents):
+    texts = {r.doc_id: r.text for r in documents.select("doc_id", "text").collect()}
+    base = edited("words", 1)[0].split()
+    for n in range(60):  # near copies, some of them beyond the limit to the smallest
+        other = list(base)
+        other[n: n + n // 2] = [f"w{n}x{k}" for k in range(n // 2)]
+        texts[10_000_000 + n] = " ".join(other)
+    sets = brute_sets(texts)
+    linked = [p for p in itertools.combinations(texts, 2) if likeness(sets[p[0]], sets[p[1]]) >= 0.8]
+    table = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    for large in (4, 1_000):
+        found = {r.doc_id: r.component_id for r in near.groups(table, large=large).collect()}
+        assert found == brute_roots(texts, linked)
