@@ -26,9 +26,9 @@ BLOCKS = frozenset(
     "tbody tfoot thead tr ul".split())
 CELLS = frozenset(("td", "th"))
 DROPPED = frozenset(
-    "aside audio button canvas dialog embed footer form head header iframe input math menu nav noscript object script select "
+    "aside audio button canvas dialog embed footer head header iframe input math menu nav noscript object script select "
     "style svg template textarea title video".split())
-ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
+ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search".split())
 #: What an opening tag closes, up to the elements named second.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -38,12 +38,15 @@ CLOSES = {
 }
 SCOPES = frozenset("table td th caption button object".split())
 
-#: Words in a class or id, between hyphens and the like, that mark what is not the article.
+#: Words in a class or id, between hyphens and the like, that speak for what is not the article. Density has the last word.
 NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation "
     "menu sidebar footer masthead breadcrumb breadcrumbs cookie cookies consent gdpr notice notices notification popup modal "
     "overlay newsletter subscribe subscription signup login share sharing social comment comments commentlist respond disqus "
     "replies related recommended recommendations pagination pager toolbar widget skip".split())
+#: First and last words of names that tell a state of the page, such as has-sidebar and comments-open.
+STATE_FIRST = frozenset("has have no not with without show hide".split())
+STATE_LAST = frozenset("open opened closed on off enabled disabled active inactive".split())
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)")
 _BLANK = re.compile(r"\s+")
@@ -54,13 +57,15 @@ _CONTAINERS = frozenset("html body article main div section center td table tbod
 
 
 class Node:
-    __slots__ = ("tag", "noise", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "noise", "suspect", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density",
+                 "total", "plain", "articles")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+        self.tag, self.parent, self.noise, self.suspect = tag, parent, noise, False
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.plain = self.articles = 0
 
 
 class _Tree(HTMLParser):
@@ -79,6 +84,7 @@ class _Tree(HTMLParser):
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         node = Node(tag, self.at, tag in DROPPED or bool(attrs) and tag not in _CONTENT and _is_noise(attrs))
+        node.suspect = tag == "form" or bool(attrs) and tag not in _CONTENT and _is_suspect(attrs)
         self.at.children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -125,21 +131,62 @@ def _is_noise(attrs: list) -> bool:
             return True
         if not value:
             continue
-        if name in ("class", "id") and not NOISE.isdisjoint(p.lower() for p in _PARTS.findall(value)):
-            return True
         if name == "role" and value.strip().lower() in ROLES or name == "style" and _HIDDEN.search(value):
             return True
     return False
 
 
+def _is_suspect(attrs: list) -> bool:
+    for name, value in attrs:
+        if not value:
+            continue
+        if name == "role" and value.strip().lower() == "form":
+            return True
+        for given in value.split() if name in ("class", "id") else ():
+            parts = [p.lower() for p in _PARTS.findall(given)]
+            if not NOISE.isdisjoint(parts) and parts[0] not in STATE_FIRST and parts[-1] not in STATE_LAST:
+                return True
+    return False
+
+
 def parsed(html: str) -> list[Node]:
     """The nodes of a page, parents before children; the first is the root."""
     tree = _Tree()
     tree.feed(_BROKEN.sub("", html))
     tree.close()
+    judge(tree.nodes)
     return tree.nodes
 
 
+def judge(nodes: list[Node]) -> None:
+    """Make noise of suspects, but not of one that holds most of the page's text outside links.
+
+    If there is an article or main element with such text elsewhere, what is most of the
+    page, as long comments may be, is noise all the same.
+    """
+    if not any(n.suspect for n in nodes):
+        return
+    for node in reversed(nodes):
+        if node.noise or node.tag == "a":
+            continue
+        for child in node.children:
+            if isinstance(child, str):
+                node.plain += sum(map(len, child.split()))
+            else:
+                node.plain += child.plain
+                node.articles += child.articles
+        if node.tag in ("article", "main"):
+            node.articles = node.plain
+    whole, articles = nodes[0].plain, nodes[0].articles
+    within: set[int] = set()
+    for node in nodes:
+        inside = node.tag in ("article", "main") or node.parent is not None and id(node.parent) in within
+        if inside:
+            within.add(id(node))
+        if node.suspect and (2 * node.plain <= whole or not inside and node.articles < articles):
+            node.noise = True
+
+
 def densities(nodes: list[Node]) -> None:
     """Fill in each node's counts, density and sum. What is not content counts for nothing."""
     for node in reversed(nodes):

@@ -32,6 +32,25 @@ def test_what_is_not_the_article_is_left_out(noise, tag):
     assert html_text.main_text(page) == f"Title\n\n{PARA}\n\nShort.\n\n{PARA} 2"
 
 
+@pytest.mark.parametrize("wrap", [
+    "<div class='content has-sidebar'>{}</div>", "<div class='no-sidebar'>{}</div>", "<div class=comments-open>{}</div>",
+    "<div class='sharing-enabled'>{}</div>", "<div id=social-page>{}</div>", "<form id=aspnet>{}</form>",
+    "<form><div class='widget content'><div>{}</div></div></form>"])
+@pytest.mark.parametrize("inside", ["{}", "<div>{}</div>"])
+def test_blocks_that_hold_the_article_are_kept_whatever_their_class(wrap, inside):
+    noise = f"<div class=sidebar><p>{PARA}</p></div><form><p>{PARA}</p></form>"
+    body = f"<h1>Title</h1><p>{PARA}</p><p>Short.</p><p>{PARA} 2</p><p>{PARA} <b>3</b></p>"
+    want = f"Title\n\n{PARA}\n\nShort.\n\n{PARA} 2\n\n{PARA} 3"
+    assert html_text.main_text(f"<body>{wrap.format(inside.format(body))}{noise}</body>") == want
+    if "form" not in wrap:
+        assert html_text.main_text(f"<body>{wrap.format(inside.format(noise + body))}</body>") == want
+
+
+def test_long_comments_beside_an_article_stay_out():
+    page = f"<body><article><p>{PARA}</p></article><div class=comments>{f'<p>{PARA} 2</p>' * 9}</div></body>"
+    assert html_text.main_text(page) == PARA
+
+
 def test_blocks_references_and_white_space():
     page = (f"<article><p>A&amp;B &#233;&nbsp;x<br>line  two\n three <b>bold</b>er</p><ul><li>one<li>two</ul>"
             f"<blockquote>quoted</blockquote><table><tr><td>1<td>2</table><p>{PARA}<p>end</article>")
