@@ -102,7 +102,9 @@ def _fair_share(weighted: DataFrame) -> float:
 def slots(goals: DataFrame) -> DataFrame:
     """``goals`` with ``n_slots`` and ``first``: a source has the points from first on, of 2 ** k evenly spaced ones.
 
-    Also ``words_per_slot``, and ``reach``, where the last block of a source ends.
+    Also ``words_per_slot``, and ``reach``, where the last block of a source ends. A source
+    that aims at less than a slot has one slot, which may be another source's too, and its
+    block ends at its aim.
     """
     aimed, = goals.agg(F.coalesce(F.sum("aim"), F.lit(0))).first()
     count = 1 << min(SLOTS, int(math.log2(aimed))) if aimed else 0
@@ -110,9 +112,11 @@ def slots(goals: DataFrame) -> DataFrame:
     summed = running_total(goals, ["source_rank"], "aim", "until")
     last = F.ceil(F.col("until") * F.lit(count / aimed if aimed else 0.0)).cast("bigint")
     first = F.ceil((F.col("until") - F.col("aim")) * F.lit(count / aimed if aimed else 0.0)).cast("bigint")
-    dealt = summed.withColumn("n_slots", last - first).withColumn("first", first).drop("until")
+    under = (F.col("aim") > 0) & (F.col("aim") * count < aimed)
+    dealt = summed.withColumn("n_slots", F.when(under, F.lit(1).cast("bigint")).otherwise(last - first)).withColumn(
+        "first", F.least(first, F.lit(max(0, count - 1)).cast("bigint"))).drop("until")
     return dealt.withColumn("words_per_slot", F.lit(per_slot)).withColumn("slot_count", F.lit(count)).withColumn(
-        "reach", block_start(F.col("n_slots"))).checkpoint()
+        "reach", F.when(under, F.col("aim")).otherwise(block_start(F.col("n_slots")))).checkpoint()
 
 
 def block_start(block: Column) -> Column:
@@ -175,7 +179,7 @@ def pieces(placed: DataFrame, dealt: DataFrame) -> DataFrame:
     last = F.least(F.col("n_slots") - 1, F.floor((F.col("at") + F.col("size")) / F.col("words_per_slot")) + 1)
     cut = passes.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("at"), block_start(F.col("block")))
-    end = F.least(F.col("at") + F.col("size"), block_start(F.col("block") + 1))
+    end = F.least(F.col("at") + F.col("size"), block_start(F.col("block") + 1), F.col("reach"))
     cut = cut.select("source_rank", "block", "start", "pass_no", (begin - F.col("at")).alias("from_word"),
                      (end - begin).alias("words")).where("words > 0")
     return cut.join(schedule(dealt), ["source_rank", "block"])

@@ -77,3 +77,20 @@ def test_no_python_in_the_plan(documents, capsys):
         df.explain("formatted")
         plan = capsys.readouterr().out
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_sources_that_aim_at_less_than_a_slot_get_their_aim(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 4)
+    rows = [(n, "word " * 40, "large") for n in range(50)]
+    rows += [(1_000 + 10 * s + n, "a b c", f"small{s:02}") for s in range(12) for n in range(2)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    source = {r[0]: r[2] for r in rows}
+    goal, taken, words = {}, {}, {}
+    for r in mixing.mix(table).collect():
+        goal[source[r.doc_id]] = r.target
+        taken[source[r.doc_id]] = taken.get(source[r.doc_id], 0) + r.taken
+    for r in mixing.mixed_documents(table).collect():
+        words[r.source] = words.get(r.source, 0) + len(WORD.findall(r.text))
+    assert words == taken
+    for s in goal:
+        assert s == "large" or 0 < goal[s] < sum(goal.values()) / 16 and abs(taken[s] - goal[s]) <= 0.5
