@@ -32,9 +32,13 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za
 #: Digests by their length in hexadecimal digits (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512) and UUIDs.
 _DIGEST = re.compile(r"(?i)(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z")
 _UUID = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\Z")
-#: Names such as read_utf8_line2 or parseHttpHeader: parts that are words, with a short number at most.
-_PART = r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}(?![a-z]))\d{0,4}"
-_IDENTIFIER = re.compile(rf"[_/+-]*{_PART}(?:[_/+-]*(?:{_PART}|\d{{1,4}}(?!\d)))*[_/+-]*\Z")
+#: Digests and UUIDs within a run.
+_KNOWN = re.compile(r"(?i)(?<![0-9a-z])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|"
+                    r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})(?![0-9a-z])")
+#: What names such as read_utf8_line2 or parseHttpHeader consist of.
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+|[_/+-]+|=+")
+_BETWEEN = re.compile(r"[^_/+-]+")
+MIN_RUN = 20
 
 #: Characters per token under which a run counts as random.
 MAX_CHARS_PER_TOKEN = 2.0
@@ -63,16 +67,69 @@ def fixed_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def is_name(run: str, ranks: tiktoken.Encoding) -> bool:
+    """Whether a run is put together from words, each with a short number at most.
+
+    A word has two letters or more and costs one token, and one more for every six letters.
+    """
+    first = True
+    for part in _PART.findall(run):
+        if part[0] in "_/+-":
+            continue
+        if part.isdigit():
+            if first or len(part) > 4:
+                return False
+        elif len(part) < 2 or len(ranks.encode_ordinary(part)) > 1 + len(part) // 6:
+            return False
+        first = False
+    return not first
+
+
+def random_stretch(run: str, ranks: tiktoken.Encoding, most: float) -> tuple[int, int] | None:
+    """The stretch of parts between / _ + and - that costs most tokens over its length's worth, if it is random."""
+    best, top, at, score = None, 0.0, 0, 0.0
+    for m in _BETWEEN.finditer(run):
+        part = m.group()
+        if score <= 0:
+            at, score = m.start(), 0.0
+        word = part.isdigit() and len(part) <= 4 or is_name(part, ranks)
+        score += -len(part) if word else most * len(ranks.encode_ordinary(part)) - len(part)
+        if score > top:
+            best, top = (at, m.end()), score
+    if best is None or best[1] - best[0] < MIN_RUN:
+        return None
+    part = run[best[0]:best[1]]
+    if not re.search("[0-9]", part) or not re.search("[A-Za-z]", part) or len(part) >= most * len(ranks.encode_ordinary(part)):
+        return None
+    return best
+
+
 def random_spans(text: str, ranks: tiktoken.Encoding, most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
-    """Start, kind and end of the runs that cost more tokens than words would."""
+    """Start, kind and end of the runs that cost more tokens than words would.
+
+    A run that does so as a whole is one span. Of others, such as the path of a URL with a
+    key at its end, each stretch between digests and UUIDs that does so is one.
+    """
     found = []
     for m in _RUN.finditer(text):
         run = m.group()
-        if _DIGEST.match(run) or _UUID.match(run) or _IDENTIFIER.match(run):
+        if _DIGEST.match(run) or _UUID.match(run):
             continue
         if len(run) < most * len(ranks.encode_ordinary(run)):
-            found.append((m.start(), 3, m.end()))
-    return found
+            if not is_name(run, ranks):
+                found.append((m.start(), 3, m.end()))
+            continue
+        todo, at = [], 0
+        for known in _KNOWN.finditer(run):
+            todo.append((at, known.start()))
+            at = known.end()
+        todo.append((at, len(run)))
+        while todo:
+            start, end = todo.pop()
+            if end - start >= MIN_RUN and (part := random_stretch(run[start:end], ranks, most)):
+                found.append((m.start() + start + part[0], 3, m.start() + start + part[1]))
+                todo += [(start, start + part[0]), (start + part[1], end)]
+    return sorted(found)
 
 
 def spans(text: str, ranks: tiktoken.Encoding) -> list[tuple[int, int, int]]:

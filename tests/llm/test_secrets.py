@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -63,3 +65,26 @@ def test_labels(spark):
     row = spark.createDataFrame([([0, 2], [1, 5], [4, 9])], "kinds array<int>, starts array<bigint>, ends array<bigint>")
     assert row.select(secrets.label("kinds", "starts", "ends")).first()[0] == "assign:1:4,hex:5:9"
     assert row.select(secrets.label("kinds", "starts", "ends", (1,))).first()[0] == ""
+
+
+def test_planted_keys_of_one_case_and_at_the_end_of_paths(ranks):
+    chosen = random.Random(5)
+    lower = string.ascii_lowercase
+    for letters in (lower + "234567", (lower + "234567").upper(), lower + string.digits):
+        missed = 0
+        for n in range(300):
+            key = "4" + "".join(chosen.choices(letters, k=(20, 32, 40)[n % 3]))
+            for text in (key[1:] + "4", f"https://example.com/articles/reference/documentation/{key}",
+                         f"production_environment_credentials_{key} x"):
+                at = text.find(key) if key in text else 0
+                end = at + len(key)
+                missed += not any(a <= at and b >= end for a, _, b in secrets.random_spans(text, ranks))
+        assert missed <= 18  # of 900
+
+
+def test_paths_of_words_digests_and_uuids_are_no_keys(ranks):
+    for text in ("https://example.com/2023/01/02/articles/reference-documentation/index_of_names_v2",
+                 "/blob/d41d8cd98f00b204e9800998ecf8427e/reference/documentation/of/the/articles",
+                 "/users/550e8400-e29b-41d4-a716-446655440000/settings/notifications/preferences",
+                 "parseHttpHeaderLine2AndReturnBody", "read_utf8_line2_of_file_by_id"):
+        assert secrets.random_spans(text, ranks) == []
