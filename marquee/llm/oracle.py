@@ -102,3 +102,60 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          OR {" OR ".join(f"over{n}" for n in _LENGTHS)}) AS kept
 FROM joined
 """
+
+#: Turns in order, then digests of what was to be read back; every turn is written with 14 characters around it.
+ORACLE_SQL["op11_chat"] = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), told AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(14 + length(regexp_replace(role, '(\\|###|</turn>|<\||:)', '\\\1', 'g'))
+             + length(regexp_replace(text, '(\\|###|</turn>|<\|)', '\\\1', 'g'))) AS formatted_chars
+  FROM given GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS expanded_tokens
+FROM told
+"""
+
+#: A checksum of the decimal number, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, d: xor(c >> 1, 3988292384 * (c & 1)))))"""
+
+#: A node is the digests of its turns end to end; the nodes above it are those on the path of its smallest member.
+ORACLE_SQL["op13_prefix_trie"] = rf"""
+WITH told AS (
+  SELECT conv_id AS c, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+         coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+  SELECT c, digest, words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) AS pos FROM told
+), convs AS (
+  SELECT c, c - c % 20 AS base, {_CRC32.format("c")} % 4 AS h FROM (SELECT DISTINCT c FROM told)
+), rebuilt AS (
+  SELECT c, -1 AS part, 0 AS pos, '' AS digest, 0 AS words FROM convs
+  UNION ALL SELECT v.c, 0, n.pos, n.digest, n.words FROM convs v JOIN numbered n ON n.c = v.base AND n.pos <= v.h
+  UNION ALL SELECT v.c, 1, n.pos, n.digest, n.words FROM convs v JOIN numbered n ON n.c = v.c AND n.pos > v.h
+), paths AS (
+  SELECT c, words, row_number() OVER o - 1 AS depth, string_agg(digest, '') OVER o AS key,
+         lead(c) OVER o IS NULL AS last
+  FROM rebuilt WINDOW o AS (PARTITION BY c ORDER BY part, pos)
+), nodes AS (
+  SELECT key, depth, min(c) AS conv_id, count(*) AS n, any_value(words) AS words,
+         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '') AS ended
+  FROM paths GROUP BY key, depth
+), children AS (
+  SELECT left(key, length(key) - 32) AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), sums AS (
+  SELECT a.key, sum((v.n - 1) * v.words) AS saved, count_if(k.n IS NULL) AS leaves
+  FROM nodes v JOIN paths a ON a.c = v.conv_id AND a.depth <= v.depth LEFT JOIN children k ON k.key = v.key GROUP BY a.key
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n AS n_convs, coalesce(k.n, 0) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(v.ended) AS ends_sha256
+FROM nodes v JOIN sums s USING (key) LEFT JOIN children k USING (key)
+LEFT JOIN nodes p ON v.depth > 0 AND p.key = left(v.key, length(v.key) - 32)
+"""
