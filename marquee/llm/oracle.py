@@ -121,6 +121,27 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIG
 FROM told
 """
 
+ORACLE_SQL["op12_hard_negatives"] = """
+WITH rows AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor, other, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other) AS INTEGER) AS rank,
+       s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same AND 100 * s.score BETWEEN 50 * p.score AND 95 * p.score
+QUALIFY rank <= 3
+"""
+
 #: A checksum of the decimal number, bit by bit.
 _CRC32 = """xor(4294967295, list_reduce(
   list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),

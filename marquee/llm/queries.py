@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
-    bpe, chat, html_text, licenses, mixing, prefixes, quality, secrets, simhash, spotsigs, toxicity, warc,
+    bpe, chat, html_text, licenses, mixing, negatives, prefixes, quality, secrets, simhash, spotsigs, toxicity, warc,
 )
 from marquee.llm.text import table
 
@@ -109,6 +109,16 @@ def op11_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(given.unionByName(added)))
 
 
+@_query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = given.where(finite).select("vec_id", label.alias("label"), scaled.alias("embedding"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 @_query
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefixes.trie(prefixes.with_common_starts(prefixes.turns(table(spark, folder, "conversations"))))
