@@ -40,7 +40,7 @@ def window_means(votes: DataFrame, length: str = MEAN_WINDOW, slide: str = MEAN_
     hardly any title has two votes in a piece.
     """
     if panes:
-        votes = votes.groupBy(F.window("ts", _common_part(length, slide)).alias("_time"), "title_id").agg(
+        votes = votes.groupBy(F.window("ts", f"{common_seconds(length, slide)} seconds").alias("_time"), "title_id").agg(
             F.sum("rating").alias("_rating"), F.count("*").alias("_votes"))
     else:
         votes = votes.select(F.col("ts").alias("_time"), "title_id", F.col("rating").alias("_rating"),
@@ -111,10 +111,14 @@ def named_titles(rows: DataFrame, titles: DataFrame) -> DataFrame:
     return rows.join(titles.select("title_id", "original_title"), "title_id")
 
 
-def _common_part(length: str, slide: str) -> str:
+def seconds(period: str) -> int:
+    count, unit = period.split()
+    return int(count) * _SECONDS[unit.removesuffix("s")]
+
+
+def common_seconds(length: str, slide: str) -> int:
     """The longest period that divides both."""
-    parts = [text.split() for text in (length, slide)]
-    return f"{math.gcd(*(int(n) * _SECONDS[unit.removesuffix('s')] for n, unit in parts))} seconds"
+    return math.gcd(seconds(length), seconds(slide))
 
 
 def _doubled(period: str) -> str:

@@ -168,6 +168,23 @@ SELECT {_LOT} AS lot, count(*) AS n_votes, CAST(sum(rating) AS BIGINT) AS vote_s
     "lots_union": f"WITH {_VOTES} SELECT title_id, rating, {_MINUTE} AS minute, {_LOT} AS lot FROM votes",
     "window_vote_means": f"WITH {_MEANS} SELECT * FROM means WHERE {_FINISHED}",
     "window_vote_means_batch": f"WITH {_MEANS} SELECT * FROM means",
+    "window_vote_means_by_change": f"WITH {_MEANS} SELECT * FROM means",
+    "window_vote_runs": f"""
+WITH {_MEANS},
+sums AS (
+  SELECT w AS start, title_id, CAST(sum(rating) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT title_id, rating, date_trunc('hour', ts) - to_hours(CAST(i AS INTEGER)) AS w
+        FROM votes CROSS JOIN range(10) AS r(i))
+  GROUP BY 1, 2),
+entering AS (SELECT DISTINCT title_id, date_trunc('hour', ts) - INTERVAL 9 HOUR AS at FROM votes),
+leaving AS (SELECT DISTINCT title_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS at FROM votes),
+changes AS (SELECT * FROM entering UNION SELECT * FROM leaving),
+numbered AS (
+  SELECT sums.*, count(changes.at) OVER (PARTITION BY sums.title_id ORDER BY start) AS run
+  FROM sums LEFT JOIN changes ON changes.title_id = sums.title_id AND changes.at = start)
+SELECT title_id, min(start) AS first_start, max(start) AS last_start, any_value(s) AS vote_sum, any_value(n) AS n_votes,
+       any_value(s) / any_value(n) AS mean_vote
+FROM numbered GROUP BY title_id, run""",
     "top3_window_titles": f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3 AND {_FINISHED}",
     "top3_window_titles_batch": f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3",
     "period_vote_counts": f"WITH {_PERIODS} SELECT * FROM counts WHERE period_end <= (SELECT up_to FROM finished)",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marquee.functions import millis_time, minute_text, tab_line, utc_time
-from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, running, trends
+from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, running, sliding, trends
 from marquee.plans import bindings as b
 from marquee.plans import jobs
 from marquee.schema import RATINGS, TOP_TITLES
@@ -245,6 +245,20 @@ def window_vote_means_batch(spark, folder):
     return _ntz(means, "window_start", "window_end")
 
 
+@_query
+def window_vote_means_by_change(spark, folder):
+    """The same windows from panes that are added and subtracted."""
+    means = sliding.window_means(b.event_votes(spark, folder), b.MEAN_WINDOW, b.MEAN_SLIDE)
+    return _ntz(means, "window_start", "window_end")
+
+
+@_query
+def window_vote_runs(spark, folder):
+    """Runs of windows in which the votes of a title stay the same."""
+    runs = sliding.window_runs(b.event_votes(spark, folder), b.MEAN_WINDOW, b.MEAN_SLIDE)
+    return _ntz(runs, "first_start", "last_start")
+
+
 @_query
 def top3_window_titles(spark, folder):
     """The three best titles of each finished window, by the job's own path."""

@@ -1,0 +1,64 @@
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from marquee.operators import sliding, trends
+
+START = datetime(1969, 12, 31, 23, 40)  # windows before and after the epoch
+VOTE = "title_id string, rating long, ts timestamp"
+RATIOS = [("10 minutes", "1 minute"), ("10 minutes", "4 minutes"), ("1 hour", "90 seconds"), ("5 minutes", "5 minutes")]
+
+
+def votes(spark, *rows, schema=VOTE):
+    return spark.createDataFrame([(t, r, START + timedelta(seconds=s)) for t, r, s in rows], schema)
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("length,slide", RATIOS)
+def test_equal_to_windows_put_together_from_votes(spark, rows, length, slide):
+    df = votes(spark, *[(t, (7 * n) % 11, 53 * n + (n % 7) * 300) for n in range(80) for t in ("a", "b")[: 1 + n % 2]])
+    assert rows(sliding.window_means(df, length, slide)) == rows(trends.window_means(df, length, slide, panes=False))
+
+
+@settings(deadline=None, max_examples=15, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 10), st.integers(0, 4000)), min_size=1, max_size=25))
+def test_any_votes(spark, rows, many):
+    df = votes(spark, *many)
+    assert rows(sliding.window_means(df)) == rows(trends.window_means(df, panes=False))
+
+
+def test_changes_are_two_a_pane_at_most_and_runs_hold_no_windows(spark):
+    df = votes(spark, *[("a", 5, 60 * n) for n in range(0, 600, 50) for _ in range(20)])
+    assert sliding.window_changes(df, "1 hour", "1 minute").count() <= 2 * 12
+    runs = sliding.window_runs(df, "1 hour", "1 minute")
+    assert runs.count() < sliding.window_means(df, "1 hour", "1 minute").count() / 10
+    # Two changes a pane are the only rows that are made; panes are sums before anything is made of them.
+    assert plan(runs).count("Generate") == 1 and "Expand" not in plan(runs)
+
+
+def test_runs_join_end_to_end(spark, rows):
+    df = votes(spark, ("a", 4, 0), ("a", 8, 180), ("b", 1, 0))
+    found = sliding.window_runs(df, "10 minutes", "1 minute").where("title_id = 'a'").orderBy("first_start")
+    at = [((r.first_start - START).total_seconds() / 60, (r.last_start - START).total_seconds() / 60, r.vote_sum, r.n_votes)
+          for r in found.collect()]
+    assert at == [(-9, -7, 4, 1), (-6, 0, 12, 2), (1, 3, 8, 1)]
+
+
+def test_fractions_come_back_to_nothing(spark):
+    df = votes(spark, *[("a", r, s) for r, s in [(0.1, 0), (0.2, 60), (0.7, 120), (1e9, 180), (0.3, 3000)]],
+               schema="title_id string, rating double, ts timestamp")
+    last = sliding.window_means(df).orderBy(F.desc("window_start")).first()
+    assert (last.mean_vote, last.n_votes) == (0.3, 1)
+
+
+def test_no_votes_and_votes_without_a_rating(spark, rows):
+    assert rows(sliding.window_means(votes(spark).where("false"))) == []
+    df = votes(spark, ("a", None, 0), ("a", 6, 0), ("b", None, 0))
+    means = {(r.title_id, r.mean_vote, r.n_votes) for r in sliding.window_means(df).collect()}
+    assert means == {("a", 3.0, 2), ("b", 0.0, 1)}
