@@ -59,12 +59,14 @@ def top_window_titles(means: DataFrame, titles: DataFrame, k: int = 3) -> DataFr
     Titles that are not in the catalog take no place. Each task keeps k rows per
     window before the shuffle.
     """
-    named = means.join(titles.select("title_id", "original_title"), "title_id")
+    return ranked_titles(means.join(titles.select("title_id", "original_title"), "title_id"), k).select(
+        "window_start", "window_end", "rank", "title_id", "original_title", "mean_vote")
+
+
+def ranked_titles(named: DataFrame, k: int = 3) -> DataFrame:
+    """The first k rows of each window with their rank."""
     order = Window.partitionBy("window_end").orderBy(F.desc("mean_vote"), "title_id")
-    return (
-        named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        .select("window_start", "window_end", "rank", "title_id", "original_title", "mean_vote")
-    )
+    return named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def period_counts(votes: DataFrame, period: str = TREND_PERIOD) -> DataFrame:

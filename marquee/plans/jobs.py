@@ -13,7 +13,7 @@ from marquee.sinks.tables import upsert_table
 from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import roles, tables, tsv
 from marquee.sources.votes import read_lots
-from marquee.streaming import runner
+from marquee.streaming import keyed, runner
 
 TITLE_TABLE = "movies"
 PERSON_TABLE = "actors"
@@ -121,11 +121,32 @@ def top3(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay:
     return runner.to_batches(means, report, out, checkpoint, every, show, ["window_end", "rank"], [titles])
 
 
+def top3_by_parts(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay: str = "1 minute",
+                  length: str = trends.MEAN_WINDOW, slide: str = trends.MEAN_SLIDE, every: str | None = "1 minute",
+                  show: bool = False, parts: int = 16) -> StreamingQuery:
+    """The report of ``top3`` for catalogs of very many titles: each part of a window keeps its three best in state.
+
+    A batch then ranks three rows a part and window, not every title.
+    """
+    means = trends.window_means(votes.withWatermark("ts", delay), length, slide)
+    titles = runner.kept(titles, "title_id")
+    best = keyed.best_of_parts(means, titles, 3, parts)
+    start = F.col("window_end") - F.make_dt_interval(secs=F.lit(trends.seconds(length)))
+
+    def report(batch: DataFrame) -> DataFrame:
+        return _typed(trends.ranked_titles(batch.withColumn("window_start", start)), TOP_TITLES)
+
+    return runner.to_batches(best, report, out, checkpoint, every, show, ["window_end", "rank"], [titles])
+
+
 def trending(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay: str = "1 minute",
-             period: str = trends.TREND_PERIOD, every: str | None = "1 minute",
-             show: bool = False) -> StreamingQuery:
-    """Every title with more votes than in the period before, in order of period and name."""
-    rising = trends.rising_titles(votes.withWatermark("ts", delay), period)
+             period: str = trends.TREND_PERIOD, every: str | None = "1 minute", show: bool = False,
+             by_state: bool = False) -> StreamingQuery:
+    """Every title with more votes than in the period before, in order of period and name.
+
+    With ``by_state`` each active title's last period is held, and votes lie in one window, not two.
+    """
+    rising = (keyed if by_state else trends).rising_titles(votes.withWatermark("ts", delay), period)
     titles = runner.kept(titles, "title_id")
 
     def report(batch: DataFrame) -> DataFrame:

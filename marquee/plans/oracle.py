@@ -109,6 +109,13 @@ def _hashed(text: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
+_TOP3_FINISHED = f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3 AND {_FINISHED}"
+_TRENDING_FINISHED = f"""
+WITH {_PERIODS}
+SELECT rising.*, c_name AS original_title FROM rising JOIN customer ON c_custkey = title_id
+WHERE period_end <= (SELECT up_to FROM finished)"""
+
+
 ORACLE_SQL = {
     "acting_credits": f"SELECT l_orderkey AS title_id, l_suppkey AS person_id FROM lineitem WHERE {_ACTING}",
     "title_details": """
@@ -185,13 +192,12 @@ numbered AS (
 SELECT title_id, min(start) AS first_start, max(start) AS last_start, any_value(s) AS vote_sum, any_value(n) AS n_votes,
        any_value(s) / any_value(n) AS mean_vote
 FROM numbered GROUP BY title_id, run""",
-    "top3_window_titles": f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3 AND {_FINISHED}",
+    "top3_window_titles": _TOP3_FINISHED,
+    "top3_window_titles_by_parts": _TOP3_FINISHED,
     "top3_window_titles_batch": f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3",
     "period_vote_counts": f"WITH {_PERIODS} SELECT * FROM counts WHERE period_end <= (SELECT up_to FROM finished)",
-    "trending_titles": f"""
-WITH {_PERIODS}
-SELECT rising.*, c_name AS original_title FROM rising JOIN customer ON c_custkey = title_id
-WHERE period_end <= (SELECT up_to FROM finished)""",
+    "trending_titles": _TRENDING_FINISHED,
+    "trending_titles_by_state": _TRENDING_FINISHED,
     "trending_batch": f"""
 WITH {_PERIODS}
 SELECT rising.*, c_name AS original_title FROM rising JOIN customer ON c_custkey = title_id""",

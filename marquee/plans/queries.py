@@ -25,7 +25,7 @@ from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import roles, tables
 from marquee.sources.tsv import read_credits, read_people, read_ratings, read_titles, read_tsv
 from marquee.sources.votes import read_lots
-from marquee.streaming import runner
+from marquee.streaming import keyed, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,6 +271,18 @@ def top3_window_titles(spark, folder):
     return _ntz(rows.withColumn("title_id", F.col("title_id").cast("bigint")), "window_start", "window_end")
 
 
+@_query
+def top3_window_titles_by_parts(spark, folder):
+    """The same report, from the three best of each part of a window that state holds."""
+    path = new_folder(spark, "top3")
+    child = runner.stream_session(spark)
+    query = jobs.top3_by_parts(b.event_vote_stream(child, folder), b.stream_titles(child, folder), path,
+                               new_folder(spark, "checkpoint"), b.DELAY, b.MEAN_WINDOW, b.MEAN_SLIDE, every=None)
+    runner.finish(query)
+    rows = spark.read.schema(TOP_TITLES).parquet(path).select(*TOP_TITLES.names)
+    return _ntz(rows.withColumn("title_id", F.col("title_id").cast("bigint")), "window_start", "window_end")
+
+
 @_query
 def top3_window_titles_batch(spark, folder):
     means = trends.window_means(b.event_votes(spark, folder), b.MEAN_WINDOW, b.MEAN_SLIDE)
@@ -291,6 +303,15 @@ def trending_titles(spark, folder):
     return _ntz(_run(spark, folder, trending), "period_start", "period_end")
 
 
+@_query
+def trending_titles_by_state(spark, folder):
+    """The same titles, from the last period that state holds of each active title."""
+    def trending(child, votes):
+        return trends.named_titles(keyed.rising_titles(votes, b.PERIOD), b.stream_titles(child, folder))
+
+    return _ntz(_run(spark, folder, trending), "period_start", "period_end")
+
+
 @_query
 def trending_batch(spark, folder):
     counts = trends.period_counts(b.event_votes(spark, folder), b.PERIOD)
