@@ -35,6 +35,10 @@ def _parser() -> argparse.ArgumentParser:
     update = job("update-ratings", "ratings", "lots", "out")
     update.add_argument("--format", default="parquet")
     update.add_argument("--codec")
+    fold = job("fold-lots", "lots", "ledger", "checkpoint")
+    fold.add_argument("--format", default="parquet")
+    fold.add_argument("--max-files", type=int, help="files of one micro-batch at most")
+    job("write-ratings", "ratings", "ledger", "out").add_argument("--codec")
     for name in ("titles", "people", "credits", "ratings"):
         for one in sub.choices.values():
             if any(a.dest == name for a in one._actions) and not any(a.dest == "splits" for a in one._actions):
@@ -96,6 +100,10 @@ def main(argv: list[str] | None = None) -> None:
         jobs.collaborators(spark, args.credits, args.splits).write.mode("overwrite").parquet(args.out)
     elif args.job == "update-ratings":
         jobs.update_ratings(spark, args.ratings, args.lots, args.out, args.format, args.codec, args.splits)
+    elif args.job == "fold-lots":
+        finish(jobs.fold_lots(spark, args.lots, args.ledger, args.checkpoint, args.format, max_files=args.max_files))
+    elif args.job == "write-ratings":
+        jobs.write_ratings(spark, args.ratings, args.ledger, args.out, args.codec, args.splits)
     else:
         finish(_stream(spark, args))
 

@@ -13,7 +13,7 @@ from marquee.sinks.tables import upsert_table
 from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import roles, tables, tsv
 from marquee.sources.votes import read_lots
-from marquee.streaming import keyed, runner
+from marquee.streaming import folding, keyed, runner
 
 TITLE_TABLE = "movies"
 PERSON_TABLE = "actors"
@@ -86,13 +86,30 @@ def collaborators(spark: SparkSession, credits_path: str, splits: int | None = N
 
 def update_ratings(spark: SparkSession, ratings_path: str, lots_path: str, out: str, fmt: str = "parquet",
                    codec: str | None = None, splits: int | None = None) -> None:
-    """Write the ratings file with all logged votes added. ``out`` is not the file it reads."""
+    """Write the ratings file with all logged votes added. ``out`` is not the file it reads.
+
+    Every call adds all lots to the ratings it is given; to add new lots again and again use ``fold_lots``.
+    """
     stored = roles.ratings(tsv.read_ratings(spark, ratings_path, splits=splits))
     votes = roles.votes(read_lots(spark, lots_path, fmt), ts=None)
     merged = ratings.merge_ratings(stored, ratings.vote_totals(votes))
     write_tsv(ratings_rows(merged), out, codec)
 
 
+def fold_lots(spark: SparkSession, lots_path: str, ledger: str, checkpoint: str, fmt: str = "parquet",
+              every: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    """Add the lots that are new to the ledger of votes; run it as often as wanted."""
+    return folding.fold_lots(spark, lots_path, ledger, checkpoint, every, fmt, max_files=max_files)
+
+
+def write_ratings(spark: SparkSession, ratings_path: str, ledger: str, out: str, codec: str | None = None,
+                  splits: int | None = None) -> None:
+    """Write the ratings file with the votes of the ledger added, after summing the ledger up."""
+    folding.sum_up(spark, ledger)
+    stored = roles.ratings(tsv.read_ratings(spark, ratings_path, splits=splits))
+    write_tsv(ratings_rows(folding.folded_ratings(spark, stored, ledger)), out, codec)
+
+
 # Streams. Each takes the votes of any source in ``marquee.sources.votes``.
 
 

@@ -173,6 +173,13 @@ SELECT epoch_us(ts) // 1000 AS millis, title_id || chr(9) || rating || chr(9) ||
 WITH {_VOTES}
 SELECT {_LOT} AS lot, count(*) AS n_votes, CAST(sum(rating) AS BIGINT) AS vote_sum FROM votes GROUP BY 1""",
     "lots_union": f"WITH {_VOTES} SELECT title_id, rating, {_MINUTE} AS minute, {_LOT} AS lot FROM votes",
+    "ratings_folded": f"""
+WITH {_MERGED}, {_VOTES},
+folded AS (SELECT title_id, CAST(sum(rating) AS BIGINT) AS vote_sum, count(*) AS vote_count FROM votes GROUP BY 1)
+SELECT title_id,
+       CASE WHEN vote_count IS NULL THEN s / n ELSE (s / n * n + vote_sum) / (n + vote_count) END AS mean,
+       n + coalesce(vote_count, 0) AS votes
+FROM stored LEFT JOIN folded USING (title_id)""",
     "window_vote_means": f"WITH {_MEANS} SELECT * FROM means WHERE {_FINISHED}",
     "window_vote_means_batch": f"WITH {_MEANS} SELECT * FROM means",
     "window_vote_means_by_change": f"WITH {_MEANS} SELECT * FROM means",

@@ -25,7 +25,7 @@ from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import roles, tables
 from marquee.sources.tsv import read_credits, read_people, read_ratings, read_titles, read_tsv
 from marquee.sources.votes import read_lots
-from marquee.streaming import keyed, runner
+from marquee.streaming import folding, keyed, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,6 +222,17 @@ def lots_union(spark, folder):
     return _read_lots(spark, _write_lots(spark, folder))
 
 
+@_query
+def ratings_folded(spark, folder):
+    """Lots folded into the stored ratings a few files at a time, the ledger summed up on the way."""
+    lots, ledger = _write_lots(spark, folder), new_folder(spark, "ledger")
+    checkpoint = new_folder(spark, "checkpoint")
+    for _ in range(2):  # the second run finds nothing new
+        runner.finish(folding.fold_lots(spark, lots, ledger, checkpoint, schema=StructType.fromDDL(_LOGGED), max_files=20))
+        folding.sum_up(spark, ledger, StructType.fromDDL(_LOGGED))
+    return folding.folded_ratings(spark, b.stored_ratings(spark, folder), ledger)
+
+
 def _run(spark, folder, transform):
     """Run a windowed transform over the vote stream and return the rows of the finished windows."""
     path = new_folder(spark, "windows")

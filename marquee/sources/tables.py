@@ -53,7 +53,7 @@ def table_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
-def _files(spark: SparkSession, path: str):
+def files(spark: SparkSession, path: str):
     """The store that holds a path, and the path in its terms."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
@@ -61,7 +61,7 @@ def _files(spark: SparkSession, path: str):
 
 def versions(spark: SparkSession, folder: str) -> list[tuple[int, int, str]]:
     """Number, buckets and folder of each version of a table, oldest first."""
-    store, path = _files(spark, folder)
+    store, path = files(spark, folder)
     if not store.exists(path):
         return []
     names = [s.getPath().getName() for s in store.listStatus(path)]
@@ -75,15 +75,15 @@ def version_name(number: int, buckets: int) -> str:
 
 def add_version(spark: SparkSession, folder: str, written: str, number: int, buckets: int) -> bool:
     """Make a folder of finished files the given version. False where that number is there already."""
-    store, target = _files(spark, f"{folder}/{version_name(number, buckets)}")
+    store, target = files(spark, f"{folder}/{version_name(number, buckets)}")
     latest = versions(spark, folder)
     if latest and latest[-1][0] >= number:
         return False
-    return bool(store.rename(_files(spark, written)[1], target))
+    return bool(store.rename(files(spark, written)[1], target))
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:
-    store, path = _files(spark, folder)
+    store, path = files(spark, folder)
     store.delete(path, True)
 
 
@@ -118,7 +118,7 @@ def create_table(spark: SparkSession, name: str, schema: StructType, key: str |
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = location or f"{table_root(spark)}/{name.replace('.', '-')}-{uuid.uuid4().hex}"
     first = f"{folder}/{version_name(0, buckets)}"
-    store, path = _files(spark, first)
+    store, path = files(spark, first)
     store.mkdirs(path)
     _register(spark, name, schema, key, buckets, first)
     return True

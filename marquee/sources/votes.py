@@ -58,11 +58,26 @@ def parquet_stream(spark: SparkSession, path: str, schema: StructType,
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
-def read_lots(spark: SparkSession, folder: str, fmt: str = "parquet",
-              schema: StructType = LOGGED_VOTES) -> DataFrame:
-    """All votes of all lots. ``lot`` is a partition column, so a filter on it prunes folders."""
-    with_lot = StructType(schema.fields + [StructField("lot", StringType(), True)])
-    reader = spark.read.schema(with_lot)
+def lot_stream(spark: SparkSession, folder: str, fmt: str = "parquet", schema: StructType = LOGGED_VOTES,
+               max_files: int | None = None) -> DataFrame:
+    """The votes of all lots as a stream, in the files' order of arrival; ``max_files`` bounds one micro-batch."""
+    reader = spark.readStream.schema(_with_lot(schema))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _lots(reader, folder, fmt)
+
+
+def _with_lot(schema: StructType) -> StructType:
+    return StructType(schema.fields + [StructField("lot", StringType(), True)])
+
+
+def _lots(reader, folder: str, fmt: str) -> DataFrame:
     if fmt == "csv":
         reader = reader.options(sep="\t", quote="", escape="", nullValue="\\N")
     return reader.format(fmt).load(folder)
+
+
+def read_lots(spark: SparkSession, folder: str, fmt: str = "parquet",
+              schema: StructType = LOGGED_VOTES) -> DataFrame:
+    """All votes of all lots. ``lot`` is a partition column, so a filter on it prunes folders."""
+    return _lots(spark.read.schema(_with_lot(schema)), folder, fmt)

@@ -50,7 +50,7 @@ def kept(static: DataFrame, key: str) -> DataFrame:
     return static.repartition(int(conf.get("spark.sql.shuffle.partitions")), key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _trigger(every: str | None) -> dict:
+def trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
@@ -68,7 +68,7 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, partition_by: str |
         writer = writer.partitionBy(partition_by)
     if name:
         writer = writer.queryName(name)
-    return writer.trigger(**_trigger(every)).start(path)
+    return writer.trigger(**trigger(every)).start(path)
 
 
 def lots_to_files(logged: DataFrame, path: str, checkpoint: str, files_per_lot: int | None = None,
@@ -113,7 +113,7 @@ def to_batches(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], p
 
     query = (
         stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-        .foreachBatch(write).trigger(**_trigger(every)).start()
+        .foreachBatch(write).trigger(**trigger(every)).start()
     )
     if keeping:
         _KEPT[str(query.id)] = keeping

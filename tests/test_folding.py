@@ -1,0 +1,132 @@
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.operators.ratings import merge_ratings, vote_totals
+from marquee.plans import jobs
+from marquee.sources.votes import read_lots
+from marquee.streaming import folding, runner
+
+LOGGED = "title_id string, rating int, minute string"
+
+
+class Lots:
+    def __init__(self, spark, folder):
+        self.spark, self.folder = spark, folder
+        self.lots, self.ledger, self.checkpoint = (str(folder / n) for n in ("lots", "ledger", "checkpoint"))
+        self.stored = spark.createDataFrame(
+            [("a", 5.0, 10), ("b", 2.0, 1), ("quiet", 7.5, 4), ("none", None, 0)], "title_id string, mean double, votes bigint")
+
+    def add(self, lot, *votes):
+        rows = self.spark.createDataFrame([(t, r, "m") for t, r in votes], LOGGED)
+        rows.withColumn("lot", F.lit(lot)).coalesce(1).write.mode("append").partitionBy("lot").parquet(self.lots)
+
+    def fold(self, **how):
+        query = folding.fold_lots(self.spark, self.lots, self.ledger, self.checkpoint, max_files=1, **how)
+        runner.finish(query)
+        return query
+
+    def now(self):
+        return folding.folded_ratings(self.spark, self.stored, self.ledger)
+
+    def anew(self):
+        return merge_ratings(self.stored, vote_totals(read_lots(self.spark, self.lots)))
+
+
+@pytest.fixture
+def lots(spark, tmp_path):
+    held = Lots(spark, tmp_path)
+    held.add("2024-03-01 12-00", ("a", 9), ("a", 1), ("b", 8), ("unknown", 3))
+    held.add("2024-03-01 12-10", ("a", 7), ("b", 0))
+    return held
+
+
+def test_folding_twice_changes_nothing(lots, rows):
+    for _ in range(2):
+        lots.fold()
+        assert rows(lots.now()) == rows(lots.anew())
+    assert {r.title_id: r.votes for r in lots.now().collect()} == {"a": 13, "b": 3, "quiet": 4, "none": 0}
+
+
+def test_a_late_file_of_an_old_lot_counts_once(lots, rows):
+    lots.fold()
+    lots.add("2024-03-01 12-00", ("a", 10), ("quiet", 1))
+    lots.fold()
+    lots.fold()
+    assert rows(lots.now()) == rows(lots.anew())
+
+
+def test_killed_between_merge_and_commit(lots, rows, monkeypatch):
+    """The batch is in the ledger but not noted in the checkpoint: it runs again."""
+    real, runs = folding.vote_totals, []
+
+    def counted(batch):
+        runs.append(1)
+        return real(batch)
+
+    monkeypatch.setattr(folding, "vote_totals", counted)
+    lots.fold()
+    commits = sorted((lots.folder / "checkpoint" / "commits").glob("[0-9]*"))
+    assert len(commits) == 2 and len(runs) == 2
+    for crc in (lots.folder / "checkpoint" / "commits").glob(".*.crc"):
+        crc.unlink()
+    commits[-1].unlink()
+    before = rows(lots.now())
+    lots.fold()
+    assert len(runs) == 2  # found finished and left
+    assert rows(lots.now()) == before == rows(lots.anew())
+
+
+def test_killed_while_merging(lots, rows):
+    """A folder without its mark is not read, and written anew."""
+    lots.fold()
+    last = sorted((lots.folder / "ledger").glob("batch-*"))[-1]
+    for mark in (last / "_SUCCESS", last / "._SUCCESS.crc"):
+        mark.unlink()
+    assert sum(r.votes for r in lots.now().collect()) < sum(r.votes for r in lots.anew().collect())
+    commits = lots.folder / "checkpoint" / "commits"
+    for crc in commits.glob(".*.crc"):
+        crc.unlink()
+    sorted(commits.glob("[0-9]*"))[-1].unlink()
+    lots.fold()
+    assert rows(lots.now()) == rows(lots.anew())
+
+
+def test_summing_up_keeps_the_sums_and_old_folders_go(lots, rows):
+    lots.fold()
+    assert folding.sum_up(lots.spark, lots.ledger) == 1
+    assert rows(lots.now()) == rows(lots.anew())
+    assert len(folding._ledger_folders(lots.spark, lots.ledger)) == 1
+    lots.add("2024-03-01 12-20", ("a", 3))
+    lots.fold()
+    assert rows(lots.now()) == rows(lots.anew())
+    assert folding.sum_up(lots.spark, lots.ledger) == 2 == folding.sum_up(lots.spark, lots.ledger)
+    lots.add("2024-03-01 12-30", ("b", 3))
+    lots.fold()
+    folding.sum_up(lots.spark, lots.ledger)
+    assert sorted(p.name for p in (lots.folder / "ledger").iterdir()) == ["batch-0000000003", "summed-0000000002", "summed-0000000003"]
+    lots.fold()
+    assert rows(lots.now()) == rows(lots.anew())
+
+
+def test_a_batch_reads_only_its_files(lots):
+    lots.fold()
+    lots.add("2024-03-01 12-40", ("a", 3))
+    query = lots.fold()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1]
+
+
+def test_no_lots_yet(spark, tmp_path, rows):
+    lots = Lots(spark, tmp_path)
+    (tmp_path / "lots").mkdir()
+    lots.fold()
+    assert rows(lots.now()) == rows(merge_ratings(lots.stored, vote_totals(spark.createDataFrame([], LOGGED))))
+    assert folding.sum_up(spark, lots.ledger) == -1
+
+
+def test_ratings_file_from_the_ledger(spark, lots, tmp_path):
+    (tmp_path / "ratings.tsv").write_text("tconst\taverageRating\tnumVotes\na\t5.0\t10\nb\t2.0\t1\n")
+    for n in range(2):
+        runner.finish(jobs.fold_lots(spark, lots.lots, lots.ledger, lots.checkpoint))
+        jobs.write_ratings(spark, str(tmp_path / "ratings.tsv"), lots.ledger, str(tmp_path / f"new{n}"))
+    texts = ["".join(sorted("".join(p.read_text() for p in (tmp_path / f"new{n}").glob("part-*")).splitlines(True))) for n in (0, 1)]
+    assert texts[0] == texts[1] and "a\t5.2\t13\n" in texts[0]
