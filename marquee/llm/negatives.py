@@ -36,9 +36,9 @@ POSITIVES, NEGATIVES = 5, 3
 LOW, HIGH = 50, 95
 
 #: Points that the cells are laid over; points in a part; most cells.
-SAMPLE, PART_POINTS, CELLS = 4_096, 2_048, 1_024
+SAMPLE, PART_POINTS, CELLS = 4_096, 4_096, 1_024
 #: Points that a node is not cut below; children of a node; anchors that are searched for together.
-LEAF, CHILDREN, TOGETHER = 32, 16, 256
+LEAF, CHILDREN, TOGETHER = 512, 16, 256
 
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 #: Angles and bounds are widened by so much, which is far above what rounding does to them.
@@ -63,16 +63,20 @@ def angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(a @ b.T, -1.0, 1.0))
 
 
-def score_bounds(apart: np.ndarray, radius: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and greatest inner product within ``radius`` of a centre that is ``apart`` from the anchor's direction.
+def score_bounds(cosine: np.ndarray, radius: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest inner product within ``radius`` of a centre at this cosine from the anchor's direction.
 
-    ``most`` is the product of the anchor's length and the sphere's radius.
+    ``most`` is the product of the anchor's length and the sphere's radius. What is bounded is
+    the cosine of the angle with the radius added and taken off.
     """
-    spread = radius + _SLACK
+    cosine = np.clip(cosine, -1.0, 1.0)
+    sine = np.sqrt(1.0 - cosine * cosine)
+    spread = np.minimum(np.pi, radius + _SLACK)
+    along, across = cosine * np.cos(spread), sine * np.sin(spread)
     slack = 1.0 + _SLACK * most
-    low = most * np.cos(np.minimum(np.pi, apart + spread)) - slack
-    high = most * np.cos(np.maximum(0.0, apart - spread)) + slack
-    return low, high
+    low = np.where(cosine <= -np.cos(spread), -1.0, along - across)
+    high = np.where(cosine >= np.cos(spread), 1.0, along + across)
+    return most * low - slack, most * high + slack
 
 
 def directions(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +142,7 @@ class CoverTree:
         alive = np.ones((len(of), 1), bool)
         for depth, (centres, radii, parents, leaf) in enumerate(self.levels):
             entered = alive[:, parents] if depth else alive
-            low, high = score_bounds(angles(unit, self.unit[centres]), radii, (lengths * self.length)[:, None])
+            low, high = score_bounds(unit @ self.unit[centres].T, radii, (lengths * self.length)[:, None])
             entered = entered & (high[of] >= lo[:, None]) & (low[of] <= hi[:, None])
             ends = leaf >= 0
             found[:, leaf[ends]] = np.where(entered[:, ends], high[of][:, ends], -np.inf)
@@ -196,8 +200,9 @@ class Part:
             for a, b in zip(starts, [*starts[1:], len(by_leaf)]):
                 members = self.tree.leaves[leaves[by_leaf[a]]]
                 units = rows[by_leaf[a:b]]
-                got = values[of[units]] @ self.values[members].T
-                got = (np.rint(got) if self.exact else got).astype(np.int64)
+                anchors, own_row = np.unique(of[units], return_inverse=True)
+                got = values[anchors] @ self.values[members].T
+                got = (np.rint(got) if self.exact else got).astype(np.int64)[own_row]
                 fits = (self.labels[members][None, :] == label[of[units]][:, None]) == same
                 fits &= (got >= lo[units][:, None]) & (got <= hi[units][:, None])
                 u, p = np.nonzero(fits)
@@ -342,13 +347,18 @@ def routed(anchors: DataFrame, net: Net, k: int, same: bool) -> DataFrame:
             yield from in_batches(rows(batch), _routed_schema, lambda row: 64 + 8 * net.dim + 24 * len(row[4]))
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for at in range(0, batch.num_rows, TOGETHER):
+            yield from some_rows(batch.slice(at, TOGETHER))
+
+    def some_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
         q, labels = matrix(batch.column("q"), net.dim), batch.column("label").to_numpy()
         keys, windows = batch.column("key").to_pylist(), batch.column("windows").to_pylist()
         unit, lengths = directions(q.astype(np.float64))
+        products = _products(net, q)
+        lows, highs = score_bounds(unit @ net.centres.T, net.radius, (lengths * net.length)[:, None])
         for at, (key, wanted) in enumerate(zip(keys, windows)):
-            fits = (net.sample_labels == labels[at]) == same
-            scores = np.sort(_products(net, q[at])[fits])
-            low, high = score_bounds(angles(unit[at : at + 1], net.centres)[0], net.radius, lengths[at] * net.length)
+            scores = np.sort(products[at][(net.sample_labels == labels[at]) == same])
+            low, high = lows[at], highs[at]
             sure = []
             for w in wanted:
                 within = scores[np.searchsorted(scores, w["lo"]) : np.searchsorted(scores, w["hi"], "right")]
@@ -366,8 +376,8 @@ _routed_schema = pa.schema([("cell", pa.int32()), ("key", pa.string()), ("label"
 
 def _products(net: Net, q: np.ndarray) -> np.ndarray:
     if net.exact:
-        return np.rint(net.sample.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    return net.sample @ q
+        return np.rint(q.astype(np.float64) @ net.sample.T.astype(np.float64)).astype(np.int64)
+    return q @ net.sample.T
 
 
 def searched(placed: DataFrame, anchors: DataFrame, net: Net, k: int, same: bool) -> DataFrame:

@@ -72,7 +72,28 @@ def test_awkward_rows(spark):
     assert found(df.where("false")) == set()
 
 
-def test_tree_bounds_hold_and_leave_out_far_leaves():
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("leaf", [1, 4, 30])
+def test_search_of_a_part_against_all_its_points(monkeypatch, leaf, same):
+    monkeypatch.setattr(negatives, "LEAF", leaf)
+    rows = made(11, 300, dim=5) + [(i, [3, 3, 3, 3, 3], 0) for i in range(900, 910)]
+    part = negatives.Part(np.array([v for _, v, _ in rows]), np.array([l for *_, l in rows]), [[i] for i, *_ in rows], True)
+    assert leaf == 30 or len(part.tree.levels) > 2
+    asked = rows[::7]
+    windows = [[{"score": n, "lo": lo, "hi": hi} for n, (lo, hi) in enumerate([(-10**9, 10**9), (2000, 9000), (5, 4), (9, 9)])]
+               for _ in asked]
+    got = list(part.rows([str(i) for i, *_ in asked], windows, np.array([v for _, v, _ in asked]),
+                         np.array([l for *_, l in asked]), 4, same))
+    want = []
+    for i, v, l in asked:
+        for w in windows[0]:
+            scored = sorted((-sum(a * b for a, b in zip(v, x)), j) for j, x, m in rows if (m == l) == same)
+            want += [(str(i), w["score"], -s, j) for s, j in [p for p in scored if w["lo"] <= -p[0] <= w["hi"]][:4]]
+    assert got == want
+
+
+def test_tree_bounds_hold_and_leave_out_far_leaves(monkeypatch):
+    monkeypatch.setattr(negatives, "LEAF", 32)
     chance = np.random.default_rng(1)
     x = np.vstack([chance.normal(c, 3, (400, 8)) for c in chance.normal(0, 100, (6, 8))])
     tree = negatives.CoverTree(x)
