@@ -65,8 +65,11 @@ def with_common_starts(rows: DataFrame) -> DataFrame:
     The first h turns come from the conversation whose number is the block's, as many as it
     has; then come the conversation's own after its first h. h is a checksum of the number.
     Returns the rows of ``turns`` with ``part``: -1 for a row that stands for the
-    conversation itself, 0 for turns that were lent, 1 for its own.
+    conversation itself, 0 for turns that were lent, 1 for its own. Turns are numbered once
+    and kept in the shared folder, without their texts.
     """
+    shared_dir(rows.sparkSession)
+    rows = rows.checkpoint()
     convs = rows.select("conv").distinct().withColumn("h", start_turns(F.col("conv"))).withColumn(
         "base", F.col("conv") - F.col("conv") % BLOCK)
     lent = rows.where((F.col("conv") % BLOCK == 0) & (F.col("pos") < START_TURNS)).withColumnRenamed("conv", "base")
