@@ -26,10 +26,11 @@ def _parser() -> argparse.ArgumentParser:
 
     job("create-tables")
     job("drop-tables")
-    job("load-titles", "titles")
-    job("load-people", "people")
-    job("load-summaries", "credits", "ratings")
-    job("page", "person_id")
+    job("compact-tables")
+    for name, paths in (("titles", ["titles"]), ("people", ["people"]), ("summaries", ["credits", "ratings"])):
+        job(f"load-{name}", *paths).add_argument(
+            "--put", action="store_true", help="write only these rows; compact-tables merges them")
+    job("page").add_argument("person_id", nargs="+")
     job("top-people", "credits", "people").add_argument("--credit-rows", action="store_true")
     job("collaborators", "credits", "out")
     update = job("update-ratings", "ratings", "lots", "out")
@@ -87,13 +88,15 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "drop-tables":
         jobs.drop_tables(spark, delete=bool(args.tables))
     elif args.job == "load-titles":
-        jobs.load_titles(spark, args.titles, splits=args.splits)
+        jobs.load_titles(spark, args.titles, splits=args.splits, put=args.put)
     elif args.job == "load-people":
-        jobs.load_people(spark, args.people, splits=args.splits)
+        jobs.load_people(spark, args.people, splits=args.splits, put=args.put)
     elif args.job == "load-summaries":
-        jobs.load_summaries(spark, args.credits, args.ratings, splits=args.splits)
+        jobs.load_summaries(spark, args.credits, args.ratings, splits=args.splits, put=args.put)
+    elif args.job == "compact-tables":
+        jobs.compact_tables(spark)
     elif args.job == "page":
-        jobs.page(spark, args.person_id).show(truncate=False)
+        jobs.pages(spark, args.person_id).show(len(args.person_id), truncate=False)
     elif args.job == "top-people":
         jobs.top_people(spark, args.credits, args.people, not args.credit_rows, splits=args.splits).show(truncate=False)
     elif args.job == "collaborators":

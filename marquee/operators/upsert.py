@@ -22,7 +22,7 @@ def _merged(new: Column, old: Column, new_type: DataType, old_type: DataType) ->
     return F.when(new.isNotNull() | old.isNotNull(), F.struct(*fields))
 
 
-def _one_row_per_key(updates: DataFrame, key: str, order: str | None) -> DataFrame:
+def one_row_per_key(updates: DataFrame, key: str, order: str | None) -> DataFrame:
     """Keep one whole row per key: that of the greatest ``order``, among equals the greatest row.
 
     Grouping is on the join key, so it adds no shuffle to the merge after it.
@@ -43,7 +43,7 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, order: str | None = No
     if set(updates.columns) <= {key, order}:
         folded = updates.select(key).distinct()
     else:
-        folded = _one_row_per_key(updates, key, order)
+        folded = one_row_per_key(updates, key, order)
     updates = updates.drop(order) if order else updates
     old, new = base.alias("old"), folded.alias("new")
     joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")

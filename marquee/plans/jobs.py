@@ -9,7 +9,8 @@ from pyspark.sql.types import StructType
 
 from marquee.operators import collaboration, credits, details, ranking, ratings, trends
 from marquee.schema import LOGGED_VOTES, TOP_TITLES, TRENDING_TITLES
-from marquee.sinks.tables import upsert_table
+from marquee.sinks.puts import get_row, get_rows, put_rows, read_table
+from marquee.sinks.tables import compact, upsert_table
 from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import roles, tables, tsv
 from marquee.sources.votes import read_lots
@@ -43,30 +44,51 @@ def drop_tables(spark: SparkSession, titles: str = TITLE_TABLE, people: str = PE
         tables.drop_table(spark, name, delete)
 
 
-def load_titles(spark: SparkSession, path: str, table: str = TITLE_TABLE, splits: int | None = None) -> None:
-    upsert_table(spark, table, details.title_family(tsv.read_titles(spark, path, splits=splits)), "title_id")
+# A load merges its rows into the table, which rewrites it; with ``put`` it writes only its own rows.
 
 
-def load_people(spark: SparkSession, path: str, table: str = PERSON_TABLE, splits: int | None = None) -> None:
+def _store(spark: SparkSession, table: str, rows: DataFrame, key: str, put: bool) -> None:
+    (put_rows if put else upsert_table)(spark, table, rows, key)
+
+
+def load_titles(spark: SparkSession, path: str, table: str = TITLE_TABLE, splits: int | None = None,
+                put: bool = False) -> None:
+    _store(spark, table, details.title_family(tsv.read_titles(spark, path, splits=splits)), "title_id", put)
+
+
+def load_people(spark: SparkSession, path: str, table: str = PERSON_TABLE, splits: int | None = None,
+                put: bool = False) -> None:
     people = details.person_family(roles.people(tsv.read_people(spark, path, splits=splits)))
-    upsert_table(spark, table, people, "person_id")
+    _store(spark, table, people, "person_id", put)
 
 
 def load_summaries(spark: SparkSession, credits_path: str, ratings_path: str, titles: str = TITLE_TABLE,
-                   people: str = PERSON_TABLE, splits: int | None = None) -> None:
+                   people: str = PERSON_TABLE, splits: int | None = None, put: bool = False) -> None:
     """Number of rated titles and the three best titles of each person, into the person table."""
-    names = tables.scan_family(spark.table(titles), "title_id", "details")
+    names = tables.scan_family(read_table(spark, titles, "title_id"), "title_id", "details")
     best = credits.person_title_best(
         roles.credits(tsv.read_credits(spark, credits_path, splits=splits)),
         names,
         roles.ratings(tsv.read_ratings(spark, ratings_path, splits=splits)),
     )
-    upsert_table(spark, people, details.summary_family(credits.title_summary(best)), "person_id")
+    _store(spark, people, details.summary_family(credits.title_summary(best)), "person_id", put)
+
+
+def compact_tables(spark: SparkSession, titles: str = TITLE_TABLE, people: str = PERSON_TABLE, keep: int = 2) -> None:
+    """Merge what was put into both tables and delete versions that are older than the last ``keep``."""
+    for name, key in ((titles, "title_id"), (people, "person_id")):
+        compact(spark, name, key)
+        tables.clean_versions(spark, name, keep)
 
 
 def page(spark: SparkSession, person_id: str, table: str = PERSON_TABLE) -> DataFrame:
     """The page of one person, without a row where the id is unknown."""
-    return details.pages_from_table(tables.lookup(spark.table(table), "person_id", person_id))
+    return details.pages_from_table(get_row(spark, table, "person_id", person_id))
+
+
+def pages(spark: SparkSession, person_ids: list[str], table: str = PERSON_TABLE) -> DataFrame:
+    """The pages of a list of people, without rows for unknown ids."""
+    return details.pages_from_table(get_rows(spark, table, "person_id", person_ids))
 
 
 # Batch reports

@@ -109,6 +109,9 @@ def _hashed(text: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
+_STORED_PAGES = f"""
+WITH {_BEST}
+SELECT CAST(person_id AS VARCHAR) AS person_id, name, birth, death, total, top1, top2, top3 FROM pages"""
 _TOP3_FINISHED = f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3 AND {_FINISHED}"
 _TRENDING_FINISHED = f"""
 WITH {_PERIODS}
@@ -219,9 +222,9 @@ WITH bounds AS (
   FROM part),
 points AS (SELECT event_id, CAST(round(value * 100) AS BIGINT) AS point FROM events)
 SELECT event_id, point, title_id FROM points JOIN bounds ON point >= lo AND point < hi""",
-    "table_upsert": f"""
-WITH {_BEST}
-SELECT CAST(person_id AS VARCHAR) AS person_id, name, birth, death, total, top1, top2, top3 FROM pages""",
+    "table_upsert": _STORED_PAGES,
+    "table_puts": _STORED_PAGES,
+    "person_pages_get": f"WITH {_BEST}, {_LINES} SELECT * FROM lines WHERE person_id BETWEEN 1 AND 39",
     "catalog_ddl": """
 SELECT CAST(p_partkey AS VARCHAR) AS title_id, p_name AS original_title,
        array_to_string(string_split(p_name, ' '), ',') AS genres,

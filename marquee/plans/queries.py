@@ -20,7 +20,8 @@ from marquee.plans import bindings as b
 from marquee.plans import jobs
 from marquee.schema import RATINGS, TOP_TITLES
 from marquee.session import new_folder
-from marquee.sinks.tables import upsert_table
+from marquee.sinks.puts import get_rows, put_rows, read_table
+from marquee.sinks.tables import compact, upsert_table
 from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import roles, tables
 from marquee.sources.tsv import read_credits, read_people, read_ratings, read_titles, read_tsv
@@ -366,6 +367,41 @@ def table_upsert(spark, folder):
     return pages
 
 
+def _before_drop(spark, name, rows):
+    """Rows that were read from a table, written down before it is dropped."""
+    path = new_folder(spark, "rows")
+    rows.write.parquet(path)
+    tables.drop_table(spark, name)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@_query
+def table_puts(spark, folder):
+    """Pages of people whose details and summaries were put on the same keys, with a merge and a second put of some."""
+    name = _fresh_table("person_table")
+    tables.create_table(spark, name, tables.PERSON_TABLE)
+    people = details.person_family(b.people(spark, folder).withColumn("person_id", F.col("person_id").cast("string")))
+    summary = details.summary_family(credits.title_summary(_best(spark, folder)).withColumn(
+        "person_id", F.col("person_id").cast("string")))
+    unnamed = people.withColumn("details", F.col("details").withField("name", F.lit("nobody")))
+    put_rows(spark, name, unnamed, "person_id")
+    put_rows(spark, name, summary, "person_id")
+    compact(spark, name, "person_id")
+    put_rows(spark, name, people, "person_id")
+    return _before_drop(spark, name, details.pages_from_table(read_table(spark, name, "person_id")))
+
+
+@_query
+def person_pages_get(spark, folder):
+    """All pages are stored, half of them by a put; those of a list of people are then read back by key."""
+    pages = _pages(spark, folder)
+    name = _fresh_table("page_table")
+    tables.create_table(spark, name, pages.schema)
+    upsert_table(spark, name, pages.where("person_id % 2 = 0"), "person_id")
+    put_rows(spark, name, pages.where("person_id % 2 = 1"), "person_id")
+    return _before_drop(spark, name, details.page_lines(get_rows(spark, name, "person_id", [*range(1, 40), -5, 10**9])))
+
+
 @_query
 def catalog_ddl(spark, folder):
     """Create the title table twice, load it, read its details family, drop it twice."""

@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators.upsert import upsert
+from marquee.sinks.puts import bloom_filter, read_table
 from marquee.sources import tables
 
 
-def _at_latest(spark: SparkSession, name: str, folder: str) -> tuple[int, int, DataFrame]:
-    """Number, buckets and rows of the latest version; the table is switched to it where another writer left one."""
-    number, buckets, path = tables.versions(spark, folder)[-1]
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
-    if described.data_type.rpartition("/")[2] != path.rpartition("/")[2]:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(name)
-    return number, buckets, spark.table(name)
-
-
 def upsert_table(spark: SparkSession, name: str, updates: DataFrame, key: str, order: str | None = None) -> str:
     """Merge rows into a table by key; see ``upsert`` for ``order``.
 
@@ -27,21 +19,36 @@ def upsert_table(spark: SparkSession, name: str, updates: DataFrame, key: str, o
     write is complete, so readers never see half of it and a lost job leaves the old state in
     place. If another writer has finished a version since this one read, the rows are merged
     again into that. Stored and new rows meet bucket by bucket: only the updates are
-    shuffled, and each task writes the bucket it has merged. Returns the new folder.
+    shuffled, and each task writes the bucket it has merged. What was put since the last
+    version is merged too, before the updates. Returns the new folder.
     """
+    return _next_version(spark, name, key, lambda rows: upsert(rows, updates, key, order))
+
+
+def compact(spark: SparkSession, name: str, key: str) -> str | None:
+    """Merge what was put into the next version and return its folder. Without puts nothing is written."""
+    if not tables.puts_after(spark, tables.table_folder(spark, name)):
+        return None
+    return _next_version(spark, name, key, lambda rows: rows)
+
+
+def _next_version(spark: SparkSession, name: str, key: str, change: Callable[[DataFrame], DataFrame]) -> str:
     folder = tables.table_folder(spark, name)
     while True:
-        number, buckets, target = _at_latest(spark, name, folder)
+        number, buckets, _ = tables.switch_to_latest(spark, name)
+        waiting = tables.puts_after(spark, folder)
+        puts = waiting[-1] if waiting else tables.merged_puts(spark, folder)
+        target = read_table(spark, name, key, up_to=puts)
         writing = f"{name}_{uuid.uuid4().hex}"
         written = f"{folder}/_{uuid.uuid4().hex}"
-        merged = upsert(target, updates, key, order).select(*target.columns)
+        merged = change(target).select(*target.columns)
         (
-            merged.write.format("parquet").option("path", written)
+            merged.write.format("parquet").option("path", written).options(**bloom_filter(key))
             .bucketBy(buckets, key).sortBy(key).saveAsTable(writing)
         )
         spark.sql(f"DROP TABLE {writing}")
-        if tables.add_version(spark, folder, written, number + 1, buckets):
+        if tables.add_version(spark, folder, written, number + 1, buckets, puts):
             break
         tables.delete_folder(spark, written)
-    _at_latest(spark, name, folder)
-    return f"{folder}/{tables.version_name(number + 1, buckets)}"
+    tables.switch_to_latest(spark, name)
+    return f"{folder}/{tables.version_name(number + 1, buckets, puts)}"

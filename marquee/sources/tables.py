@@ -16,7 +16,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
-_VERSION = re.compile(r"v(\d{8})-b(\d+)")
+_VERSION = re.compile(r"v(\d{8})-b(\d+)(?:-p(\d+))?")
+_PUT = re.compile(r"put_no=(\d+)")
 
 _TITLE_DETAILS = StructType([
     StructField("title_type", StringType()),
@@ -69,19 +70,55 @@ def versions(spark: SparkSession, folder: str) -> list[tuple[int, int, str]]:
     return sorted((int(m[1]), int(m[2]), f"{folder}/{n}") for m, n in found if m)
 
 
-def version_name(number: int, buckets: int) -> str:
-    return f"v{number:08d}-b{buckets}"
+def version_name(number: int, buckets: int, puts: int = 0) -> str:
+    """``puts`` is the last put that is merged into the version."""
+    return f"v{number:08d}-b{buckets}" + (f"-p{puts}" if puts else "")
 
 
-def add_version(spark: SparkSession, folder: str, written: str, number: int, buckets: int) -> bool:
+def add_version(spark: SparkSession, folder: str, written: str, number: int, buckets: int, puts: int = 0) -> bool:
     """Make a folder of finished files the given version. False where that number is there already."""
-    store, target = files(spark, f"{folder}/{version_name(number, buckets)}")
+    store, target = files(spark, f"{folder}/{version_name(number, buckets, puts)}")
     latest = versions(spark, folder)
     if latest and latest[-1][0] >= number:
         return False
     return bool(store.rename(files(spark, written)[1], target))
 
 
+def puts_folder(folder: str) -> str:
+    return f"{folder}/puts"
+
+
+def put_numbers(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of all puts whose folders are there."""
+    store, path = files(spark, puts_folder(folder))
+    if not store.exists(path):
+        return []
+    found = (_PUT.fullmatch(s.getPath().getName()) for s in store.listStatus(path))
+    return sorted(int(m[1]) for m in found if m)
+
+
+def merged_puts(spark: SparkSession, folder: str) -> int:
+    """The last put that the latest version holds, or 0."""
+    return int(_VERSION.fullmatch(versions(spark, folder)[-1][2].rpartition("/")[2])[3] or 0)
+
+
+def puts_after(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of the puts that the latest version does not hold yet."""
+    last = merged_puts(spark, folder)
+    return [n for n in put_numbers(spark, folder) if n > last]
+
+
+def add_put(spark: SparkSession, folder: str, written: str) -> int:
+    """Make a folder of finished files the next put and return its number."""
+    store, parent = files(spark, puts_folder(folder))
+    store.mkdirs(parent)
+    while True:
+        number = max([merged_puts(spark, folder), *put_numbers(spark, folder)]) + 1
+        target = files(spark, f"{puts_folder(folder)}/put_no={number}")[1]
+        if not store.exists(target) and store.rename(files(spark, written)[1], target):
+            return number
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     store, path = files(spark, folder)
     store.delete(path, True)
@@ -133,22 +170,42 @@ def open_table(spark: SparkSession, name: str, schema: StructType, location: str
     return True
 
 
+def switch_to_latest(spark: SparkSession, name: str) -> tuple[int, int, str]:
+    """Number, buckets and folder of the latest version; the table is switched to it where another writer left one."""
+    number, buckets, path = versions(spark, table_folder(spark, name))[-1]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    if described.data_type.rpartition("/")[2] != path.rpartition("/")[2]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    return number, buckets, path
+
+
 def drop_table(spark: SparkSession, name: str, delete: bool = False) -> bool:
     """Drop a table if it is there. Its files stay for readers that still hold them, unless ``delete`` is set."""
     if not spark.catalog.tableExists(name):
         return False
     folder = table_folder(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}_puts")
     if delete:
         delete_folder(spark, folder)
     return True
 
 
 def clean_versions(spark: SparkSession, name: str, keep: int = 2) -> int:
-    """Delete all versions of a table but the last ``keep``, one at least; the number deleted."""
-    old = versions(spark, table_folder(spark, name))[: -max(1, keep)]
+    """Delete all versions of a table but the last ``keep``, one at least; the number deleted.
+
+    Puts that all versions left hold go too.
+    """
+    root = table_folder(spark, name)
+    found = versions(spark, root)
+    old = found[: -max(1, keep)]
     for _, _, folder in old:
         delete_folder(spark, folder)
+    merged = int(_VERSION.fullmatch(found[len(old)][2].rpartition("/")[2])[3] or 0)
+    for number in put_numbers(spark, root):
+        if number <= merged:
+            delete_folder(spark, f"{puts_folder(root)}/put_no={number}")
     return len(old)
 
 
