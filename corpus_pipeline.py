@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are alike in 0.8 of their five-word shingles, the one with the smallest id stays."""
-    return simhash.one_of_each_group(docs, sketch=simhash.NEAR)
+    """Of documents whose fingerprints over four-word shingles hang together by 4 bits or fewer, the first stays."""
+    return simhash.one_of_each_group(docs, words=4, radius=4)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

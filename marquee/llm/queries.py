@@ -41,7 +41,7 @@ def byte_ranks() -> tuple[str, str]:
 @_query
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.groups(table(spark, folder, "documents"))
-    return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("probes")[0]), 16, "0")).alias("fingerprint"),
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                         "component_id")
 
 

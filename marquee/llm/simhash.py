@@ -6,7 +6,7 @@ the table of a vector v > 0 keeps the bits with <m(i), v> = 1. Whatever r bits t
 fingerprints differ in, some v is at right angles to all their vectors, so in that table
 none of them is kept and the two meet. No pair within the radius is missed.
 
-Equal fingerprints are one point from the start. A bucket gives a forest of links, never all
+A fingerprint is a point, however many rows have it. A bucket gives a forest of links, never all
 its pairs. A bucket of very many points is dealt out once more by a second family of masks
 over its other bits; after that 16 bits are free in the mean and 22 at most, so whatever the
 data a group is small enough for one task.
@@ -14,22 +14,25 @@ data a group is small enough for one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.quality import mixed
 from marquee.llm.text import map_texts
+from marquee.operators.joins import lookup_join
 from marquee.session import shared_dir
 
 BITS = 64
 SEED = 42
 
+#: Words of a shingle, and the bits that linked fingerprints may differ in.
+WORDS = 4
+RADIUS = 4
+
 #: Points in a bucket above which it is dealt out by the second masks. It changes the plan, not the links.
 LARGE_BUCKET = 1_000
 
@@ -37,34 +40,6 @@ LARGE_BUCKET = 1_000
 _SPREAD = np.array([sum((b >> k & 1) << 8 * k for k in range(8)) for b in range(256)], np.uint64)
 
 
-@dataclass(frozen=True)
-class Sketch:
-    """What is computed of a text, and when two texts are linked.
-
-    ``probes`` are the fingerprints to be masked: so many, over word shingles of
-    ``probe_words``. ``code`` fingerprints over shingles of ``code_words`` decide: two texts
-    are linked if those differ in ``max_bits`` bits or fewer, all together. Without a code
-    the probes decide. ``distinct`` counts a repeated shingle once. With ``exact`` no
-    fingerprint is made and ``near`` finds and decides.
-    """
-
-    probe_words: int
-    probes: int = 1
-    radius: int = 4
-    code_words: int = 0
-    code: int = 0
-    max_bits: int = 4
-    distinct: bool = False
-    exact: bool = False
-
-
-#: 64 bits over shingles of four words, linked at four bits.
-PLAIN = Sketch(probe_words=4)
-
-#: Distinct five-word shingles, linked at an exact likeness of 0.8. Fingerprints don't decide: see ``near``.
-NEAR = Sketch(probe_words=5, distinct=True, exact=True)
-
-
 def masks(radius: int, turn: int = 0) -> list[int]:
     """The masks of all tables, as unsigned 64-bit numbers. ``turn`` gives another family."""
     size = 1 << radius + 1
@@ -76,158 +51,122 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def shingle_hashes(words: list[bytes], n: int, distinct: bool) -> np.ndarray:
+def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
     """XXH64 of every shingle of n words joined by one space; of fewer words, the whole row of them is one."""
     if not words:
         return np.zeros(0, np.uint64)
     digest = xxhash.xxh64_intdigest
-    if n == 1:
-        found = [digest(w, SEED) for w in (set(words) if distinct else words)]
-    else:
-        joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = np.concatenate(([0], ends[:-1])).tolist()
-        stops = (ends[n - 1 :] - 1).tolist() or [len(joined)]
-        found = [digest(joined[a:b], SEED) for a, b in zip(starts, stops)]
-    hashes = np.fromiter(found, np.uint64, len(found))
-    return np.unique(hashes) if distinct else hashes
-
-
-def majority_bits(hashes: list[np.ndarray], count: int) -> np.ndarray:
-    """``count`` fingerprints of each set of hashes: a bit is 1 if it is in over half of them."""
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate(([0], ends[:-1])).tolist()
+    stops = (ends[n - 1 :] - 1).tolist() or [len(joined)]
+    found = [digest(joined[a:b], SEED) for a, b in zip(starts, stops)]
+    return np.fromiter(found, np.uint64, len(found))
+
+
+def majority_bits(hashes: list[np.ndarray]) -> np.ndarray:
+    """The fingerprint of each set of hashes: a bit is 1 if it is in over half of them."""
     sizes = np.array([len(h) for h in hashes], np.int64)
-    out = np.zeros((len(hashes), count), np.uint64)
+    out = np.zeros(len(hashes), np.uint64)
     held = np.flatnonzero(sizes)
     if not len(held):
         return out
-    whole = np.concatenate(hashes)
     first = np.concatenate(([0], np.cumsum(sizes[held])[:-1]))
     runs = -(-sizes[held] // 255)  # a byte counts to 255
     run_first = np.concatenate(([0], np.cumsum(runs)[:-1]))
     at = np.repeat(first - 255 * run_first, runs) + 255 * np.arange(runs.sum())
-    for k in range(count):
-        values = whole if k == 0 else mixed(whole + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        spread = _SPREAD[values.astype("<u8").view(np.uint8).reshape(-1, 8)]
-        counts = np.add.reduceat(spread, at, axis=0).astype("<u8").view(np.uint8).astype(np.int64)
-        total = np.add.reduceat(counts, run_first, axis=0)
-        bits = (2 * total > sizes[held, None]).astype(np.uint8)
-        out[held, k] = np.packbits(bits, axis=1, bitorder="little").view("<u8")[:, 0]
+    spread = _SPREAD[np.concatenate(hashes).astype("<u8").view(np.uint8).reshape(-1, 8)]
+    counts = np.add.reduceat(spread, at, axis=0).astype("<u8").view(np.uint8).astype(np.int64)
+    total = np.add.reduceat(counts, run_first, axis=0)
+    bits = (2 * total > sizes[held, None]).astype(np.uint8)
+    out[held] = np.packbits(bits, axis=1, bitorder="little").view("<u8")[:, 0]
     return out
 
 
-def sketches(texts: list[str], sketch: Sketch) -> list[list]:
-    """Probes and code of each text, as signed 64-bit numbers."""
-    words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    probes = majority_bits([shingle_hashes(w, sketch.probe_words, sketch.distinct) for w in words], sketch.probes)
-    made = [probes.view(np.int64).tolist()]
-    if sketch.code:
-        codes = majority_bits([shingle_hashes(w, sketch.code_words, sketch.distinct) for w in words], sketch.code)
-        made.append(codes.view(np.int64).tolist())
-    return made
-
-
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch: Sketch = PLAIN) -> DataFrame:
-    """``id_col`` and ``probes``, and ``code`` where the sketch has one, of each row.
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """``id_col`` and ``fingerprint``, as a signed 64-bit number, of each row.
 
     A-Z count as lower case; words are what stands between spaces and control characters. A
-    text without words, also a null one, has zeros. Rows that repeat are kept each.
+    text without words, also a null one, has zero. Rows that repeat are kept each.
     """
-    longs = pa.list_(pa.int64())
-    fields = {"probes": longs} | ({"code": longs} if sketch.code else {})
-    return map_texts(df, id_col, text_col, lambda texts: sketches(texts, sketch), fields)
+    def each(texts: list[str]) -> list[list]:
+        found = [shingle_hashes(t.encode("utf-8", "surrogatepass").lower().split(), words) for t in texts]
+        return [majority_bits(found).view(np.int64).tolist()]
 
+    return map_texts(df, id_col, text_col, each, {"fingerprint": pa.int64()})
 
-def _bucket(table: Column, masked: Column) -> Column:
-    """One number for table and masked fingerprint. Should two fall together, their bucket only gets larger."""
-    return F.xxhash64(table, masked)
 
+def links(points: DataFrame, radius: int = RADIUS, large: int = LARGE_BUCKET) -> DataFrame:
+    """Links (a, b), a < b, that connect all fingerprints in ``point`` that differ in ``radius`` bits or fewer.
 
-def _meetings(points: DataFrame, radius: int) -> DataFrame:
-    """Every point once per probe and table: the point, which probe it is there for, and the bucket."""
-    family = F.array(*[F.lit(_signed(m)) for m in masks(radius)])
-    return (
-        points.select("point", F.posexplode("probes").alias("nth", "probe"))
-        .select("point", "nth", "probe", F.posexplode(family).alias("table", "mask"))
-        .select("point", F.col("nth").cast("tinyint").alias("nth"), _bucket(
-            F.col("nth") * 1000 + F.col("table"), F.col("probe").bitwiseAND(F.col("mask"))).alias("bucket"))
-    )
-
-
-def links(points: DataFrame, sketch: Sketch = PLAIN, large: int = LARGE_BUCKET) -> DataFrame:
-    """Links (a, b), a < b, that connect all points which some table brings together and the code links.
-
-    ``points`` has ``point``, ``probes`` and ``code``. Of points linked in a ring some links
-    are left out; which points hang together is the same. Buckets are counted first, and
-    only what shares one is joined with its code.
+    Of points linked in a ring some links are left out; which points hang together is the
+    same. Should two buckets' numbers fall together, their bucket only gets larger.
     """
-    met = _meetings(points, sketch.radius)
+    family, second = (F.array(*[F.lit(_signed(m)) for m in masks(radius, turn)]) for turn in (0, 1))
+    met = points.select("point", F.posexplode(family).alias("table", "mask")).select(
+        "point", F.xxhash64("table", F.col("point").bitwiseAND(F.col("mask"))).alias("bucket"))
     sizes = met.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = met.join(sizes, "bucket").join(points.select("point", "code", "probes"), "point").withColumn(
-        "probe", F.col("probes")[F.col("nth").cast("int")])
-    second = F.array(*[F.lit(_signed(m)) for m in masks(sketch.radius, 1)])
     some = F.array(F.lit(None).cast("bigint"))
     dealt = (
-        shared.withColumn("mask", F.explode(F.when(F.col("size") > large, second).otherwise(some)))
-        .select("point", "code", F.when(F.col("mask").isNull(), F.col("bucket")).otherwise(
-            F.xxhash64("bucket", "mask", F.col("probe").bitwiseAND(F.col("mask")))).alias("bucket"))
+        lookup_join(met, sizes, "bucket")
+        .withColumn("mask", F.explode(F.when(F.col("size") > large, second).otherwise(some)))
+        .select("point", F.when(F.col("mask").isNull(), F.col("bucket")).otherwise(
+            F.xxhash64("bucket", "mask", F.col("point").bitwiseAND(F.col("mask")))).alias("bucket"))
     )
     gathered = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    kind = points.schema["point"].dataType.simpleString()
-    return gathered.mapInArrow(_forests(sketch.max_bits), f"a {kind}, b {kind}").distinct()
 
-
-def _forests(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The forest of each bucket, from rows sorted by bucket."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The forest of each bucket, from rows sorted by bucket."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            codes = batch.column("code").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            rows = (batch.column("bucket").to_numpy(zero_copy_only=False),
-                    batch.column("point").to_numpy(zero_copy_only=False), codes.reshape(batch.num_rows, -1))
+            rows = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "point"))
             held.append(rows)
             if rows[0][0] == rows[0][-1] and held[0][0][0] == rows[0][0]:
                 continue  # one bucket so far
-            buckets, points, codes = (np.concatenate(x) for x in zip(*held))
+            buckets, found = (np.concatenate(x) for x in zip(*held))
             cut = int(np.searchsorted(buckets, buckets[-1]))
-            yield _pairs(buckets[:cut], points[:cut], codes[:cut], most)
-            held = [(buckets[cut:], points[cut:], codes[cut:])]
+            yield _pairs(buckets[:cut], found[:cut], radius)
+            held = [(buckets[cut:], found[cut:])]
         if held:
-            yield _pairs(*(np.concatenate(x) for x in zip(*held)), most)
+            yield _pairs(*(np.concatenate(x) for x in zip(*held)), radius)
+
+    return gathered.mapInArrow(forests, "a bigint, b bigint").distinct()
 
-    return run
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64))
 
-def _pairs(buckets: np.ndarray, points: np.ndarray, codes: np.ndarray, most: int) -> pa.RecordBatch:
+
+def _pairs(buckets: np.ndarray, points: np.ndarray, radius: int) -> pa.RecordBatch:
     starts = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1]))) if len(buckets) else np.zeros(0, int)
     sizes = np.diff(np.concatenate((starts, [len(buckets)])))
     two = starts[sizes == 2]
-    near = two[np.bitwise_count(codes[two] ^ codes[two + 1]).sum(axis=1, dtype=np.int64) <= most]
+    near = two[_apart(points[two], points[two + 1]) <= radius]
     found = [(points[near], points[near + 1])]
     for at, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-        found.append(forest(points[at : at + size], codes[at : at + size], most))
+        found.append(forest(points[at : at + size], radius))
     a, b = (np.concatenate(x) for x in zip(*found))
     a, b = np.minimum(a, b), np.maximum(a, b)
     apart = a != b
     return pa.RecordBatch.from_arrays([pa.array(a[apart]), pa.array(b[apart])], names=["a", "b"])
 
 
-def forest(points: np.ndarray, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is linked within one bucket: each point is compared with those not reached yet."""
-    left = np.arange(len(points))
+    left = points
     a, b = [], []
     while len(left):
-        reached, left = [int(left[0])], left[1:]
+        reached, left = [left[:1]], left[1:]
         while reached and len(left):
             at = reached.pop()
-            near = np.bitwise_count(codes[left] ^ codes[at]).sum(axis=1, dtype=np.int64) <= most
+            near = _apart(left, at) <= radius
             if near.any():
                 hit = left[near]
-                a.append(np.full(len(hit), points[at]))
-                b.append(points[hit])
-                reached += hit.tolist()
+                a.append(np.repeat(at, len(hit)))
+                b.append(hit)
+                reached += np.split(hit, len(hit))
                 left = left[~near]
     none = np.zeros(0, points.dtype)
     return np.concatenate([none, *a]), np.concatenate([none, *b])
@@ -237,7 +176,8 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node it hangs together with, for every node of the links (a, b) but roots.
 
     Stars are drawn to the smallest neighbour, in turn from larger and from smaller nodes,
-    until nothing changes. Every round is checkpointed, so that a lost executor costs one
+    until nothing changes. The centre of a large star has very many rows, so it is joined in
+    a way that can be split. Every round is checkpointed, so that a lost executor costs one
     round, and what comes back to the driver is two numbers.
     """
     shared_dir(edges.sparkSession)
@@ -246,9 +186,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = lookup_join(both, least, "u").where("v > u").select(
+            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(
+        small = lookup_join(large, least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(
             F.col("v")).alias("u"), F.col("m").alias("v"))
         now = small.distinct().checkpoint()
         before, state = state, _state(now)
@@ -260,40 +201,37 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
 
 
-def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch: Sketch = PLAIN,
+def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS,
            large: int = LARGE_BUCKET) -> DataFrame:
-    """``id_col``, ``probes`` and ``component_id``, the smallest id that a row is linked with over any way.
+    """``id_col``, ``fingerprint`` and ``component_id``, the smallest id that a row is linked with over any way.
 
-    Rows that share an id count as one document. Rows without an id take part only as copies:
-    their component is that of equal fingerprints, or null. Ids are whole numbers. An exact
-    sketch gives no ``probes`` and leaves out rows without an id.
+    Fingerprints are linked, not ids: rows that share an id are each in the component of
+    their own fingerprint. Rows without an id take part, and have no component only where
+    nothing in it has an id. No rows give no rows; further columns are left behind.
     """
-    if sketch.exact:
-        from marquee.llm import near
-
-        return near.groups(df, id_col, text_col, large)
     shared_dir(df.sparkSession)
-    made = fingerprints(df, id_col, text_col, sketch).withColumnRenamed(id_col, "id")
-    made = (made if sketch.code else made.withColumn("code", F.col("probes"))).checkpoint()
-    points = made.groupBy("probes", "code").agg(F.min("id").alias("point")).where("point IS NOT NULL").checkpoint()
-    roots = components(links(points, sketch, large))
-    of_point = points.join(roots, F.col("point") == F.col("node"), "left").select(
-        F.struct("probes", "code").alias("key"), F.coalesce("root", "point").alias("component_id"))
-    return (
-        made.withColumn("key", F.struct("probes", "code")).join(of_point, "key", "left")
-        .select(F.col("id").alias(id_col), "probes", "component_id")
-    )
-
-
-def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      sketch: Sketch = NEAR) -> DataFrame:
-    """``df``'s row of the smallest id of each group, whole and unchanged.
-
-    Of rows that share an id any one stays. Rows without an id all stay, as none can stand
-    for another.
+    made = fingerprints(df, id_col, text_col, words).withColumnRenamed(id_col, "id").checkpoint()
+    points = made.groupBy(F.col("fingerprint").alias("point")).agg(F.min("id").alias("first")).checkpoint()
+    roots = components(links(points.select("point"), radius, large))
+    rooted = points.join(roots, F.col("point") == F.col("node"), "left").select(
+        F.col("point").alias("fingerprint"), "first", F.coalesce("root", "point").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    of_point = lookup_join(rooted.drop("first"), smallest, "root").drop("root")
+    return lookup_join(made, of_point, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+
+
+def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                      radius: int = RADIUS) -> DataFrame:
+    """Of each component the row of the smallest id, whole and unchanged.
+
+    Of rows with that id in the component it is the one whose digest over all columns is
+    smallest, in every run; rows of one id whose texts are unlike are in components of their
+    own and all stay. A row without an id stays only where the component has no other.
     """
-    found = groups(df, id_col, text_col, sketch)
-    stay = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_stays")).distinct()
-    with_id = df.join(stay, df[id_col] == stay["_stays"]).drop("_stays").dropDuplicates([id_col])
-    without = df.where(df[id_col].isNull())
-    return with_id.unionByName(without)
+    told = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+    keyed = df.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), told.alias("told")).alias("key"),
+                      F.col(text_col).alias("text"))
+    found = groups(keyed, "key", "text", words, radius)
+    stay = found.where(F.col("key") == F.col("component_id")).select(F.col("key.told").alias("_told")).distinct()
+    # Rows of one digest are equal in every column, so any one of them is the one.
+    return lookup_join(df.withColumn("_told", told), stay, "_told").dropDuplicates(["_told"]).drop("_told")

@@ -53,7 +53,7 @@ def test_groups_equal_those_of_all_pairs(spark, documents):
     near = [(a, b) for a, b in itertools.combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
     roots = brute_roots(prints, near)
     found = simhash.groups(documents).collect()
-    assert {r.doc_id: (r.probes[0], r.component_id) for r in found} == {
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in found} == {
         d: (signed(prints[d]), roots[d]) for d in prints}
 
 
@@ -61,10 +61,9 @@ def test_links_connect_what_is_near_in_large_buckets_too(spark):
     chosen = random.Random(7)
     centres = [chosen.getrandbits(64) for _ in range(6)]
     values = {c ^ sum(1 << b for b in chosen.sample(range(64), chosen.randint(0, 7))) for c in centres for _ in range(40)}
-    points = dict(enumerate(sorted(values)))
-    near = [(a, b) for a, b in itertools.combinations(points, 2) if (points[a] ^ points[b]).bit_count() <= 4]
-    table = spark.createDataFrame([(p, [signed(v)], [signed(v)]) for p, v in points.items()],
-                                  "point bigint, probes array<bigint>, code array<bigint>")
+    points = sorted(signed(v) for v in values)
+    near = [(a, b) for a, b in itertools.combinations(points, 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4]
+    table = spark.createDataFrame([(p,) for p in points], "point bigint")
     for large in (3, 1_000):
         links = [tuple(r) for r in simhash.links(table, large=large).collect()]
         assert set(links) <= set(near)
@@ -80,11 +79,21 @@ def test_components_of_a_long_chain_and_a_star(spark):
 def test_awkward_rows(awkward):
     found = {r.doc_id: r for r in simhash.groups(awkward).where("doc_id IS NOT NULL").collect()}
     assert [found[d].component_id for d in (1, 2, 3, 4, 5, 6)] == [1, 1, 3, 3, 3, 6]
-    assert found[3].probes == [0]
+    assert found[3].fingerprint == 0
     kept = simhash.one_of_each_group(awkward)
     assert kept.columns == awkward.columns
-    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
-    assert ids == [1, 3, 6, 8, 9]  # 7 is 1 over and over
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 8, 9]  # 7 is 1 over and over
+
+
+def test_rows_of_one_id_with_unlike_texts_stay(spark):
+    rows = [(1, "a b c d e f g", "x"), (1, "quite another text that has no word of it", "x"), (1, "a b c d e f g", "y"),
+            (1, "a b c d e f g", "y"), (2, "a b c d e f g", "x"), (None, "a b c d e f g", "x"), (None, "alone here", None),
+            (None, "alone here", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = [sorted((r.doc_id or 0, r.text) for r in simhash.one_of_each_group(df.repartition(n)).collect()) for n in (1, 3)]
+    assert kept[0] == kept[1] == sorted([(1, rows[0][1]), (1, rows[1][1]), (0, "alone here")])
+    found = simhash.groups(df).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (None, 1), (None, None)}
 
 
 def test_no_rows(nothing):
@@ -92,15 +101,15 @@ def test_no_rows(nothing):
     assert simhash.one_of_each_group(nothing).count() == 0
 
 
-def test_near_sketch_takes_copies_with_few_edits_and_leaves_others(spark):
+def test_copies_with_few_edits_go_and_others_stay(spark):
     chosen = random.Random(3)
     vocabulary = ["".join(chosen.choices("abcdefghij", k=chosen.randint(3, 9))) for _ in range(3_000)]
     rows = []
     for n in range(60):
-        words = chosen.choices(vocabulary, k=400)
+        words = chosen.choices(vocabulary, k=4_000)
         rows.append((n, " ".join(words)))
         words = list(words)
-        for at in chosen.sample(range(400), 4):
+        for at in chosen.sample(range(4_000), 2):
             words[at] = chosen.choice(vocabulary)
         rows.append((1_000 + n, " ".join(words)))
     kept = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id bigint, text string"))
