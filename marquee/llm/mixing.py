@@ -102,9 +102,9 @@ def _fair_share(weighted: DataFrame) -> float:
 def slots(goals: DataFrame) -> DataFrame:
     """``goals`` with ``n_slots`` and ``first``: a source has the points from first on, of 2 ** k evenly spaced ones.
 
-    Also ``words_per_slot``, and ``reach``, where the last block of a source ends. A source
-    that aims at less than a slot has one slot, which may be another source's too, and its
-    block ends at its aim.
+    Also ``words_per_slot``. The last block of a source ends at its aim, be it before or after
+    the end of its slot; a source that aims at less than a slot has one slot, which may be
+    another source's too.
     """
     aimed, = goals.agg(F.coalesce(F.sum("aim"), F.lit(0))).first()
     count = 1 << min(SLOTS, int(math.log2(aimed))) if aimed else 0
@@ -112,11 +112,10 @@ def slots(goals: DataFrame) -> DataFrame:
     summed = running_total(goals, ["source_rank"], "aim", "until")
     last = F.ceil(F.col("until") * F.lit(count / aimed if aimed else 0.0)).cast("bigint")
     first = F.ceil((F.col("until") - F.col("aim")) * F.lit(count / aimed if aimed else 0.0)).cast("bigint")
-    under = (F.col("aim") > 0) & (F.col("aim") * count < aimed)
-    dealt = summed.withColumn("n_slots", F.when(under, F.lit(1).cast("bigint")).otherwise(last - first)).withColumn(
+    some = F.greatest(last - first, F.when(F.col("aim") > 0, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    dealt = summed.withColumn("n_slots", some).withColumn(
         "first", F.least(first, F.lit(max(0, count - 1)).cast("bigint"))).drop("until")
-    return dealt.withColumn("words_per_slot", F.lit(per_slot)).withColumn("slot_count", F.lit(count)).withColumn(
-        "reach", F.when(under, F.col("aim")).otherwise(block_start(F.col("n_slots")))).checkpoint()
+    return dealt.withColumn("words_per_slot", F.lit(per_slot)).withColumn("slot_count", F.lit(count)).checkpoint()
 
 
 def block_start(block: Column) -> Column:
@@ -155,7 +154,8 @@ def laid_out(rows: DataFrame, sums: DataFrame, dealt: DataFrame) -> DataFrame:
     before = Window.partitionBy("source_key").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
     offsets = lookup_join(offsets, dealt, "source_key")
-    inside = Window.partitionBy("source_key", "prefix").orderBy("order_key", "size").rowsBetween(
+    told = [c for c in rows.columns if c not in ("id", "source_key", "order_key", "size")]
+    inside = Window.partitionBy("source_key", "prefix").orderBy("order_key", "size", *told).rowsBetween(
         Window.unboundedPreceding, -1)
     return (
         rows.withColumn("prefix", prefix())
@@ -174,12 +174,13 @@ def pieces(placed: DataFrame, dealt: DataFrame) -> DataFrame:
     """
     passes = placed.where("size > 0 AND n_slots > 0").withColumn(
         "pass_no", F.explode(F.array(*map(F.lit, range(PASSES))))).withColumn(
-        "at", F.col("start") + F.col("pass_no") * F.col("source_size")).where("at < reach")
-    first = F.greatest(F.lit(0), F.floor(F.col("at") / F.col("words_per_slot")) - 1)
+        "at", F.col("start") + F.col("pass_no") * F.col("source_size")).where("at < aim")
+    first = F.least(F.col("n_slots") - 1, F.greatest(F.lit(0), F.floor(F.col("at") / F.col("words_per_slot")) - 1))
     last = F.least(F.col("n_slots") - 1, F.floor((F.col("at") + F.col("size")) / F.col("words_per_slot")) + 1)
     cut = passes.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("at"), block_start(F.col("block")))
-    end = F.least(F.col("at") + F.col("size"), block_start(F.col("block") + 1), F.col("reach"))
+    block_end = F.when(F.col("block") < F.col("n_slots") - 1, block_start(F.col("block") + 1)).otherwise(F.col("aim"))
+    end = F.least(F.col("at") + F.col("size"), block_end, F.col("aim"))
     cut = cut.select("source_rank", "block", "start", "pass_no", (begin - F.col("at")).alias("from_word"),
                      (end - begin).alias("words")).where("words > 0")
     return cut.join(schedule(dealt), ["source_rank", "block"])
@@ -199,10 +200,13 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         placed["id"].alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
-def plan(df: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
-    """The rows in their streams, and one row per source. Only counted words are kept of the texts."""
+def plan(df: DataFrame, id_col: str, text_col: str, source_col: str, *keep: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows in their streams, and one row per source. Only counted words are kept of the texts.
+
+    Columns to ``keep`` tell rows of one id and size apart in their order.
+    """
     shared_dir(df.sparkSession)
-    rows = keyed(df, id_col, text_col, source_col, F.col(id_col).alias("id")).checkpoint()
+    rows = keyed(df, id_col, text_col, source_col, F.col(id_col).alias("id"), *keep).checkpoint()
     sums = prefix_sums(rows)
     dealt = slots(targets(sums))
     return laid_out(rows, sums, dealt).checkpoint(), dealt
@@ -210,20 +214,27 @@ def plan(df: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple[Da
 
 def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
-    """``df``'s columns, each row as often as the mix takes it.
+    """``df``'s columns, each row as often as the mix takes it, in the order of the slots.
 
-    Where the mix ends within a document, its last copy has the words up to there, with one
-    space between two.
+    A copy lies where its first slot does; the partitions are stretches of slots, in order.
+    Where the mix ends within a document, its last copy has the text up to the end of the last
+    word taken. Texts are joined to the finished mix: of rows that are equal in every column
+    one text serves all.
     """
-    shared_dir(df.sparkSession)
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    rows = keyed(df, id_col, text_col, source_col, row)
-    sums = prefix_sums(keyed(df, id_col, text_col, source_col)).checkpoint()
-    placed = laid_out(rows, sums, slots(targets(sums)))
-    taken = [F.greatest(F.lit(0), F.least(F.col("size"), F.col("reach") - F.col("start") - n * F.col("source_size")))
-             for n in range(PASSES)]
-    copies = placed.withColumn("taken", F.explode(F.array(*taken))).where("taken > 0")
-    words = F.filter(F.split(F.col(f"row.`{text_col}`"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    text = F.when(F.col("taken") == F.col("size"), F.col(f"row.`{text_col}`")).otherwise(
-        F.array_join(F.slice(words, 1, F.col("taken").cast("int")), " "))
-    return copies.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in df.columns])
+    spark = df.sparkSession
+    told = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+    placed, dealt = plan(df, id_col, text_col, source_col, told.alias("told"))
+    copies = pieces(placed, dealt).groupBy("source_rank", "start", "pass_no").agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("slot"))
+    rows = placed.where("size > 0").select("source_rank", "start", "size", "told", "slot_count")
+    taken = copies.join(rows, ["source_rank", "start"]).select(
+        F.col("told").alias("_told"), F.struct("slot", "slot_count", "taken", "size").alias("_copy"))
+    texts = df.withColumn("_told", told).dropDuplicates(["_told"])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.floor(F.col("_copy.slot") * parts / F.col("_copy.slot_count")).cast("int")
+    text = F.col(f"`{text_col}`")
+    words = F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    cut = F.when(F.col("_copy.taken") == F.col("_copy.size"), text).otherwise(
+        F.array_join(F.slice(words, 1, F.col("_copy.taken").cast("int")), ""))
+    in_order = texts.join(taken, "_told").repartitionById(parts, part).sortWithinPartitions("_copy.slot", "_told")
+    return in_order.select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])

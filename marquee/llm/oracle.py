@@ -24,22 +24,13 @@ WITH docs AS (
 ), goals AS (
   SELECT k, s, r, least(share * w, 2.0 * s) AS target, CAST(floor(least(share * w, 2.0 * s) + 0.5) AS BIGINT) AS aim
   FROM filled, share
-), summed AS (
-  SELECT *, CAST(sum(aim) OVER (ORDER BY r) AS BIGINT) AS until, CAST(sum(aim) OVER () AS BIGINT) AS aimed FROM goals
-), counted AS (
-  SELECT *, CASE WHEN aimed = 0 THEN 0 ELSE CAST(2 ** least(20, floor(log2(aimed))) AS BIGINT) END AS n_slots FROM summed
-), reached AS (
-  SELECT k, s, target, CASE WHEN aimed = 0 THEN 0 ELSE CAST(ceil(
-           (CAST(ceil(until * (CAST(n_slots AS DOUBLE) / aimed)) AS BIGINT) - CAST(ceil((until - aim) * (CAST(n_slots AS DOUBLE) / aimed)) AS BIGINT))
-           * (CAST(aimed AS DOUBLE) / n_slots)) AS BIGINT) END AS reach
-  FROM counted
 ), placed AS (
-  SELECT doc_id, size, s, target, reach,
+  SELECT doc_id, size, s, target, aim,
          coalesce(sum(size) OVER (PARTITION BY k ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM docs JOIN reached USING (k)
+  FROM docs JOIN goals USING (k)
 )
 SELECT doc_id, size, s AS source_size, target,
-       CAST(greatest(0, least(size, reach - start)) + greatest(0, least(size, reach - start - s)) AS BIGINT) AS taken
+       CAST(greatest(0, least(size, aim - start)) + greatest(0, least(size, aim - start - s)) AS BIGINT) AS taken
 FROM placed
 """
 
