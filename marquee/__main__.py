@@ -8,8 +8,9 @@ from marquee.operators import trends
 from marquee.plans import jobs
 from marquee.session import build_session
 from marquee.sources import roles, tsv
+from marquee.sources.lines import growing_votes
 from marquee.sources.votes import socket_votes, text_votes
-from marquee.streaming.runner import finish, stream_session
+from marquee.streaming.runner import drain, finish, stream_session
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -48,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
         stream = job(name, *([] if name == "log" else ["titles"]), "out", "checkpoint")
         source = stream.add_mutually_exclusive_group(required=True)
         source.add_argument("--folder", help="folder of vote lines")
+        source.add_argument("--growing", help="folder of growing files of vote lines that carry their times")
         source.add_argument("--socket", help="host:port of vote lines")
         stream.add_argument("--once", action="store_true", help="handle what is there and stop")
         stream.add_argument("--max-files", type=int, help="files of one micro-batch at most")
@@ -66,10 +68,12 @@ def _stream(spark, args):
     child = stream_session(spark)
     if args.folder:
         votes = text_votes(child, args.folder, args.max_files)
+    elif args.growing:
+        votes = growing_votes(child, args.growing, f"{args.checkpoint.rstrip('/')}-lines")
     else:
         host, port = args.socket.rsplit(":", 1)
         votes = socket_votes(child, host, int(port))
-    every = None if args.once else "1 minute"
+    every = None if args.once and not args.growing else "1 second" if args.once else "1 minute"
     if args.job == "log":
         return jobs.log_votes(votes, args.out, args.checkpoint, args.lot, files_per_lot=args.files_per_lot, every=every)
     titles = roles.titles(tsv.read_titles(child, args.titles))
@@ -108,7 +112,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "write-ratings":
         jobs.write_ratings(spark, args.ratings, args.ledger, args.out, args.codec, args.splits)
     else:
-        finish(_stream(spark, args))
+        query = _stream(spark, args)
+        (drain if args.once and args.growing else finish)(query)
 
 
 if __name__ == "__main__":

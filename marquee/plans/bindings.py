@@ -74,17 +74,17 @@ def new_votes(spark: SparkSession, folder: str) -> DataFrame:
     return roles.votes(open_lines, "l_partkey", "l_quantity", ts=None)
 
 
-def _as_votes(events: DataFrame) -> DataFrame:
+def as_votes(events: DataFrame) -> DataFrame:
     """Events as votes; their times have no zone and are UTC."""
     return roles.votes(events, "user_id", F.round(F.col("value") * 100), utc_instant(F.col("ts")))
 
 
 def event_votes(spark: SparkSession, folder: str) -> DataFrame:
-    return _as_votes(table(spark, folder, "events"))
+    return as_votes(table(spark, folder, "events"))
 
 
 def event_vote_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    return _as_votes(parquet_stream(spark, f"{folder}/events.parquet", _EVENTS, max_files))
+    return as_votes(parquet_stream(spark, f"{folder}/events.parquet", _EVENTS, max_files))
 
 
 def stream_titles(spark: SparkSession, folder: str) -> DataFrame:

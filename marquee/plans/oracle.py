@@ -208,6 +208,17 @@ FROM numbered GROUP BY title_id, run""",
     "period_vote_counts": f"WITH {_PERIODS} SELECT * FROM counts WHERE period_end <= (SELECT up_to FROM finished)",
     "trending_titles": _TRENDING_FINISHED,
     "trending_titles_by_state": _TRENDING_FINISHED,
+    "vote_line_stream": f"WITH {_VOTES} SELECT title_id, rating, date_trunc('millisecond', ts) AS ts FROM votes",
+    "late_votes": """
+WITH votes AS (SELECT user_id AS title_id, ts, event_id % 4 AS batch, date_trunc('day', ts) AS period_start FROM events),
+newest AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch) - INTERVAL 10 MINUTE AS watermark FROM votes GROUP BY batch),
+judged AS (
+  SELECT v.*, period_start + INTERVAL 1 DAY AS period_end, coalesce(period_start + INTERVAL 1 DAY <= n.watermark, false) AS late,
+         period_start + INTERVAL 1 DAY > (SELECT max(watermark) FROM newest) AS open
+  FROM votes v LEFT JOIN newest n ON n.batch = v.batch - 2)
+SELECT period_start, period_end, title_id, count(*) AS n_votes, count_if(NOT late AND NOT open) AS n_reported,
+       count_if(late) AS n_late, count_if(open) AS n_open
+FROM judged GROUP BY ALL""",
     "trending_batch": f"""
 WITH {_PERIODS}
 SELECT rising.*, c_name AS original_title FROM rising JOIN customer ON c_custkey = title_id""",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marquee.functions import millis_time, minute_text, tab_line, utc_time
-from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, running, sliding, trends
+from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, reconcile, running, sliding, trends
 from marquee.plans import bindings as b
 from marquee.plans import jobs
 from marquee.schema import RATINGS, TOP_TITLES
@@ -24,9 +24,10 @@ from marquee.sinks.puts import get_rows, put_rows, read_table
 from marquee.sinks.tables import compact, upsert_table
 from marquee.sinks.tsv import ratings_rows, write_tsv
 from marquee.sources import roles, tables
+from marquee.sources.lines import growing_votes
 from marquee.sources.tsv import read_credits, read_people, read_ratings, read_titles, read_tsv
-from marquee.sources.votes import read_lots
-from marquee.streaming import folding, keyed, runner
+from marquee.sources.votes import parquet_stream, read_lots
+from marquee.streaming import account, folding, keyed, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -324,6 +325,40 @@ def trending_titles_by_state(spark, folder):
     return _ntz(_run(spark, folder, trending), "period_start", "period_end")
 
 
+@_query
+def vote_line_stream(spark, folder):
+    """Votes written as lines with their times, then read as a stream in bounded batches that is stopped and goes on."""
+    written, progress = new_folder(spark, "lines"), new_folder(spark, "progress")
+    votes = b.event_votes(spark, folder)
+    line = tab_line(F.col("title_id"), F.col("rating"), F.unix_millis("ts"))
+    path, checkpoint = new_folder(spark, "line-votes"), new_folder(spark, "checkpoint")
+    child = runner.stream_session(spark)
+    for half in range(2):  # the second start finds the files of the second half
+        votes.where(F.pmod("title_id", F.lit(2)) == half).select(line.alias("value")).write.mode("append").text(written)
+        stream = growing_votes(child, written, progress, 64 << 20)
+        runner.drain(runner.to_files(stream, path, checkpoint, every="100 milliseconds"))
+    read = spark.read.schema(stream.schema).parquet(path)
+    return _ntz(read.select(F.col("title_id").cast("bigint").alias("title_id"), "rating", "ts"), "ts")
+
+
+@_query
+def late_votes(spark, folder):
+    """Votes that come in four batches, each from all times: what of every period was reported, late or open."""
+    source, path = new_folder(spark, "votes"), new_folder(spark, "counts")
+    events = b.table(spark, folder, "events")
+    for part in range(4):  # one file, so one batch, after the other
+        events.where(F.col("event_id") % 4 == part).coalesce(1).write.mode("append").parquet(source)
+    child = runner.stream_session(spark)
+    votes = b.as_votes(parquet_stream(child, source, events.schema, max_files=1)).withWatermark("ts", b.DELAY)
+    counts = trends.period_counts(account.observed(votes), b.PERIOD)
+    query = runner.to_files(counts, path, new_folder(spark, "checkpoint"))
+    runner.finish(query)
+    closed = F.lit(account.last_watermark(query)).cast("timestamp")
+    reported = spark.read.schema(counts.schema).parquet(path)
+    found = reconcile.vote_account(b.event_votes(spark, folder), reported, closed, b.PERIOD)
+    return _ntz(found, "period_start", "period_end")
+
+
 @_query
 def trending_batch(spark, folder):
     counts = trends.period_counts(b.event_votes(spark, folder), b.PERIOD)

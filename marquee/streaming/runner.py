@@ -76,19 +76,15 @@ def lots_to_files(logged: DataFrame, path: str, checkpoint: str, files_per_lot:
     """Write each lot to its own folder, named for its period.
 
     ``files_per_lot`` gathers the rows of a lot into that many files per batch. Rows are spread
-    by chance, equal ones too, so a hot title's votes are in all of them; without it every task
-    writes its own rows and nothing moves.
+    by a hash of all their columns, so a hot title's votes are in all of them and a task that
+    runs again sends every row where it was; without it every task writes its own rows and
+    nothing moves.
     """
     if files_per_lot:
-        spread = F.floor(F.rand(files_per_lot) * files_per_lot)
-        logged = logged.repartition("lot", spread)
+        logged = logged.repartition("lot", F.pmod(F.xxhash64(*logged.columns), F.lit(files_per_lot)))
     return to_files(logged, path, checkpoint, partition_by="lot", fmt=fmt, every=every)
 
 
-#: Rows of a batch that are printed; of more, the folder and their number are.
-SHOWN = 10_000
-
-
 def to_batches(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
                every: str | None = None, show: bool = False, order: list[str] | None = None,
                keeping: list[DataFrame] | None = None) -> StreamingQuery:
@@ -96,8 +92,8 @@ def to_batches(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], p
 
     In append mode a window is finished in one batch, so ranking inside the batch
     sees all of it. A batch that is run again replaces its own folder. Rows are written
-    in ``order``; with ``show`` all of them are printed too. ``keeping`` are tables whose
-    copies on the executors go once the query has ended.
+    in ``order``; with ``show`` their number is printed and all of them, a partition at a time.
+    ``keeping`` are tables whose copies on the executors go once the query has ended.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch)
@@ -105,11 +101,9 @@ def to_batches(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], p
         (rows.orderBy(*order) if order else rows).write.mode("overwrite").parquet(folder)
         if show:
             written = batch.sparkSession.read.schema(rows.schema).parquet(folder)
-            count = written.count()
-            if count <= SHOWN:
-                (written.orderBy(*order) if order else written).show(count, truncate=False)
-            else:
-                print(f"{count} rows in {folder}")
+            print(f"{written.count()} rows in {folder}\n|{'|'.join(written.columns)}|")
+            for row in (written.orderBy(*order) if order else written).toLocalIterator():
+                print(f"|{'|'.join(map(str, row))}|")
 
     query = (
         stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
@@ -129,6 +123,16 @@ def release(query: StreamingQuery) -> None:
         table.unpersist()
 
 
+def drain(query: StreamingQuery) -> None:
+    """Let a query with a trigger handle what is there, batch after batch, then stop it.
+
+    For sources that a run without a trigger would read only up to their first bound.
+    """
+    query.processAllAvailable()
+    query.stop()
+    finish(query)
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for a query that stops by itself and raise what it failed on."""
     query.awaitTermination()
