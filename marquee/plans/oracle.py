@@ -109,6 +109,10 @@ def _hashed(text: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
+_CREDITED = f"""
+SELECT l_partkey AS title_id, l_suppkey AS person_id, p_name AS original_title, CAST(p_size AS DOUBLE) AS rating
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE {_ACTING} AND p_name <> '' AND p_size <> 0"""
 _STORED_PAGES = f"""
 WITH {_BEST}
 SELECT CAST(person_id AS VARCHAR) AS person_id, name, birth, death, total, top1, top2, top3 FROM pages"""
@@ -130,10 +134,8 @@ FROM part""",
 SELECT s_suppkey AS person_id, s_name AS name, s_nationkey AS birth,
        coalesce(CAST(nullif(s_nationkey, 0) AS VARCHAR), '----') AS death
 FROM supplier""",
-    "credited_rated_titles": f"""
-SELECT l_partkey AS title_id, l_suppkey AS person_id, p_name AS original_title, CAST(p_size AS DOUBLE) AS rating
-FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE {_ACTING} AND p_name <> '' AND p_size <> 0""",
+    "credited_rated_titles": _CREDITED,
+    "stored_rated_titles": _CREDITED,
     "person_title_best": f"WITH {_BEST} SELECT * FROM best",
     "person_top3_titles": f"WITH {_BEST} SELECT * FROM ranked WHERE rank <= 3",
     "person_title_total": f"WITH {_BEST} SELECT person_id, total FROM summary",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marquee.functions import millis_time, minute_text, tab_line, utc_time
-from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, reconcile, running, sliding, trends
+from marquee.operators import collaboration, credits, details, intervals, ranking, ratings, reconcile, running, sliding, stored, trends
 from marquee.plans import bindings as b
 from marquee.plans import jobs
 from marquee.schema import RATINGS, TOP_TITLES
@@ -71,6 +71,14 @@ def credited_rated_titles(spark, folder):
         b.part_credits(spark, folder), b.titles(spark, folder), b.part_ratings(spark, folder), b.ACTING)
 
 
+@_query
+def stored_rated_titles(spark, folder):
+    """The same credits from tables that were stored in buckets of titles, joined without a shuffle."""
+    catalog = stored.store_catalog(spark, _fresh_table("catalog"), b.part_credits(spark, folder),
+                                   b.titles(spark, folder).select("title_id", "original_title"), b.part_ratings(spark, folder))
+    return stored.stored_rated_titles(spark, catalog, b.ACTING)
+
+
 def _best(spark, folder):
     return credits.person_title_best(
         b.part_credits(spark, folder), b.titles(spark, folder), b.part_ratings(spark, folder), b.ACTING)

@@ -1,0 +1,63 @@
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.operators import credits, stored
+
+CREDIT = "title_id string, person_id string, category string"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def tables(spark):
+    """A third of the credits belong to one title."""
+    rows = [(f"t{n % 200}", f"p{n % 90}", ("actor", "actress", "director")[n % 3]) for n in range(2_000)]
+    rows += [("hot", f"p{n % 300}", "actor") for n in range(1_000)] + [(None, "p1", "actor"), ("unknown", "p2", "actor")]
+    titles = [(f"t{n}", f"Title {n % 150}" if n % 11 else "") for n in range(190)] + [("hot", "Hot")]
+    ratings = [(f"t{n}", float(n % 10), 5) for n in range(5, 200)] + [("hot", 9.5, 100)]
+    return (spark.createDataFrame(rows, CREDIT), spark.createDataFrame(titles, "title_id string, original_title string"),
+            spark.createDataFrame(ratings, "title_id string, mean double, votes bigint"))
+
+
+@pytest.fixture
+def catalog(spark, tables):
+    catalog = stored.store_catalog(spark, f"catalog_{uuid.uuid4().hex}", *tables, buckets=4)
+    yield catalog
+    stored.drop_catalog(spark, catalog)
+
+
+def test_equal_to_the_join_that_shuffles(spark, tables, catalog, rows):
+    want = credits.credited_rated_titles(*tables)
+    assert rows(stored.stored_rated_titles(spark, catalog)) == rows(want) and want.count() > 1_500
+    assert rows(stored.stored_title_best(spark, catalog)) == rows(credits.person_title_best(*tables))
+
+
+def test_nothing_moves_below_the_grouping(spark, catalog):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange hashpartitioning" not in plan(stored.stored_rated_titles(spark, catalog))
+        joined = stored.stored_rated_titles(spark, catalog)
+        assert plan(stored.stored_title_best(spark, catalog)).count("Exchange hashpartitioning(person_id") == 1
+        assert joined.where("title_id = 'hot'").count() == 1_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_title_lies_beside_the_buckets(spark, tables, catalog):
+    assert [r.title_id for r in stored.hot_titles(tables[0], 4).collect()] == ["hot"]
+    assert spark.table(catalog.hot).count() == 1_000
+    sizes = [r["count"] for r in spark.table(catalog.credits).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+
+
+def test_many_equal_titles_are_none_hot_and_no_rows(spark, tables, rows):
+    even = spark.createDataFrame([(f"t{n}", "p", "actor") for n in range(100)], CREDIT)
+    assert stored.hot_titles(even, 4).count() == 0
+    name = f"empty_{uuid.uuid4().hex}"
+    catalog = stored.store_catalog(spark, name, *(t.where("false") for t in tables), buckets=4)
+    assert rows(stored.stored_rated_titles(spark, catalog)) == []
+    stored.drop_catalog(spark, catalog)
