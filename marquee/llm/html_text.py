@@ -37,13 +37,22 @@ CLOSES = {
     "option": (("option",), ("select",)),
 }
 SCOPES = frozenset("table td th caption button object".split())
+#: Elements whose end tags are heeded from within a scope.
+_PAST_SCOPES = SCOPES | frozenset(("tr", "tbody", "html", "body"))
 
 #: Words in a class or id, between hyphens and the like, that speak for what is not the article. Density has the last word.
 NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation "
     "menu sidebar footer masthead breadcrumb breadcrumbs cookie cookies consent gdpr notice notices notification popup modal "
     "overlay newsletter subscribe subscription signup login share sharing social comment comments commentlist respond disqus "
-    "replies related recommended recommendations pagination pager toolbar widget skip".split())
+    "replies discussion related recommended recommendations pagination pager toolbar widget skip".split())
+#: Words that speak for the article; a name that has one of them besides is not held against it.
+ARTICLE = frozenset("article post entry story content main".split())
+#: A heading over what readers say.
+_COMMENTS = re.compile(
+    r"(?i)\s*(?:\d+\s+(?:comments?|replies|responses)|(?:comments?|replies|responses)\s*\(\d+\)|(?:reader |user )?comments:?|"
+    r"leave a (?:comment|reply))\s*")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 legend summary".split())
 #: First and last words of names that tell a state of the page, such as has-sidebar and comments-open.
 STATE_FIRST = frozenset("has have no not with without show hide".split())
 STATE_LAST = frozenset("open opened closed on off enabled disabled active inactive".split())
@@ -69,60 +78,63 @@ class Node:
 
 
 class _Tree(HTMLParser):
-    """A tree from whatever is there: what is left open is closed by what follows, stray end tags are passed over."""
+    """A tree from whatever is there: what is left open is closed by what follows, stray end tags are passed over.
+
+    The open elements are a path; by name it is known where on the path each is open. So no
+    tag looks further up than to what it closes, and a page takes time in proportion to its
+    tags however deep it is.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("html", None, False)
+        self.root = Node("html", None, False)
+        self.path = [self.root]
+        self.open: dict[str, list[int]] = {}
         self.nodes = [self.root]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ("html", "body") and self._within(tag):
+        if tag == "html" or tag == "body" and self.open.get("body"):
             return
         if tag in BLOCKS:
             self._close(("p",), SCOPES)
         if tag in CLOSES:
             self._close(*CLOSES[tag])
-        node = Node(tag, self.at, tag in DROPPED or bool(attrs) and tag not in _CONTENT and _is_noise(attrs))
+        at = self.path[-1]
+        node = Node(tag, at, tag in DROPPED or bool(attrs) and tag not in _CONTENT and _is_noise(attrs))
         node.suspect = tag == "form" or bool(attrs) and tag not in _CONTENT and _is_suspect(attrs)
-        self.at.children.append(node)
+        at.children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
-            self.at = node
+            self.open.setdefault(tag, []).append(len(self.path))
+            self.path.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag != "html" and self.at.tag == tag and tag in ("svg", "math", "script"):
-            self.at = self.at.parent or self.root
+        if tag in ("svg", "math", "script") and self.path[-1].tag == tag:
+            self._leave(len(self.path) - 1)
 
     def handle_endtag(self, tag: str) -> None:
-        node = self.at
-        while node.parent is not None and node.tag != tag:
-            if node.tag in SCOPES and tag not in ("table", "tr", "tbody", "html", "body", *SCOPES):
-                return
-            node = node.parent
-        if node.parent is not None:
-            self.at = node.parent
+        place = self._nearest((tag,))
+        if place and (tag in _PAST_SCOPES or self._nearest(SCOPES) < place):
+            self._leave(place)
 
     def handle_data(self, data: str) -> None:
-        self.at.children.append(data)
-
-    def _within(self, tag: str) -> bool:
-        node = self.at
-        while node is not None:
-            if node.tag == tag:
-                return True
-            node = node.parent
-        return False
+        self.path[-1].children.append(data)
+
+    def _nearest(self, tags) -> int:
+        """Where on the path the innermost of some elements is, or 0."""
+        return max((places[-1] for t in tags if (places := self.open.get(t))), default=0)
+
+    def _leave(self, place: int) -> None:
+        """Close the element at a place and all that is open in it."""
+        while len(self.path) > place:
+            self.open[self.path.pop().tag].pop()
 
     def _close(self, tags: tuple, scopes) -> None:
         """Close the nearest of the tags, unless one of the scopes stands between."""
-        node = self.at
-        while node.parent is not None and node.tag not in scopes:
-            if node.tag in tags:
-                self.at = node.parent
-                return
-            node = node.parent
+        place = self._nearest(tags)
+        if place and self._nearest(scopes) < place:
+            self._leave(place)
 
 
 def _is_noise(attrs: list) -> bool:
@@ -137,16 +149,18 @@ def _is_noise(attrs: list) -> bool:
 
 
 def _is_suspect(attrs: list) -> bool:
+    names: list[list[str]] = []
     for name, value in attrs:
         if not value:
             continue
         if name == "role" and value.strip().lower() == "form":
             return True
-        for given in value.split() if name in ("class", "id") else ():
-            parts = [p.lower() for p in _PARTS.findall(given)]
-            if not NOISE.isdisjoint(parts) and parts[0] not in STATE_FIRST and parts[-1] not in STATE_LAST:
-                return True
-    return False
+        if name in ("class", "id"):
+            names += [[p.lower() for p in _PARTS.findall(given)] for given in value.split()]
+    if any(len(parts) == 1 and parts[0] in ARTICLE for parts in names):
+        return False
+    return any(not NOISE.isdisjoint(parts) and parts[0] not in STATE_FIRST and parts[-1] not in STATE_LAST
+               for parts in names)
 
 
 def parsed(html: str) -> list[Node]:
@@ -162,8 +176,18 @@ def judge(nodes: list[Node]) -> None:
     """Make noise of suspects, but not of one that holds most of the page's text outside links.
 
     If there is an article or main element with such text elsewhere, what is most of the
-    page, as long comments may be, is noise all the same.
+    page, as long comments may be, is noise all the same. What stands under a heading over
+    comments is such a suspect; where that is the article itself, what follows the heading is.
     """
+    for node in nodes:
+        if node.tag in _HEADINGS and node.parent is not None and _COMMENTS.fullmatch(_own_text(node)):
+            if node.parent.tag in _CONTENT or node.parent.parent is None:
+                after = node.parent.children
+                for beside in after[after.index(node):]:
+                    if isinstance(beside, Node):
+                        beside.suspect = True
+            else:
+                node.parent.suspect = True
     if not any(n.suspect for n in nodes):
         return
     for node in reversed(nodes):
@@ -187,6 +211,12 @@ def judge(nodes: list[Node]) -> None:
             node.noise = True
 
 
+def _own_text(node: Node) -> str:
+    """The text of a heading and of what stands directly in it, as far as a heading over comments is long."""
+    parts = [c if isinstance(c, str) else "".join(x for x in c.children if isinstance(x, str)) for c in node.children[:5]]
+    return "".join(parts)[:80]
+
+
 def densities(nodes: list[Node]) -> None:
     """Fill in each node's counts, density and sum. What is not content counts for nothing."""
     for node in reversed(nodes):

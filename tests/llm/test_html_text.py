@@ -1,5 +1,7 @@
 import html
+import math
 import re
+import time
 
 import pytest
 
@@ -51,6 +53,63 @@ def test_long_comments_beside_an_article_stay_out():
     assert html_text.main_text(page) == PARA
 
 
+def brute_densities(node, ratio):
+    """Every node's density from its own text, tags and links, counted anew for each."""
+    chars = tags = link_chars = link_tags = 0
+    stack = [(c, node.tag == "a") for c in node.children]
+    if node.tag == "a":
+        link_tags = 1
+    while stack:
+        at, linked = stack.pop()
+        if isinstance(at, str):
+            n = len("".join(at.split()))
+            chars, link_chars = chars + n, link_chars + n * linked
+        elif not at.noise:
+            linked = linked or at.tag == "a"
+            tags, link_tags = tags + 1, link_tags + linked
+            stack += [(c, linked) for c in at.children]
+    if ratio is None:
+        return link_chars / chars if chars else 0.0
+    if not chars:
+        return 0.0
+    base = math.log(chars / max(1, chars - link_chars) * max(1, link_chars) + ratio * chars + math.e)
+    inner = chars / max(1, link_chars) * max(1, tags) / max(1, link_tags)
+    return max(0.0, chars / max(1, tags) * math.log(max(inner, 1.0000001)) / math.log(max(base, 1.0000001)))
+
+
+def test_densities_against_counting_each_node_anew(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(12).collect()]
+    for page in [*pages, f"<div>{PARA}<a href=x>link <b>bold</b></a><p>{PARA}</div><p>x"]:
+        nodes = html_text.parsed(page)
+        html_text.densities(nodes)
+        ratio = brute_densities(nodes[0], None)
+        for node in (n for n in nodes if not n.noise):
+            assert abs(node.density - brute_densities(node, ratio)) < 1e-9
+            assert abs(node.total - sum(brute_densities(c, ratio) for c in node.children
+                                        if not isinstance(c, str) and not c.noise)) < 1e-6
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "deep", "</b>" * 100_000 + "deep", "<div>" * 50_000 + "</i>" * 50_000 + "deep",
+    "<p><button>" + "<div>" * 100_000 + "deep", "<ul>" + "<li><ul>" * 50_000 + "deep", "<p>" * 100_000 + "deep",
+    "<table>" + "<tr><td><b>" * 33_000 + "deep", "<a><" * 100_000 + "<b>deep"])
+def test_deep_and_stray_tags_take_time_in_proportion(page):
+    start = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - start < 6  # some 100,000 tags; a walk to the root for each would take minutes
+
+
+def test_a_name_that_speaks_for_the_article_and_comments_without_class_words():
+    page = f"<body><div class='post share-wrapper'><p>{PARA}</p><p>{PARA} 2</p></div><div class=related><p>{PARA} 3</p></div></body>"
+    assert html_text.main_text(page) == f"{PARA}\n\n{PARA} 2"
+    body = f"<h1>Title</h1><p>{PARA}</p><p>{PARA} 2</p><p>{PARA} 3</p>"
+    want = f"Title\n\n{PARA}\n\n{PARA} 2\n\n{PARA} 3"
+    for comments in (f"<section id=discussion><p>{PARA}</p></section>", f"<section><h3>12 comments</h3><p>{PARA}</p></section>",
+                     f"<div><h2>Comments (3)</h2><ul><li>{PARA}</ul></div>", f"<h3>2 Replies</h3><div>{PARA}</div><p>Me too.</p>"):
+        assert html_text.main_text(f"<article>{body}{comments}</article>") == want
+    assert "Comments on style" in html_text.main_text(f"<article>{body}<h2>Comments on style</h2><p>{PARA}</p></article>")
+
+
 def test_blocks_references_and_white_space():
     page = (f"<article><p>A&amp;B &#233;&nbsp;x<br>line  two\n three <b>bold</b>er</p><ul><li>one<li>two</ul>"
             f"<blockquote>quoted</blockquote><table><tr><td>1<td>2</table><p>{PARA}<p>end</article>")
