@@ -109,6 +109,7 @@ def _hashed(text: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
+_COUNTS_FINISHED = f"WITH {_PERIODS} SELECT * FROM counts WHERE period_end <= (SELECT up_to FROM finished)"
 _CREDITED = f"""
 SELECT l_partkey AS title_id, l_suppkey AS person_id, p_name AS original_title, CAST(p_size AS DOUBLE) AS rating
 FROM lineitem JOIN part ON l_partkey = p_partkey
@@ -207,7 +208,8 @@ FROM numbered GROUP BY title_id, run""",
     "top3_window_titles": _TOP3_FINISHED,
     "top3_window_titles_by_parts": _TOP3_FINISHED,
     "top3_window_titles_batch": f"WITH {_TOP3} SELECT * FROM ranked WHERE rank <= 3",
-    "period_vote_counts": f"WITH {_PERIODS} SELECT * FROM counts WHERE period_end <= (SELECT up_to FROM finished)",
+    "period_vote_counts": _COUNTS_FINISHED,
+    "rescaled_vote_counts": _COUNTS_FINISHED,
     "trending_titles": _TRENDING_FINISHED,
     "trending_titles_by_state": _TRENDING_FINISHED,
     "vote_line_stream": f"WITH {_VOTES} SELECT title_id, rating, date_trunc('millisecond', ts) AS ts FROM votes",

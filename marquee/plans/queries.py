@@ -27,7 +27,7 @@ from marquee.sources import roles, tables
 from marquee.sources.lines import growing_votes
 from marquee.sources.tsv import read_credits, read_people, read_ratings, read_titles, read_tsv
 from marquee.sources.votes import parquet_stream, read_lots
-from marquee.streaming import account, folding, keyed, runner
+from marquee.streaming import account, folding, keyed, rescale, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -349,6 +349,29 @@ def vote_line_stream(spark, folder):
     return _ntz(read.select(F.col("title_id").cast("bigint").alias("title_id"), "rating", "ts"), "ts")
 
 
+@_query
+def rescaled_vote_counts(spark, folder):
+    """Votes per period of a stream that is stopped half way and goes on with three times the state partitions."""
+    written = new_folder(spark, "lines")
+    votes = b.event_votes(spark, folder)
+    middle = F.lit("2024-01-15 07:00:00").cast("timestamp")
+    line = tab_line(F.col("title_id"), F.col("rating"), F.unix_millis("ts"))
+    held, place, paths = None, None, []
+    for half, partitions in ((F.col("ts") < middle, 2), (F.col("ts") >= middle, 6)):
+        votes.where(half).select(line.alias("value")).write.mode("append").text(written)
+        child = runner.stream_session(spark)
+        child.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        stream = growing_votes(child, written, new_folder(spark, "progress"), start=place and place.places[0])
+        counts = rescale.period_counts(stream.withWatermark("ts", "40 days" if place is None else b.DELAY), b.PERIOD, held,
+                                       place.closed_until if place else 0)
+        checkpoint, path = new_folder(spark, "checkpoint"), new_folder(spark, "counts")
+        runner.drain(runner.to_files(counts, path, checkpoint, every="100 milliseconds"))
+        held, place = rescale.held_votes(child, checkpoint), rescale.last_batch(spark, checkpoint)
+        paths.append(path)
+    rows = spark.read.schema(counts.schema).parquet(*paths)
+    return _ntz(rows.withColumn("title_id", F.col("title_id").cast("bigint")), "period_start", "period_end")
+
+
 @_query
 def late_votes(spark, folder):
     """Votes that come in four batches, each from all times: what of every period was reported, late or open."""

@@ -39,7 +39,10 @@ class Stretch(InputPartition):
 
 
 class GrowingLines(DataSource):
-    """Options: ``path``, the folder; ``progress``, a folder of the stream's own; ``batchBytes``, ``taskBytes``."""
+    """Options: ``path``, the folder; ``progress``, a folder of the stream's own; ``batchBytes``, ``taskBytes``.
+
+    ``from`` is the place that a new stream starts at, as another one's checkpoint has it.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -66,10 +69,11 @@ class GrowingLinesReader(DataSourceStreamReader):
         self.batch_bytes = int(options.get("batchbytes") or options.get("batchBytes") or BATCH_BYTES)
         self.task_bytes = int(options.get("taskbytes") or options.get("taskBytes") or TASK_BYTES)
         self.uri = options["path"]
+        self.first = json.loads(options.get("from") or "{}")
         self.last: dict[str, int] | None = None
 
     def initialOffset(self) -> dict:
-        return {}
+        return self.first
 
     def latestOffset(self) -> dict:
         if self.last is None:
@@ -153,7 +157,7 @@ class GrowingLinesReader(DataSourceStreamReader):
         listed = self.progress_store.get_file_info(fs.FileSelector(self.progress, allow_not_found=True))
         places = sorted(f.path for f in listed if f.is_file and f.base_name.startswith("place-"))
         if not places:
-            return {}
+            return self.first
         with self.progress_store.open_input_file(places[-1]) as file:
             return json.loads(file.read())
 
@@ -171,18 +175,19 @@ class GrowingLinesReader(DataSourceStreamReader):
 
 
 def growing_votes(spark: SparkSession, folder: str, progress: str, batch_bytes: int = BATCH_BYTES,
-                  task_bytes: int = TASK_BYTES) -> DataFrame:
+                  task_bytes: int = TASK_BYTES, start: str | None = None) -> DataFrame:
     """Votes from growing files, timed by the milliseconds that every line carries.
 
     ``folder`` and ``progress`` are URIs, or absolute paths of a folder that driver and
     executors share; ``progress`` belongs to one stream, like its checkpoint. A line without
     title, rating or time is dropped. Files may grow and new ones may come; what was read must
-    not change.
+    not change. ``start`` is a place to start a new stream at.
     """
     spark.dataSource.register(GrowingLines)
     lines = (
         spark.readStream.format(FORMAT).option("path", folder).option("progress", progress)
-        .option("batchBytes", batch_bytes).option("taskBytes", task_bytes).load()
+        .option("batchBytes", batch_bytes).option("taskBytes", task_bytes)
+        .option("from", start or "{}").load()
     )
     parts = F.split("value", "\t")
     number = [F.expr(f"try_cast(get(split(value, '\t'), {n}) AS BIGINT)") for n in (1, 2)]
