@@ -1,8 +1,8 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Three transducers are composed. The first turns words into classes: insult, threat, target,
-negation, report. The second reads the classes of a clause and holds how far back a negation
-is, whether speech is reported and whether somebody is addressed. The third turns what a
+negation, report. The second reads the classes of a clause and holds how far back a negation,
+a target and a report are, and whether one of these is near what was matched. The third turns what a
 clause ends in into one of a few kinds of matched clause. Clause kinds are what is scored:
 an isolated insult, one at a target, a negated one, a quoted one, and so for threats.
 
@@ -12,7 +12,6 @@ far more often than in others. How much each kind of clause says is learned, too
 
 from __future__ import annotations
 
-import itertools
 import math
 import re
 from collections import Counter
@@ -50,12 +49,15 @@ MIN_ODDS = 3.0
 
 KINDS = ("insult", "insult_at", "insult_negated", "insult_reported", "threat", "threat_at", "threat_negated",
          "threat_reported")
-#: What a text is scored by: log of 1 + clauses of each kind, the strongest word, and matched clauses per hundred words.
+#: Kinds that are meant as they are said.
+PLAIN = frozenset(k for k in KINDS if not k.endswith(("negated", "reported")))
+#: What a text is scored by: log of 1 + clauses of each kind, the weight of the strongest clause that is neither negated nor
+#: reported, and matched clauses per hundred words.
 FEATURES = [*KINDS, "strongest", "density"]
 
 KEPT_WORDS = 600_000
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
-_CLAUSE_END = re.compile(r"[.,;:!?|)\n]['\"]?$")
+_CLAUSE_END = re.compile(r"[.,;:!?|)]['\"]?$")
 
 
 def bare(word: str) -> str:
@@ -98,58 +100,80 @@ class Lexicon(dict):
         return found
 
 
-def _clause_transducer() -> tuple[dict, dict]:
-    """The composed second and third transducers: moves between states, and what a final state says.
+#: Words over which a negation holds, and within which a target or report belongs to an insult or threat.
+NEGATED_OVER = 3
+NEAR = 6
 
-    A state holds the matched class, its reading, the words since a negation, reported speech
-    and target. Each part is a small automaton of its own; the states are their product.
+#: The matched class, its reading, for how many words yet a negation, target and report hold, for how many yet a target
+#: or report belongs to what was matched, and whether one did.
+State = tuple[int, str, int, int, int, int, bool, bool]
+_START: State = (NONE, "", 0, 0, 0, 0, False, False)
+
+
+class _Moves(dict):
+    """The composed second and third transducers: from state and class to state, made when first asked for.
+
+    Each part of a state is a small automaton of its own; there are as many states as their
+    parts have together, and few of them are ever seen.
     """
-    reach = 3  # words over which a negation holds
-    readings = ("", "negated")
-    states = itertools.product((NONE, INSULT, THREAT), readings, range(reach + 1), (False, True), (False, True))
-    moves, ends = {}, {}
-    for state in states:
-        matched, reading, since, reported, addressed = state
-        for symbol in range(6):
-            now, how = matched, reading
-            if symbol in (INSULT, THREAT):
-                # A threat outweighs an insult, a plain reading a negated one.
-                new = "negated" if since else ""
-                how = new if now != symbol and now != THREAT else (how and new)
-                now = max(now, symbol)
-            moves[state, symbol] = (now, how, reach if symbol == NEGATION else max(0, since - 1),
-                                    reported or symbol == REPORT, addressed or symbol == TARGET)
-        if matched:
-            name = "insult" if matched == INSULT else "threat"
-            ends[state] = KINDS.index(
-                f"{name}_negated" if reading else f"{name}_reported" if reported else
-                f"{name}_at" if addressed else name)
-    return moves, ends
-
-
-_MOVES, _ENDS = _clause_transducer()
-_START = (NONE, "", 0, False, False)
+
+    def __missing__(self, move: tuple[State, int]) -> State:
+        (matched, reading, negation, target, report, hit, reported, addressed), symbol = move
+        if symbol in (INSULT, THREAT):
+            if symbol >= matched:  # a threat outweighs an insult, a plain reading a negated one
+                own = "negated" if negation else ""
+                reading = own if symbol > matched else reading and own
+            matched = max(matched, symbol)
+            reported, addressed = reported or report > 0, addressed or target > 0
+        else:
+            reported = reported or symbol == REPORT and hit > 0
+            addressed = addressed or symbol == TARGET and hit > 0
+        state = (matched, reading, _left(negation, NEGATED_OVER, symbol == NEGATION), _left(target, NEAR, symbol == TARGET),
+                 _left(report, NEAR, symbol == REPORT), _left(hit, NEAR, symbol in (INSULT, THREAT)), reported, addressed)
+        self[move] = state
+        return state
+
+
+def _left(words: int, whole: int, anew: bool) -> int:
+    return whole if anew else max(0, words - 1)
+
+
+def clause_kind(state: State) -> int | None:
+    """What a clause that ends in a state says: a place in ``KINDS``, or None where nothing was matched."""
+    matched, reading, *_, reported, addressed = state
+    if not matched:
+        return None
+    name = "insult" if matched == INSULT else "threat"
+    return KINDS.index(f"{name}_negated" if reading else f"{name}_reported" if reported else
+                       f"{name}_at" if addressed else name)
+
+
+_MOVES = _Moves()
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
-    """The numbers of ``FEATURES`` for one text."""
-    words = text.split()
-    found = [lexicon[w] for w in words]
+    """The numbers of ``FEATURES`` for one text. A line break ends a clause, as a mark at a word's end does."""
     counts = [0] * len(KINDS)
-    strongest = 0.0
-    if any(f is not None and f[0] <= THREAT for f in found):
-        state = _START
-        for word, one in zip(words, found):
+    strongest, n_words = 0.0, 0
+    for line in text.splitlines():
+        words = line.split()
+        n_words += len(words)
+        found = [lexicon[w] for w in words]
+        if not any(f is not None and f[0] <= THREAT for f in found):
+            continue
+        state, weight, last = _START, 0.0, len(words) - 1
+        for at, (word, one) in enumerate(zip(words, found)):
             state = _MOVES[state, one[0] if one else NONE]
-            if one and one[1] > strongest:
-                strongest = one[1]
-            if _CLAUSE_END.search(word):
-                if state in _ENDS:
-                    counts[_ENDS[state]] += 1
-                state = _START
-        if state in _ENDS:
-            counts[_ENDS[state]] += 1
-    density = 100 * sum(counts) / len(words) if words else 0.0
+            if one and one[1] > weight:
+                weight = one[1]
+            if at == last or _CLAUSE_END.search(word):
+                kind = clause_kind(state)
+                if kind is not None:
+                    counts[kind] += 1
+                    if KINDS[kind] in PLAIN and weight > strongest:
+                        strongest = weight
+                state, weight = _START, 0.0
+    density = 100 * sum(counts) / n_words if n_words else 0.0
     return [*(math.log1p(c) for c in counts), strongest, math.log1p(density)]
 
 
@@ -177,7 +201,10 @@ def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     shared_dir(df.sparkSession)
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(
         "id IS NOT NULL AND label IS NOT NULL").where(~held_out(F.col("id")))
-    taken = usable.orderBy(F.xxhash64("id"), "id", "label").limit(TRAIN_ROWS)
+    # Only labels whose hash is below one that a few more than wanted lie under are put in order.
+    share = min(1.0, 1.25 * TRAIN_ROWS / max(1, usable.count()))
+    low = usable.where(F.xxhash64("id") <= min((1 << 63) - 1, int(share * 2.0 ** 64) - (1 << 63)))
+    taken = low.orderBy(F.xxhash64("id"), "id", "label").limit(TRAIN_ROWS)
     texts = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.join(F.broadcast(taken), "id").select("id", "text", "label").checkpoint()
 

@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +23,53 @@ def test_clauses(text, found):
     assert kinds(text) == found
 
 
+def plain_reading(text, lexicon):
+    """The kinds of all clauses, by looking at every word pair of a clause."""
+    out = []
+    for line in text.split("\n"):
+        clause = []
+        for word in [*line.split(), None]:
+            if word is not None:
+                clause.append(lexicon[word][0] if lexicon[word] else toxicity.NONE)
+            if word is None or word[-1] in ".,;:!?|)":
+                at = {kind: [n for n, c in enumerate(clause) if c == kind] for kind in range(6)}
+                hits = at[toxicity.THREAT] or at[toxicity.INSULT]
+                every = at[toxicity.THREAT] + at[toxicity.INSULT]
+                near = lambda kind: any(abs(h - n) <= 6 for h in every for n in at[kind])
+                if hits:
+                    name = "threat" if at[toxicity.THREAT] else "insult"
+                    negated = all(any(0 < h - n <= 3 for n in at[toxicity.NEGATION]) for h in hits)
+                    out.append(f"{name}_negated" if negated else f"{name}_reported" if near(toxicity.REPORT) else
+                               f"{name}_at" if near(toxicity.TARGET) else name)
+                clause = []
+    return out
+
+
+def test_the_composed_automaton_against_a_plain_reading():
+    chance = random.Random(4)
+    words = ["zorgling", "blurfing", "kill", "you", "they", "not", "never", "said", "told", *["walk", "house", "tree"] * 4]
+    lexicon = toxicity.Lexicon(LEARNED)
+    seen = set()
+    for _ in range(3_000):
+        text = "".join(chance.choice(words) + chance.choice([" ", " ", " ", " ", ", ", ". ", "\n"]) for _ in range(25))
+        kinds = plain_reading(text, lexicon)
+        want = [math.log1p(kinds.count(k)) for k in toxicity.KINDS]
+        assert toxicity.features(text, lexicon)[: len(toxicity.KINDS)] == want
+        seen.update(kinds)
+    assert seen == set(toxicity.KINDS)
+
+
+def test_line_breaks_end_clauses_and_far_words_do_not_count():
+    assert kinds("Zorgling\nThe weather was said to be fine\nThank you") == {"insult"}
+    assert kinds("you are\nzorgling said him\nnot\nfine") == {"insult_reported"}
+    far = " ".join(["tree"] * 7)
+    assert kinds(f"you {far} zorgling") == kinds(f"zorgling {far} said") == {"insult"}
+    at = toxicity.FEATURES.index("strongest")
+    lexicon = toxicity.Lexicon(LEARNED)
+    assert toxicity.features("not a zorgling. the blurfen", lexicon)[at] == 4.0
+    assert toxicity.features("he said zorgling", lexicon)[at] == 0.0
+
+
 def test_a_stem_that_one_word_accounts_for_is_not_learned():
     kept = toxicity._telling({"worthless": 50, "wort*": 52, "worthle*": 50, "lowe*": 90, "loweia": 30, "lowein": 30})
     assert set(kept) == {"worthless", "lowe*", "loweia", "lowein"}
