@@ -298,7 +298,7 @@ def top3_window_titles_by_parts(spark, folder):
     path = new_folder(spark, "top3")
     child = runner.stream_session(spark)
     query = jobs.top3_by_parts(b.event_vote_stream(child, folder), b.stream_titles(child, folder), path,
-                               new_folder(spark, "checkpoint"), b.DELAY, b.MEAN_WINDOW, b.MEAN_SLIDE, every=None)
+                               new_folder(spark, "checkpoint"), b.DELAY, b.MEAN_WINDOW, b.MEAN_SLIDE, every=None, parts=4)
     runner.finish(query)
     rows = spark.read.schema(TOP_TITLES).parquet(path).select(*TOP_TITLES.names)
     return _ntz(rows.withColumn("title_id", F.col("title_id").cast("bigint")), "window_start", "window_end")

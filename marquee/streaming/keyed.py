@@ -72,7 +72,11 @@ def rising_titles(votes: DataFrame, period: str = TREND_PERIOD) -> DataFrame:
 
 
 class BestOfPart(StatefulProcessor):
-    """Holds the k best titles of one part of a window and hands them over once the window is closed."""
+    """Holds the k best titles of one part of a window and hands them over once the window is closed.
+
+    Means that come when their window is closed, as from a grouping that gives finished
+    windows, are handed over at once and never stored.
+    """
 
     def __init__(self, k: int, columns: str):
         self.k = k
@@ -86,15 +90,23 @@ class BestOfPart(StatefulProcessor):
         held = list(self.best.get()) if self.best.exists() else []
         came = ((r.mean_vote, r.title_id, r.original_title) for r in rows)
         # A heap of k rows, however many come.
-        self.best.put([tuple(r) for r in heapq.nsmallest(self.k, chain(held, came), key=lambda r: (-r[0], r[1]))])
-        self.handle.registerTimer(1000 * key[0])
-        return iter(())
+        best = [tuple(r) for r in heapq.nsmallest(self.k, chain(held, came), key=lambda r: (-r[0], r[1]))]
+        if timerValues.getCurrentWatermarkInMs() < 1000 * key[0]:
+            self.best.put(best)
+            self.handle.registerTimer(1000 * key[0])
+            return
+        if held:
+            self.best.clear()
+            self.handle.deleteTimer(1000 * key[0])
+        yield from self._rows(key, best)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         best = list(self.best.get())
         self.best.clear()
-        for mean, title, name in best:
-            yield Row(end=key[0], mean_vote=mean, title_id=title, original_title=name)
+        yield from self._rows(key, best)
+
+    def _rows(self, key: Any, best: list) -> Iterator[Row]:
+        return (Row(end=key[0], mean_vote=mean, title_id=title, original_title=name) for mean, title, name in best)
 
 
 def best_of_parts(means: DataFrame, titles: DataFrame, k: int = 3, parts: int = 16) -> DataFrame:

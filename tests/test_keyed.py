@@ -142,3 +142,49 @@ def test_trending_job_by_state(spark, source, tmp_path, rows):
     found = spark.read.parquet(str(tmp_path / "o"))
     want = trends.named_titles(trends.rising_titles(source.table()).where(F.col("period_end") <= at(599)), titles)
     assert rows(found, *want.columns) == rows(want) and want.count() > 3
+
+
+class Values:
+    """State and timers of one key, as a processor sees them."""
+
+    def __init__(self, watermark=0):
+        self.rows, self.timers, self.watermark = [], set(), watermark
+
+    def getListState(self, name, columns):
+        return self
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows = rows
+
+    def clear(self):
+        self.rows = []
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_a_part_holds_k_rows_until_its_window_is_closed():
+    from pyspark.sql import Row
+
+    part, state = keyed.BestOfPart(2, ""), Values()
+    part.init(state)
+    row = lambda n, mean: Row(mean_vote=mean, title_id=n, original_title=f"T{n}")
+    for some in ([row(n, float(n % 5)) for n in range(20)], [row(99, 4.0), row(1, 9.0)]):
+        assert list(part.handleInputRows((60, 0), iter(some), state)) == []
+        assert len(state.rows) == 2 and state.timers == {60_000}
+    assert [r.title_id for r in part.handleExpiredTimer((60, 0), state, None)] == [1, 4] and not state.rows
+    state.watermark = 60_000
+    assert [r.title_id for r in part.handleInputRows((60, 0), iter([row(5, 1.0), row(3, 2.0), row(2, 0.0)]), state)] == [3, 5]
+    assert not state.rows
