@@ -33,6 +33,9 @@ SEED = 42
 WORDS = 4
 RADIUS = 4
 
+#: Bytes of text that are hashed at a time. A byte may take some 200 bytes of memory, where words have one letter.
+SLICE = 1 << 20
+
 #: Points in a bucket above which it is dealt out by the second masks. It changes the plan, not the links.
 LARGE_BUCKET = 1_000
 
@@ -93,7 +96,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = [shingle_hashes(t.encode("utf-8", "surrogatepass").lower().split(), words) for t in texts]
         return [majority_bits(found).view(np.int64).tolist()]
 
-    return map_texts(df, id_col, text_col, each, {"fingerprint": pa.int64()})
+    return map_texts(df, id_col, text_col, each, {"fingerprint": pa.int64()}, slice_chars=SLICE)
 
 
 def links(points: DataFrame, radius: int = RADIUS, large: int = LARGE_BUCKET) -> DataFrame:
