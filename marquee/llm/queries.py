@@ -88,7 +88,7 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"), *byte_ranks())
-    number = {kind: F.size(F.filter("kinds", lambda k, n=n: k == n)).cast("bigint")
+    number = {kind: F.size(F.filter("kinds", lambda k: k == n)).cast("bigint")
               for n, kind in enumerate(secrets.KINDS)}
     base = secrets.label("kinds", "starts", "ends", (0, 1, 2))
     return found.select(
