@@ -110,9 +110,20 @@ def rising_titles_by_lag(counts: DataFrame) -> DataFrame:
 
 def named_titles(rows: DataFrame, titles: DataFrame) -> DataFrame:
     """Add title names; rows of titles that are not in the catalog are dropped."""
+    if rows.isStreaming:
+        rows = from_state(rows)
     return rows.join(titles.select("title_id", "original_title"), "title_id")
 
 
+def from_state(rows: DataFrame) -> DataFrame:
+    """Rows that a stream's state hands over, for a join in which neither side goes through the driver.
+
+    Their number is guessed from what came in the batch. The batch that closes windows brings
+    no votes, so the guess is nothing at all, and all that is closed would be broadcast.
+    """
+    return rows.hint("merge")
+
+
 def seconds(period: str) -> int:
     count, unit = period.split()
     return int(count) * _SECONDS[unit.removesuffix("s")]

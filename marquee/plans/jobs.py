@@ -155,7 +155,7 @@ def top3(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, delay:
     titles = runner.kept(titles, "title_id")
 
     def report(batch: DataFrame) -> DataFrame:
-        return _typed(trends.top_window_titles(batch, titles), TOP_TITLES)
+        return _typed(trends.top_window_titles(trends.from_state(batch), titles), TOP_TITLES)
 
     return runner.to_batches(means, report, out, checkpoint, every, show, ["window_end", "rank"], [titles])
 
@@ -189,7 +189,7 @@ def trending(votes: DataFrame, titles: DataFrame, out: str, checkpoint: str, del
     titles = runner.kept(titles, "title_id")
 
     def report(batch: DataFrame) -> DataFrame:
-        return _typed(trends.named_titles(batch, titles), TRENDING_TITLES)
+        return _typed(trends.named_titles(trends.from_state(batch), titles), TRENDING_TITLES)
 
     return runner.to_batches(rising, report, out, checkpoint, every, show, ["period_end", "original_title", "title_id"],
                              [titles])

@@ -133,6 +133,33 @@ def test_top3_by_parts_writes_the_same_report(spark, source, tmp_path, rows):
     assert found[0] == found[1] and found[0]
 
 
+@pytest.mark.parametrize("job", [jobs.top3, jobs.trending])
+def test_what_state_hands_over_is_never_broadcast(spark, source, tmp_path, monkeypatch, job):
+    source.add(many("up", 0, 2) + many("same", 0, 3), [("end", 1, at(200))])
+    child = runner.stream_session(spark)
+    stream = parquet_stream(child, str(tmp_path / "votes"), spark.createDataFrame([], VOTE).schema, max_files=1)
+    names = child.createDataFrame([(t, t.upper()) for t in ("up", "same")], "title_id string, original_title string")
+    plans = []
+
+    def planned(stream, transform, *args):
+        def kept(batch):
+            found = transform(batch)
+            plans.append(str(found._jdf.queryExecution().executedPlan()))
+            return found
+
+        plans.append(lambda q: str(q._jsq.streamingQuery().lastExecution().executedPlan()))
+        return to_batches(stream, kept, *args)
+
+    to_batches = runner.to_batches
+    monkeypatch.setattr(runner, "to_batches", planned)
+    out = str(tmp_path / "out")
+    query = job(stream, names, out, out + "-c", every=None)
+    runner.finish(query)
+    found = [p(query) if callable(p) else p for p in plans]
+    assert any("SortMergeJoin" in p for p in found) and not any("BroadcastHashJoin" in p for p in found)
+    assert spark.read.parquet(out).count() > 0
+
+
 def test_trending_job_by_state(spark, source, tmp_path, rows):
     source.add(*BATCHES)
     child = runner.stream_session(spark)
