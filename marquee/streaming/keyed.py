@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from marquee.operators.trends import TREND_PERIOD, seconds
+from marquee.operators.trends import TREND_PERIOD, from_state, seconds
 
 
 class LastPeriod(StatefulProcessor):
@@ -119,7 +119,7 @@ def best_of_parts(means: DataFrame, titles: DataFrame, k: int = 3, parts: int =
     """
     kind = means.schema["title_id"].dataType.simpleString()
     columns = f"mean_vote double, title_id {kind}, original_title string"
-    named = means.where("mean_vote IS NOT NULL").join(titles.select("title_id", "original_title"), "title_id").select(
+    named = from_state(means.where("mean_vote IS NOT NULL")).join(titles.select("title_id", "original_title"), "title_id").select(
         F.unix_seconds("window_end").alias("end"), F.pmod(F.xxhash64("title_id"), F.lit(parts)).cast("int").alias("part"),
         "title_id", "original_title", "mean_vote")
     best = named.groupBy("end", "part").transformWithState(

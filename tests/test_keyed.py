@@ -133,7 +133,7 @@ def test_top3_by_parts_writes_the_same_report(spark, source, tmp_path, rows):
     assert found[0] == found[1] and found[0]
 
 
-@pytest.mark.parametrize("job", [jobs.top3, jobs.trending])
+@pytest.mark.parametrize("job", [jobs.top3, jobs.top3_by_parts, jobs.trending])
 def test_what_state_hands_over_is_never_broadcast(spark, source, tmp_path, monkeypatch, job):
     source.add(many("up", 0, 2) + many("same", 0, 3), [("end", 1, at(200))])
     child = runner.stream_session(spark)
