@@ -2,83 +2,46 @@
 
 The number is fixed when a stream first starts. To change it, the stream is stopped, and a new
 one starts from what the old one's checkpoint says: the state of every key, the place in its
-source, and up to when its periods are closed. Votes are counted in state that can be
-handed over; the old checkpoint is only read.
+source, and up to when its periods are closed. Votes are counted by the engine; the counts
+that were held are added up with the new votes. The old checkpoint is only read.
 """
 
 from __future__ import annotations
 
 import json
-from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
-from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from marquee.operators.trends import TREND_PERIOD, seconds
+from marquee.session import new_folder
+from marquee.sources.once import rows_once
 from marquee.sources.tables import files
 
-STATE = "open_periods"
-
-
-class PeriodVotes(StatefulProcessor):
-    """Holds the number of votes of each open period of a title, and hands it over when the period is closed.
-
-    A vote of a period that is closed by now, or was when the stream was handed over, is late
-    and dropped.
-    """
-
-    def __init__(self, period: int, closed_until: int):
-        self.period = period
-        self.closed_until = closed_until
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getMapState(STATE, "start bigint", "n_votes bigint")
-
-    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
-        self._add(initialState.start, initialState.n_votes)
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        closed = max(timerValues.getCurrentWatermarkInMs(), self.closed_until)
-        for start, n in Counter(r.start for r in rows).items():
-            if 1000 * (start + self.period) > closed:
-                self._add(start, n)
-        return iter(())
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        start = expiredTimerInfo.getExpiryTimeInMs() // 1000 - self.period
-        n_votes, = self.open.getValue((start,))
-        self.open.removeKey((start,))
-        yield Row(title_id=key[0], start=start, n_votes=n_votes)
-
-    def _add(self, start: int, n: int) -> None:
-        before = self.open.getValue((start,))[0] if self.open.containsKey((start,)) else 0
-        self.open.updateValue((start,), (before + n,))
-        self.handle.registerTimer(1000 * (start + self.period))
-
 
 def period_counts(votes: DataFrame, period: str = TREND_PERIOD, held: DataFrame | None = None,
                   closed_until: int = 0) -> DataFrame:
     """Number of votes per title in each period, as ``trends.period_counts`` gives it, from state that can be handed over.
 
     ``votes`` is a stream with a watermark on ``ts``. ``held`` (``held_votes``) and
-    ``closed_until`` (milliseconds, ``last_batch``) are what an earlier stream left. The number
+    ``closed_until`` (milliseconds, ``last_batch``) are what an earlier stream left; the held
+    counts come in with the first batch, and not again when this stream is started anew. The number
     of state partitions is the session's number of shuffle partitions at the first start.
     """
-    kind = votes.schema["title_id"].dataType.simpleString()
-    length = seconds(period)
-    at = F.unix_seconds("ts")
-    started = votes.select("title_id", "ts", (at - F.pmod(at, F.lit(length))).alias("start"))
-    counts = started.groupBy("title_id").transformWithState(
-        PeriodVotes(length, closed_until), f"title_id {kind}, start bigint, n_votes bigint", "Append", "EventTime",
-        None if held is None else held.groupBy("title_id"))
-    start = F.timestamp_seconds("start")
-    return counts.select(start.alias("period_start"), F.timestamp_seconds(F.col("start") + length).alias("period_end"),
-                         "title_id", "n_votes")
+    at, length = F.unix_seconds("ts"), seconds(period)
+    # A vote of a period that was closed when the stream was handed over is late.
+    still_open = 1000 * (at - F.pmod(at, F.lit(length)) + length) > closed_until
+    counted = votes.where(still_open).select("title_id", "ts", F.lit(1).cast("bigint").alias("n_votes"))
+    if held is not None:
+        folder = new_folder(votes.sparkSession, "held")
+        held.write.parquet(folder)
+        left = rows_once(votes.sparkSession, folder, held.schema)
+        counted = counted.union(left.select("title_id", F.timestamp_seconds("start").alias("ts"), "n_votes"))
+    return (
+        counted.groupBy(F.window("ts", period).alias("period"), "title_id").agg(F.sum("n_votes").alias("n_votes"))
+        .select(F.col("period.start").alias("period_start"), F.col("period.end").alias("period_end"), "title_id", "n_votes")
+    )
 
 
 @dataclass(frozen=True)
@@ -110,8 +73,5 @@ def held_votes(spark: SparkSession, checkpoint: str) -> DataFrame:
 
     Read as a table from the state of its last batch, partition by partition.
     """
-    state = (
-        spark.read.format("statestore").option("stateVarName", STATE).option("batchId", last_batch(spark, checkpoint).number)
-        .load(checkpoint)
-    )
-    return state.select("key.title_id", "user_map_key.start", "user_map_value.n_votes")
+    state = spark.read.format("statestore").option("batchId", last_batch(spark, checkpoint).number).load(checkpoint)
+    return state.select("key.title_id", F.unix_seconds("key.window.start").alias("start"), F.col("value.sum").alias("n_votes"))

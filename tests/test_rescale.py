@@ -87,3 +87,15 @@ def test_counts_equal_those_of_the_engine(spark, stream):
     want = trends.period_counts(votes, "10 minutes").where("title_id <> 'end'").collect()
     assert stream.found("one") == sorted(
         (r.title_id, int((r.period_start.replace(tzinfo=timezone.utc) - START).total_seconds() / 60), r.n_votes) for r in want)
+
+
+def test_held_counts_come_in_once_and_are_counted_by_the_engine(spark, stream, tmp_path):
+    stream.add("1.txt", *FIRST)
+    stream.run("old", 2)
+    stream.run("new", 3, after="old")
+    stream.add("1.txt", *SECOND)
+    stream.run("new", 3, after="old")  # goes on from its own checkpoint
+    assert ("d", 20, 1) in stream.found("old", "new") and ("c", 10, 2) in stream.found("old", "new")
+    votes = lines.growing_votes(runner.stream_session(spark), str(tmp_path / "votes"), str(tmp_path / "progress-plan"))
+    plan = rescale.period_counts(votes.withWatermark("ts", "1 minute"), "10 minutes")._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan
