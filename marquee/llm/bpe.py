@@ -27,8 +27,8 @@ from marquee.llm.text import id_and_text, in_batches, slices, spark_type
 END = "</w>"
 
 #: Entries that a worker keeps of words it has encoded and of token pairs it has tried.
-KEPT_WORDS = 300_000
-KEPT_PAIRS = 300_000
+KEPT_WORDS = 100_000
+KEPT_PAIRS = 100_000
 KEPT_LENGTH = 48
 
 

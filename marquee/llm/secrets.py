@@ -170,7 +170,7 @@ def mask_secrets(df: DataFrame, path: str, pattern: str, text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = encoding(path, pattern)
         for batch in batches:
-            for part in slices(batch, 4 << 20):
+            for part in slices(batch, 1 << 20):
                 at = part.schema.get_field_index("text")
                 texts = [t and masked(t, ranks, mask) for t in part.column(at).to_pylist()]
                 yield part.set_column(at, "text", pa.array(texts, pa.string()))

@@ -34,7 +34,7 @@ WORDS = 4
 RADIUS = 4
 
 #: Bytes of text that are hashed at a time. A byte may take some 200 bytes of memory, where words have one letter.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 #: Points in a bucket above which it is dealt out by the second masks. It changes the plan, not the links.
 LARGE_BUCKET = 1_000
