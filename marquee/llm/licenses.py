@@ -2,7 +2,9 @@
 
 A paragraph's words and word pairs go into a sparse logistic regression over licence
 families and one class of everything else. The threshold from which a family is believed is
-set on held-out paragraphs of other text, so that hardly any of those passes. A believed
+set on held-out paragraphs of other text, so that hardly any of those passes. Both are
+worked out from all other paragraphs of the corpus: those with the same terms are one row
+that counts as many times. A believed
 paragraph is then held against the family's templates, and is confirmed if enough of its
 word triples stand there.
 
@@ -69,12 +71,13 @@ TEMPLATES = {
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = "unknown"
 
-#: Paragraphs of the corpus that stand for everything else: one in so many by a hash, and this many at most. It bounds
-#: what is fitted; every paragraph is classified.
-OTHER_SHARE = 16
-OTHER_ROWS = 20_000
-#: Tasks that share them while the classifier is fitted.
-OTHER_PARTS = 8
+#: What all other paragraphs weigh together in the fit, at most, so that the templates' rows, each of weight 1, still
+#: count beside a large corpus. It is the same part for every paragraph; none is left out.
+OTHER_WEIGHT = 15_000.0
+#: One paragraph in so many is held out of the fit and sets the threshold.
+HELD_OUT = 4
+#: Steps of probability in which held-out paragraphs are counted.
+STEPS = 10_000
 #: Share of held-out other paragraphs that may pass the threshold.
 FALSE_ALARMS = 0.001
 #: Share of a paragraph's word triples that must stand in a template of its family.
@@ -175,8 +178,11 @@ class Model:
 
     def scored(self, rows: DataFrame) -> DataFrame:
         """``rows``, which have ``words``, with ``family`` and ``probability`` of the likeliest family."""
-        counted = self.vocabulary.transform(rows.withColumn("terms", terms(F.col("words"))))
-        scored = self.regression.transform(counted)
+        return self.scored_terms(rows.withColumn("terms", terms(F.col("words")))).drop("terms")
+
+    def scored_terms(self, rows: DataFrame) -> DataFrame:
+        """``scored`` for rows that have their ``terms``."""
+        scored = self.regression.transform(self.vocabulary.transform(rows))
         made = scored.select(*rows.columns, once(vector_to_array("probability"), "chances"))
         named = F.array(*[F.struct(F.col("chances")[n].alias("probability"), F.lit(c).alias("family"))
                           for n, c in enumerate(self.classes) if c != UNKNOWN])
@@ -185,50 +191,72 @@ class Model:
             *rows.columns, F.col("best.family").alias("family"), F.col("best.probability").alias("probability"))
 
 
-def _sample(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``order`` and ``paragraph`` of the ``OTHER_ROWS`` other paragraphs with the smallest hashes, or all if fewer.
+def known_terms(found: Column, vocabulary: list[str]) -> Column:
+    """Those of ``terms`` that are in a list, each once and in order; other ones are not put together."""
+    pairs = [t for t in vocabulary if " " in t]
+    first, second = ({t.split(" ")[n] for t in pairs} for n in (0, 1))
+    listed = F.filter(found, lambda w: w.isin(*{w for t in vocabulary for w in t.split(" ")}))
+    joined = F.zip_with(F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0))), F.slice(found, 2, F.size(found)),
+                        lambda a, b: F.when(a.isin(*first) & b.isin(*second), F.concat(a, F.lit(" "), b)))
+    double = F.when(F.size(listed) > 1, F.filter(joined, lambda t: t.isin(*pairs))).otherwise(
+        F.array().cast("array<string>"))
+    single = F.filter(listed, lambda w: w.isin(*[t for t in vocabulary if " " not in t]))
+    return F.array_sort(F.array_distinct(F.concat(single, double)))
+
+
+def _others(df: DataFrame, id_col: str, text_col: str, vocabulary: list[str]) -> DataFrame:
+    """All other paragraphs by their ``terms``: ``held``, whether they are held out, and ``n``, how many have those."""
+    return (
+        paragraphs(df, id_col, text_col).where(~F.col("paragraph").rlike(_TELLING))
+        .select((F.xxhash64("id", "place") % HELD_OUT == 0).alias("held"), once(words(F.col("paragraph")), "words"))
+        .where(F.size("words") > 0).groupBy("held", known_terms(F.col("words"), vocabulary).alias("terms"))
+        .agg(F.count("*").alias("n"))
+    )
+
 
-    They are counted first; then only those below a hash that a few more than wanted lie
-    under are looked at, and what meets in one task are their hashes.
+def quiet_from(scored: DataFrame) -> float:
+    """The probability that at most ``FALSE_ALARMS`` of all held-out paragraphs reach, 0.5 at least.
+
+    They are counted by steps of probability, so what comes to the driver is a number for a step.
     """
-    order = F.xxhash64("id", "place")
-    others = (
-        paragraphs(df.where(F.xxhash64(F.col(id_col), F.lit(1)) % OTHER_SHARE == 0), id_col, text_col)
-        .where(~F.col("paragraph").rlike(_TELLING)).select(order.alias("order"), "paragraph")
-    )
-    share = min(1.0, 1.25 * OTHER_ROWS / max(1, others.count()))
-    below = others.where(F.col("order") <= min((1 << 63) - 1, int(share * 2.0 ** 64) - (1 << 63))).dropDuplicates(
-        ["order"]).checkpoint()
-    last, = below.select("order").orderBy("order").limit(OTHER_ROWS).agg(F.max("order")).first()
-    return below.where(F.col("order") <= F.lit(last))
+    step = F.floor(F.col("probability") * STEPS).alias("step")
+    total, = scored.agg(F.sum("n")).first()
+    left = FALSE_ALARMS * (total or 0)
+    for r in sorted(scored.where(F.col("probability") >= 0.5).groupBy(step).agg(F.sum("n").alias("n")).collect(),
+                    reverse=True):
+        left -= r["n"]
+        if left < 0:
+            return min(1.0, (r["step"] + 1) / STEPS)
+    return 0.5
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit the classifier on the templates and on a bounded sample of the corpus's other paragraphs.
+    """Fit the classifier on the templates and on all of the corpus's other paragraphs.
 
-    The empty text always stands for everything else, so a corpus without other paragraphs,
-    or without any, gives a classifier too.
+    A paragraph counts by the templates' terms in it, and those with the same ones are a
+    single row with their number as weight. The empty text always stands for everything
+    else, so a corpus without other paragraphs, or without any, gives a classifier too.
     """
     spark = df.sparkSession
     shared_dir(spark)
-    others = _sample(df, id_col, text_col).repartition(OTHER_PARTS, "order").select(
-        "order", words(F.col("paragraph")).alias("words")).where(F.size("words") > 0).checkpoint()
-    held = F.col("order") % 4 == 0
     classes = (*FAMILIES, UNKNOWN)
     number = F.element_at(F.create_map(*[F.lit(x) for n, c in enumerate(classes) for x in (c, float(n))]), F.col("family"))
-    known = template_rows(spark).union(spark.range(1).select(F.lit(UNKNOWN), F.array().cast("array<string>")))
-    rows = known.union(others.where(~held).select(F.lit(UNKNOWN).alias("family"), "words"))
-    rows = rows.select(number.alias("label"), "words", terms(F.col("words")).alias("terms")).checkpoint()
+    known = template_rows(spark).select(number.alias("label"), terms(F.col("words")).alias("terms")).union(
+        spark.range(1).select(F.lit(float(len(FAMILIES))), F.array().cast("array<string>"))).withColumn(
+            "weight", F.lit(1.0)).checkpoint()
     vocabulary = CountVectorizer(inputCol="terms", outputCol="features", binary=True, vocabSize=1 << 14).fit(
-        rows.where(F.col("label") < len(FAMILIES)))
+        known.where(F.col("label") < len(FAMILIES)))
+    others = _others(df, id_col, text_col, vocabulary.vocabulary).checkpoint()
+    fitted = others.where("not held")
+    count, = fitted.agg(F.sum("n")).first()
+    weight = F.col("n") * F.lit(min(1.0, OTHER_WEIGHT / (count or 1)))
+    rows = known.union(fitted.select(F.lit(float(len(FAMILIES))), "terms", weight))
     regression = LogisticRegression(family="multinomial", regParam=5e-4, elasticNetParam=0.8, maxIter=80,
-                                    probabilityCol="probability").fit(vocabulary.transform(rows))
-    listed = sorted({w for t in vocabulary.vocabulary for w in t.split(" ")})
-    common = others.select(F.explode("words").alias("word")).where(F.col("word").isin(listed)).groupBy("word").count()
+                                    probabilityCol="probability", weightCol="weight").fit(vocabulary.transform(rows))
+    common = others.select("n", F.explode("terms").alias("term")).where(~F.col("term").contains(" ")).groupBy("term").agg(
+        F.sum("n"))
     model = Model(vocabulary, regression, 0.5, classes, dict(common.collect()))
-    quiet, = model.scored(others.where(held)).agg(
-        F.percentile_approx("probability", 1 - FALSE_ALARMS, 10_000)).first()
-    model.threshold = max(0.5, float(quiet or 0.0))
+    model.threshold = quiet_from(model.scored_terms(others.where("held")))
     return model
 
 

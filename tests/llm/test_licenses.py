@@ -62,3 +62,28 @@ def test_awkward_rows_without_a_ready_model(awkward):
 def test_no_python_in_the_plan(documents, model, capsys):
     licenses.scan(documents, model=model).explain("formatted")
     assert not re.search("Python|Pandas|Arrow|Cartesian", capsys.readouterr().out)
+
+
+def test_every_other_paragraph_counts(spark):
+    texts = ["The software of an author.\nWords of nobody. Said under the bridge, software and software."] * 160 + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = licenses.fit(docs)
+    assert model.common["software"] == 320 and model.common["author"] == 160
+    counted = licenses._others(docs, "doc_id", "text", model.vocabulary.vocabulary).groupBy("held").sum("n").collect()
+    assert sum(r[1] for r in counted) == 480 and {r[0] for r in counted} == {True, False}
+
+
+def test_known_terms_are_those_of_all_terms(spark):
+    texts = ["the mit license the mit", "License: the, mit-license version 2.0", "one", "the", "mit license"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(licenses.words(licenses.F.col("text")).alias("words"))
+    known = ["mit", "the", "license", "the mit", "mit license", "version 2.0"]
+    for r in rows.select(licenses.terms(licenses.F.col("words")), licenses.known_terms(licenses.F.col("words"), known)).collect():
+        assert r[1] == sorted({t for t in r[0] if t in known})
+
+
+def test_the_threshold_counts_all_held_out_paragraphs(spark):
+    rows = [(0.1, 10_000), (0.7, 4), (0.75, 6), (0.9, 3)]
+    scored = spark.createDataFrame(rows, "probability double, n bigint")
+    assert licenses.quiet_from(scored) == 0.7001  # 10 of 10,013 may pass: 3 and 6 do, 4 more would be too many
+    assert licenses.quiet_from(scored.where("probability < 0.5")) == 0.5
+    assert licenses.quiet_from(scored.where("probability > 1")) == 0.5
