@@ -26,8 +26,9 @@ from marquee.llm.text import id_and_text, in_batches, slices, spark_type
 
 END = "</w>"
 
-#: Entries that a worker keeps of words it has encoded and of token pairs it has tried.
-KEPT_WORDS = 100_000
+#: Entries that a worker keeps of words it has encoded, of their pieces and of token pairs it has tried.
+KEPT_WORDS = 60_000
+KEPT_PIECES = 200_000
 KEPT_PAIRS = 100_000
 KEPT_LENGTH = 48
 
@@ -90,13 +91,16 @@ class Vocabulary:
         self.ranks = {self.ids[a] << 32 | self.ids[b]: n for n, (a, b) in enumerate(self.merges)}
         self._edges: dict[int, tuple[list, list]] = {}
         dead = self._unreachable()
-        self.tree: dict = {}
+        #: Tokens by their characters: each leads to the token that ends there, or none, and to what may follow.
+        self.tree: dict[str, list] = {}
         for token, number in self.ids.items():
-            if not split_token(token)[1] and token not in dead:
-                node = self.tree
+            if token and not split_token(token)[1] and token not in dead:
+                node = [None, self.tree]
                 for char in token:
-                    node = node.setdefault(char, {})
-                node[""] = number
+                    if node[1] is None:
+                        node[1] = {}
+                    node = node[1].setdefault(char, [None, None])
+                node[0] = number
         self.final = {split_token(t)[0]: n for t, n in self.ids.items() if split_token(t)[1] and t not in dead}
         self.longest = max(len(split_token(t)[0]) for t in self.ids)
         self.lookahead = lookahead(self.merges)
@@ -160,7 +164,8 @@ class Encoder:
         self.vocabulary = v = vocabulary
         self.window = 4 * v.lookahead
         self._pairs: dict[int, bool] = {}
-        self._words = _Words(self)
+        self._words = _Kept(self.stretch, KEPT_WORDS)
+        self._pieces = _Kept(lambda symbols: _packed(self.piece(symbols)), KEPT_PIECES)
         self._special = regex.compile("|".join(map(regex.escape, v.special)) or r"(?!)")
         self._byte = str.maketrans(v.to_alphabet)
 
@@ -181,20 +186,15 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         """Between blanks pieces don't touch, so every stretch is encoded, and remembered, by itself."""
         words = self._words
-        if len(words) > KEPT_WORDS:
-            words.clear()
         return b"".join([words[w] for w in text.replace("\n", " ").split(" ")])
 
     def stretch(self, text: str) -> bytes:
         """The ids of a stretch of text, whatever it holds."""
-        out: list[int] = []
+        pieces = self._pieces
         if text.isascii() and text.isprintable():
-            for piece in self.vocabulary.pattern.findall(text.lower()):
-                out += self.piece(piece)
-        else:
-            for piece in self.vocabulary.pattern.findall(_lowered(unicodedata.normalize("NFC", text))):
-                out += self.piece(piece.encode("utf-8").decode("latin-1").translate(self._byte))
-        return _packed(out)
+            return b"".join([pieces[p] for p in self.vocabulary.pattern.findall(text.lower())])
+        found = self.vocabulary.pattern.findall(_lowered(unicodedata.normalize("NFC", text)))
+        return b"".join([pieces[p.encode("utf-8").decode("latin-1").translate(self._byte)] for p in found])
 
     def piece(self, symbols: str) -> Iterable[int]:
         """The tokens of one piece, final ones leaving as the window moves on."""
@@ -231,19 +231,23 @@ class Encoder:
         fits = None
         while at < n:
             if fits is None:
+                if ends and n - at <= longest:
+                    token = final.get(symbols[at:])
+                    if token is not None and (not tokens or self._stay_apart(tokens[-1] << 32 | token)):
+                        tokens.append(token)
+                        break
                 fits = []
-                node = root
-                for place in range(at, last):
-                    node = node.get(symbols[place])
+                following, place = root, at
+                for char in symbols[at : min(last, at + longest)]:
+                    node = following.get(char)
                     if node is None:
                         break
-                    token = node.get("")
-                    if token is not None:
-                        fits.append((place + 1, token))
-                if ends and n - at <= longest:
-                    token = final.get(symbols[at:])
+                    token, following = node
+                    place += 1
                     if token is not None:
-                        fits.append((n, token))
+                        fits.append((place, token))
+                    if following is None:
+                        break
             found = None
             while fits:
                 stop, token = fits.pop()
@@ -255,7 +259,7 @@ class Encoder:
                 pair = tokens[-1] << 32 | token
                 apart = pairs.get(pair)
                 if apart is None:
-                    apart = self._apart(pair)
+                    apart = self._stay_apart(pair)
                 if apart:
                     found = token
                     break
@@ -269,29 +273,38 @@ class Encoder:
             at, fits = stop, None
         return tokens
 
-    def _apart(self, pair: int) -> bool:
-        if len(self._pairs) > KEPT_PAIRS:
-            self._pairs.clear()
-        apart = self._pairs[pair] = self.vocabulary.apart(pair >> 32, pair & 0xFFFFFFFF)
+    def _stay_apart(self, pair: int) -> bool:
+        apart = self._pairs.get(pair)
+        if apart is None:
+            if len(self._pairs) >= KEPT_PAIRS:
+                self._pairs.clear()
+            apart = self._pairs[pair] = self.vocabulary.apart(pair >> 32, pair & 0xFFFFFFFF)
         return apart
 
 
-class _Words(dict):
-    """Stretches between blanks and their ids; long ones are not kept."""
+class _Kept(dict):
+    """What was worked out for the texts that came last, ``most`` of them; long ones are not kept.
 
-    def __init__(self, encoder: Encoder):
-        super().__init__({"": b""})
-        self._encoder = encoder
+    A full table takes the place of the older one. What is missed is looked for there, so
+    words that come again and again stay.
+    """
 
-    def clear(self) -> None:
-        super().clear()
-        self[""] = b""
+    def __init__(self, work: Callable[[str], bytes], most: int):
+        super().__init__()
+        self._work, self._half = work, most // 2
+        self._older: dict[str, bytes] = {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self._encoder.stretch(text)
-        if len(text) <= KEPT_LENGTH:
-            self[text] = ids
-        return ids
+        found = self._older.get(text)
+        if found is None:
+            found = self._work(text)
+            if len(text) > KEPT_LENGTH:
+                return found
+        if len(self) >= self._half:
+            self._older = dict(self)
+            self.clear()
+        self[text] = found
+        return found
 
 
 def _lowered(text: str) -> str:

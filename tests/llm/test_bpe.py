@@ -79,3 +79,22 @@ def test_encode_then_decode_equals_one_pass(documents):
     two = bpe.decode(bpe.encode(documents, PATH), PATH)
     one = bpe.round_trip(documents, PATH)
     assert sorted(map(tuple, two.collect())) == sorted(map(tuple, one.collect()))
+
+
+def test_a_piece_is_worked_out_once_whatever_stands_around_it(reference, monkeypatch):
+    encoder, asked = bpe.Encoder(bpe.Vocabulary(PATH)), []
+    piece = encoder.piece
+    monkeypatch.setattr(encoder, "piece", lambda symbols: asked.append(symbols) or piece(symbols))
+    text = "Thndhain, thndhain! (thndhain) ñandú ÑANDÚ. thndhain"
+    assert bpe.unpacked(encoder.encode(text)).tolist() == reference.encode(text, add_special_tokens=False).ids
+    assert len(asked) == len(set(asked))
+
+
+def test_words_that_come_again_and_again_stay_while_others_go():
+    asked = []
+    kept = bpe._Kept(lambda text: asked.append(text) or text.encode(), 8)
+    for n in range(100):
+        assert kept["common"] == b"common" and kept[f"rare{n}"] == b"rare%d" % n
+        assert len(kept) + len(kept._older) <= 8
+    assert asked.count("common") == 1
+    assert kept["x" * 60] == b"x" * 60 and "x" * 60 not in kept
