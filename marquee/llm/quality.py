@@ -60,7 +60,7 @@ def repeated(values: np.ndarray) -> np.ndarray:
 
 
 #: Bytes of text that are counted at a time. A byte may take some 110 bytes of memory, where words have one letter.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 class _Rolling:
@@ -163,16 +163,20 @@ def over_limits(limits: dict[int, float]) -> Column:
 
 
 def kept_documents(df: DataFrame, text_col: str = "text", limits: dict[int, float] = NGRAM_LIMITS) -> DataFrame:
-    """``df``'s rows that the rules keep, whole and unchanged; see ``quality`` for null and empty texts."""
+    """``df``'s rows that the rules keep, whole and unchanged; see ``quality`` for null and empty texts.
+
+    A text goes to Python once, within its row.
+    """
     lengths = tuple(sorted(limits))
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    keyed = df.select(row, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    keyed = df.select(row)
+    at = df.columns.index(text_col)
     fields = ", ".join(f"{name} {spark_type(kind)}" for name, kind in FIELDS.items())
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, SLICE):
-                made = measure(part.column("text").to_pylist(), lengths)
+                made = measure([t or "" for t in part.column("row").field(at).to_pylist()], lengths)
                 columns = [part.column("row"), *(pa.array(c, type=k) for c, k in zip(made, FIELDS.values()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", *FIELDS])
 

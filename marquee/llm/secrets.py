@@ -166,16 +166,20 @@ def masked(text: str, ranks: tiktoken.Encoding, mask: str) -> str:
 
 def mask_secrets(df: DataFrame, path: str, pattern: str, text_col: str = "text",
                  mask: str = "<secret>") -> DataFrame:
-    """``df`` with the secrets of ``text_col`` masked. Rows and other columns stay; a null text stays null."""
+    """``df`` with the secrets of ``text_col`` masked. Rows and other columns stay; a null text stays null.
+
+    A text goes to Python once, apart from the rest of its row, and comes back masked.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = encoding(path, pattern)
         for batch in batches:
-            for part in slices(batch, 1 << 20):
+            for part in slices(batch, 1 << 19):
                 at = part.schema.get_field_index("text")
                 texts = [t and masked(t, ranks, mask) for t in part.column(at).to_pylist()]
                 yield part.set_column(at, "text", pa.array(texts, pa.string()))
 
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    others = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    row = F.struct(*others or [F.lit(0)]).alias("row")
     keyed = df.select(row, F.col(f"`{text_col}`").alias("text"))
     done = keyed.mapInArrow(run, f"row {keyed.schema['row'].dataType.simpleString()}, text string")
     return done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in df.columns])

@@ -65,3 +65,10 @@ def test_a_slice_of_one_letter_words_takes_little_memory():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 200 << 20
+
+
+def test_a_text_goes_to_python_once(spark, capsys):
+    docs = spark.createDataFrame([(1, "a b " * 20, 2), (2, None, 3)], "doc_id bigint, text string, n_words int")
+    quality.kept_documents(docs).explain("formatted")
+    given = re.search(r"MapInArrow\s*\nInput \[\d+\]: (.*)", capsys.readouterr().out).group(1)
+    assert "text" not in given and "row" in given
