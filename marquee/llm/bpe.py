@@ -30,6 +30,8 @@ END = "</w>"
 KEPT_WORDS = 60_000
 KEPT_PIECES = 200_000
 KEPT_PAIRS = 100_000
+#: Times as many words and pieces where a worker does nothing else; that is some 120 MB.
+ALONE = 3
 KEPT_LENGTH = 48
 
 
@@ -160,12 +162,12 @@ def merged(symbols: list[str], rank: dict[tuple[str, str], int]) -> list[str]:
 class Encoder:
     """Texts to token ids, packed as little-endian 32-bit integers."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, times: int = 1):
         self.vocabulary = v = vocabulary
         self.window = 4 * v.lookahead
         self._pairs: dict[int, bool] = {}
-        self._words = _Kept(self.stretch, KEPT_WORDS)
-        self._pieces = _Kept(lambda symbols: _packed(self.piece(symbols)), KEPT_PIECES)
+        self._words = _Kept(self.stretch, times * KEPT_WORDS)
+        self._pieces = _Kept(lambda symbols: _packed(self.piece(symbols)), times * KEPT_PIECES)
         self._special = regex.compile("|".join(map(regex.escape, v.special)) or r"(?!)")
         self._byte = str.maketrans(v.to_alphabet)
 
@@ -371,15 +373,17 @@ class Decoder:
 CHUNK = 1 << 16
 IN_BYTES = 1 << 20
 
-_LOADED: dict[str, tuple[Vocabulary, Encoder]] = {}
+_LOADED: dict[str, Vocabulary] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def _loaded(path: str) -> tuple[Vocabulary, Encoder]:
-    """The vocabulary of a file, once per worker."""
+def _loaded(path: str, times: int = 1) -> tuple[Vocabulary, Encoder]:
+    """The vocabulary of a file and an encoder that keeps so many times the usual, once per worker."""
     if path not in _LOADED:
-        vocabulary = Vocabulary(path)
-        _LOADED[path] = vocabulary, Encoder(vocabulary)
-    return _LOADED[path]
+        _LOADED[path] = Vocabulary(path)
+    if (path, times) not in _ENCODERS:
+        _ENCODERS[path, times] = Encoder(_LOADED[path], times)
+    return _LOADED[path], _ENCODERS[path, times]
 
 
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -416,7 +420,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     rows = id_and_text(df, id_col, text_col)
 
     def each(part: pa.RecordBatch) -> Iterator[tuple]:
-        vocabulary, encoder = _loaded(path)
+        vocabulary, encoder = _loaded(path, ALONE)
         decoder = Decoder(vocabulary, join)
         for i, text in zip(part["id"].to_pylist(), part["text"].to_pylist()):
             ids = encoder.encode(text)
